@@ -19,6 +19,7 @@ class CustomerColumns:
     senior: str = "SeniorCitizen"
     dependents: str = "Dependents"
     paperless: str = "PaperlessBilling"
+    gender: str = "gender"
     partner: str = "Partner"
     phone: str = "PhoneService"
     multiple_lines: str = "MultipleLines"
@@ -86,6 +87,7 @@ ACCOUNT_COLUMNS = CustomerColumns(
     senior="senior_citizen",
     dependents="dependents",
     paperless="paperless_billing",
+    gender="gender",
     partner="partner",
     phone="phone_service",
     multiple_lines="multiple_lines",
