@@ -147,18 +147,21 @@ def scored_accounts(
     return fixed_score(rows).select("account_id", *extra, "y", "p")
 
 
-def faulty_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def faulty_accounts(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] = tuple(FAULTY_FIELDS)
+) -> DataFrame:
     """Accounts with planted faults and repeated rows, for the validation operations."""
     key = F.col("account_id")
-    rows = accounts(spark, sf_dir, FAULTY_FIELDS).withColumns(
-        {
-            "tenure": F.when(key % 211 == 0, -1).otherwise(F.col("tenure")),
-            "monthly_charges": F.when(key % 229 != 0, F.col("monthly_charges")),
-            "total_charges": F.when(key % 227 == 0, "abc").otherwise(F.col("total_charges")),
-            "internet_service": F.when(key % 223 == 0, "Satellite").otherwise(
-                F.col("internet_service")
-            ),
-        }
+    faults = {
+        "tenure": F.when(key % 211 == 0, -1).otherwise(F.col("tenure")),
+        "monthly_charges": F.when(key % 229 != 0, F.col("monthly_charges")),
+        "total_charges": F.when(key % 227 == 0, "abc").otherwise(F.col("total_charges")),
+        "internet_service": F.when(key % 223 == 0, "Satellite").otherwise(
+            F.col("internet_service")
+        ),
+    }
+    rows = accounts(spark, sf_dir, columns).withColumns(
+        {c: fault for c, fault in faults.items() if c in columns}
     )
     # One pass: a row to repeat is exploded into two copies instead of a second scan.
     copies = F.when(key % 61 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
