@@ -38,20 +38,23 @@ def scored_batch(spark, sf_dir, threshold: float = 0.5) -> DataFrame:
     return Sc.score_batch(batch, preprocessor, MODEL, medians, threshold, COLS)
 
 
-_SCORED_BATCH = f"""WITH {S.FITTED},{S.FAULTY_ALL},{S.engineered('faulty_raw', 'ready')},
-probabilities AS (SELECT account_id, raw_errors, 1 / (1 + exp(-({S.MARGIN}))) AS raw_p FROM ready, fitted),
-batch AS (SELECT account_id, CASE WHEN raw_errors = '' THEN raw_p END AS p,
-  CASE WHEN raw_errors = '' THEN 'ok' ELSE 'failed' END AS prediction_status FROM probabilities)""".replace(
-    "ready_base AS",
-    f"faulty_raw AS (SELECT *, {S.row_error_sql(False)} AS raw_errors FROM faulty_all),\nready_base AS",
-)
+def scored_sql(source: str) -> str:
+    """CTE ``batch`` (account_id, p, prediction_status) of the scored account-like rows."""
+    views = f"{S.FITTED},{S.FAULTY_ALL}, checked AS (SELECT *, {S.row_error_sql(False)} AS errors FROM {source})"
+    return f"""WITH {views},{S.engineered('checked', 'ready')},
+batch AS (SELECT account_id, CASE WHEN errors = '' THEN 1 / (1 + exp(-({S.MARGIN}))) END AS p,
+  CASE WHEN errors = '' THEN 'ok' ELSE 'failed' END AS prediction_status FROM ready, fitted)"""
+
+
+SCORED_COLUMNS = f"""account_id, round(p, 6) AS churn_probability, prediction_status,
+  CAST(p >= 0.5 AS INTEGER) AS churn_prediction, CASE WHEN p >= 0.5 THEN 'contact' WHEN p < 0.5 THEN 'no_contact' END AS decision,
+  round(p * {S.VALUE} - {S.COST}, 3) + 0 AS expected_value, 'linear-v1' AS model_id"""
+_SCORED_BATCH = scored_sql("faulty_all")
 
 
 @query(
     "score_batch",
-    f"""{_SCORED_BATCH} SELECT account_id, round(p, 6) AS churn_probability, prediction_status,
-  CAST(p >= 0.5 AS INTEGER) AS churn_prediction, CASE WHEN p >= 0.5 THEN 'contact' WHEN p < 0.5 THEN 'no_contact' END AS decision,
-  round(p * {S.VALUE} - {S.COST}, 3) + 0 AS expected_value, 'linear-v1' AS model_id FROM batch""",
+    f"{_SCORED_BATCH} SELECT {SCORED_COLUMNS} FROM batch",
 )
 def score_batch(spark, sf_dir):
     return rounded(scored_batch(spark, sf_dir), 6, expected_value=3)

@@ -51,10 +51,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def accounts(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """One account per order, with the wanted columns (default: all)."""
+def accounts(
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Sequence[str] | None = None,
+    orders: DataFrame | None = None,
+) -> DataFrame:
+    """One account per order, with the wanted columns (default: all).
+
+    ``orders`` may be a stream of the order table.
+    """
     wanted = list(columns or ACCOUNT_FIELDS)
-    rows = table(spark, sf_dir, "orders")
+    rows = table(spark, sf_dir, "orders") if orders is None else orders
     if {"payment_method", "senior_citizen"} & set(wanted):
         customers = table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_acctbal"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayflow.functions import columns as C
@@ -15,11 +15,20 @@ def stream_table(spark: SparkSession, folder: str, file: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(folder)
 
 
+def as_instant(ts: Column) -> Column:
+    """A time without zone read as UTC, whatever the zone of the session."""
+    return F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone())
+
+
+def utc_day(instant: Column) -> Column:
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
+
+
 def stream_metrics(events: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Rows and failure rate per tumbling window; rows later than the delay are dropped."""
     failed = F.count_if(F.col("event_type") == "error")
     return (
-        events.withColumn("ts", F.col("ts").cast("timestamp"))
+        events.withColumn("ts", as_instant(F.col("ts")))
         .withWatermark("ts", delay)
         .groupBy(F.window("ts", window).alias("w"))
         .agg(F.count("*").alias("batch_size"), failed.alias("failed_rows"))
