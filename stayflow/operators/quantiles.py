@@ -1,10 +1,11 @@
 """Exact quantiles without holding a column's values in one task.
 
 ``percentile`` and ``median`` keep a value -> count map per group, which grows
-with the distinct values. Here an approximate pass brackets every quantile
-between two values a few ten-thousandths of the ranks apart; the exact pass then counts what lies
-below the bracket and sorts only the values inside it. When a bracket still
-holds too many rows it is narrowed again first.
+with the distinct values. Here one approximate pass over all columns brackets every
+quantile between two values a few ten-thousandths of the ranks apart. Where the two
+agree, as in columns of few values, that value is the answer. For the rest an exact
+pass counts what lies below the bracket and sorts only the values inside it; a
+bracket that still holds too many rows is narrowed again first.
 """
 
 from __future__ import annotations
@@ -21,15 +22,14 @@ from stayflow.operators.sizing import collect_small
 
 ACCURACY = 10_000
 MARGIN = 4 / ACCURACY
+NARROW_STEPS = 2_000
 BRACKET_ROWS = 2_000_000
 MAX_GROUPS = 20_000
 
 
 def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., column, value) with missing keys and missing values dropped."""
-    wide = df.select(*by, *[number(df, c).alias(c) for c in columns])
-    if by:
-        wide = wide.dropna(subset=list(by))
+    wide = _numbers(df, columns, by)
     if len(columns) == 1:
         rows = wide.select(*by, F.lit(columns[0]).alias("column"), F.col(columns[0]).alias("value"))
     else:
@@ -37,6 +37,11 @@ def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     return rows.filter(F.col("value").isNotNull())
 
 
+def _numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    wide = df.select(*by, *[number(df, c).alias(c) for c in columns])
+    return wide.dropna(subset=list(by)) if by else wide
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -44,90 +49,124 @@ def exact_quantiles(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Linear-interpolated quantiles as rows (by..., column, prob, value)."""
-    values = long_form(df, columns, by)
-    keys = [*by, "column"]
-    edges = [F.lit(min(max(p + d, 0.0), 1.0)) for p in probs for d in (-MARGIN, MARGIN)]
-    summary = values.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("value", F.array(*edges), ACCURACY).alias("edges"),
+    wide = _numbers(df, columns, by)
+    edges = F.array(
+        *[F.lit(min(max(p + d, 0.0), 1.0)) for p in probs for d in (-MARGIN, MARGIN)]
+    )
+    summary = wide.groupBy(*by).agg(
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(c, edges, ACCURACY).alias(f"e{i}") for i, c in enumerate(columns)],
     )
-    found = collect_small(summary, MAX_GROUPS)
-    if found is None:
-        return _pick(values, _brackets(summary, probs), keys)
-
-    rows = []
-    for r in found:
-        for i, p in enumerate(probs):
-            low = -math.inf if p - MARGIN <= 0 else r["edges"][2 * i]
-            high = math.inf if p + MARGIN >= 1 else r["edges"][2 * i + 1]
-            rows.append((*[r[k] for k in keys], float(p), r["n"], low, high))
+    groups = collect_small(summary, max(MAX_GROUPS // len(columns), 1))
+    if groups is None:
+        return _many_groups(df, columns, probs, by)
+
+    brackets = []
+    for r in groups:
+        for i, c in enumerate(columns):
+            if not r[f"n{i}"]:
+                continue
+            for k, p in enumerate(probs):
+                low = -math.inf if p <= MARGIN else r[f"e{i}"][2 * k]
+                high = math.inf if p >= 1 - MARGIN else r[f"e{i}"][2 * k + 1]
+                key = tuple(r[b] for b in by)
+                brackets.append((*key, c, float(p), r[f"n{i}"], low, high))
+    inside = 2 * MARGIN
+    while True:
+        wide_ones = [b for b in brackets if b[-1] > b[-2] and inside * b[-3] > BRACKET_ROWS]
+        if not wide_ones:
+            break
+        narrowed = _narrow(wide, wide_ones, by)
+        if set(narrowed) == set(wide_ones):
+            break
+        brackets = [b for b in brackets if b not in wide_ones] + narrowed
+        inside *= 2 * MARGIN
+
     schema = T.StructType(
-        [values.schema[k] for k in keys]
+        [wide.schema[b] for b in by]
         + [
+            T.StructField("column", T.StringType()),
             T.StructField("prob", T.DoubleType()),
-            T.StructField("n", T.LongType()),
-            T.StructField("low", T.DoubleType()),
-            T.StructField("high", T.DoubleType()),
+            T.StructField("value", T.DoubleType()),
         ]
     )
-    spark = df.sparkSession
-    expected = 2.0 * MARGIN
-    while rows and expected * max(r[-3] for r in rows) > BRACKET_ROWS:
-        narrower = _narrow(values, spark.createDataFrame(rows, schema), keys)
-        if narrower == rows:
-            break
-        rows, expected = narrower, expected * 2 * MARGIN
-    # At most MAX_GROUPS x probs rows, counted above, so the broadcast is bounded.
-    return _pick(values, F.broadcast(spark.createDataFrame(rows, schema)), keys)
-
-
-def _brackets(summary: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Brackets as a DataFrame, for more groups than the driver should hold."""
+    known = [(*b[:-3], b[-1]) for b in brackets if b[-1] == b[-2]]
+    found = df.sparkSession.createDataFrame(known, schema)
+    pending = [b for b in brackets if b[-1] > b[-2]]
+    if not pending:
+        return found
+    exact = _pick(_entries(wide, pending, by), [*by, "column"])
+    return found.unionByName(exact) if known else exact
+
+
+def _entries(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> DataFrame:
+    """(by..., column, prob, n, low, high, value) of every value not above its bracket."""
+    pairs = sorted({(b[-5], b[-4]) for b in brackets})
+    names = {pair: i for i, pair in enumerate(pairs)}
+    if by:
+        # One row per group, at most MAX_GROUPS, so the broadcast is bounded.
+        rows: dict[tuple, list] = {}
+        for *key, c, p, n, low, high in brackets:
+            row = rows.setdefault(tuple(key), [None] * (3 * len(pairs)))
+            at = 3 * names[(c, p)]
+            row[at : at + 3] = [n, low, high]
+        kinds = [("n", T.LongType()), ("low", T.DoubleType()), ("high", T.DoubleType())]
+        schema = T.StructType(
+            [wide.schema[b] for b in by]
+            + [T.StructField(f"_{k}{i}", t) for i in range(len(pairs)) for k, t in kinds]
+        )
+        table = wide.sparkSession.createDataFrame([(*k, *v) for k, v in rows.items()], schema)
+        source = wide.join(F.broadcast(table), list(by))
+        limits = {i: [F.col(f"_{k}{i}") for k, _ in kinds] for i in range(len(pairs))}
+    else:
+        source = wide
+        limits = {names[(b[-5], b[-4])]: [F.lit(x) for x in b[-3:]] for b in brackets}
     entries = []
-    for i, p in enumerate(probs):
-        low = F.lit(-math.inf) if p - MARGIN <= 0 else F.col("edges")[2 * i]
-        high = F.lit(math.inf) if p + MARGIN >= 1 else F.col("edges")[2 * i + 1]
-        entries.append(F.struct(F.lit(float(p)).alias("prob"), low.alias("low"), high.alias("high")))
-    keep = [c for c in summary.columns if c != "edges"]
-    return summary.select(*keep, F.inline(F.array(*entries)))
+    for (c, p), i in names.items():
+        n, low, high = limits[i]
+        entries.append(
+            F.when(
+                F.col(c) <= high,
+                F.struct(
+                    F.lit(c).alias("column"),
+                    F.lit(p).alias("prob"),
+                    n.cast("long").alias("n"),
+                    low.alias("low"),
+                    high.alias("high"),
+                    F.col(c).alias("value"),
+                ),
+            )
+        )
+    return source.select(*by, F.inline(F.array_compact(F.array(*entries))))
 
 
-def _narrow(values: DataFrame, brackets: DataFrame, keys: list[str]) -> list[tuple]:
+def _narrow(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> list[tuple]:
     """One more approximate pass inside each bracket, on a fixed grid of ranks."""
-    grid = [i / 2000 for i in range(2001)]
-    inside = F.col("value").between(F.col("low"), F.col("high"))
-    stats = (
-        values.join(F.broadcast(brackets), keys)
-        .filter(F.col("value") <= F.col("high"))
-        .groupBy(*keys, "prob", "n", "low", "high")
-        .agg(
-            F.count_if(~inside).alias("below"),
-            F.count_if(inside).alias("inside"),
-            F.percentile_approx(
-                F.when(inside, F.col("value")), F.array(*[F.lit(g) for g in grid]), ACCURACY
-            ).alias("marks"),
-        )
+    inside = F.col("value") >= F.col("low")
+    grid = F.array(*[F.lit(i / NARROW_STEPS) for i in range(NARROW_STEPS + 1)])
+    keys = [*by, "column", "prob", "n", "low", "high"]
+    stats = _entries(wide, brackets, by).groupBy(*keys).agg(
+        F.count_if(~inside).alias("below"),
+        F.count_if(inside).alias("inside"),
+        F.percentile_approx(F.when(inside, F.col("value")), grid, ACCURACY).alias("marks"),
     )
-    rows = []
+    out = []
     for r in stats.collect():
         rank = (r["n"] - 1) * r["prob"] - r["below"]
-        at = rank / max(r["inside"] - 1, 1)
-        lower = math.floor((at - MARGIN) * 2000)
-        upper = math.ceil((at + MARGIN) * 2000)
+        place = rank / max(r["inside"] - 1, 1)
+        lower = math.floor((place - MARGIN) * NARROW_STEPS)
+        upper = math.ceil((place + MARGIN) * NARROW_STEPS)
         low = r["low"] if lower <= 0 else r["marks"][lower]
-        high = r["high"] if upper >= 2000 else r["marks"][upper]
-        rows.append((*[r[k] for k in keys], r["prob"], r["n"], low, high))
-    return sorted(rows, key=str)
+        high = r["high"] if upper >= NARROW_STEPS else r["marks"][upper]
+        out.append((*[r[b] for b in by], r["column"], r["prob"], r["n"], low, high))
+    return out
 
 
-def _pick(values: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+def _pick(entries: DataFrame, keys: list[str]) -> DataFrame:
     """Exact pass: count below each bracket, order the values inside, take the two ranks."""
     slot = F.when(F.col("value") >= F.col("low"), F.col("value"))
-    counted = (
-        values.join(brackets, keys)
-        .filter(F.col("value") <= F.col("high"))
-        .groupBy(*keys, "prob", "n", slot.alias("slot"))
-        .agg(F.count("*").alias("rows"))
+    counted = entries.groupBy(*keys, "prob", "n", slot.alias("slot")).agg(
+        F.count("*").alias("rows")
     )
     ordered = Window.partitionBy(*keys, "prob").orderBy(F.col("slot").asc_nulls_first())
     place = (F.col("n") - 1) * F.col("prob")
@@ -153,6 +192,28 @@ def _pick(values: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _many_groups(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]
+) -> DataFrame:
+    """The same two passes with the brackets as a table, for more groups than a driver should hold."""
+    values = long_form(df, columns, by)
+    keys = [*by, "column"]
+    edges = F.array(
+        *[F.lit(min(max(p + d, 0.0), 1.0)) for p in probs for d in (-MARGIN, MARGIN)]
+    )
+    entries = []
+    for k, p in enumerate(probs):
+        low = F.lit(-math.inf) if p <= MARGIN else F.col("edges")[2 * k]
+        high = F.lit(math.inf) if p >= 1 - MARGIN else F.col("edges")[2 * k + 1]
+        entries.append(F.struct(F.lit(float(p)).alias("prob"), low.alias("low"), high.alias("high")))
+    brackets = (
+        values.groupBy(*keys)
+        .agg(F.count("*").alias("n"), F.percentile_approx("value", edges, ACCURACY).alias("edges"))
+        .select(*keys, "n", F.inline(F.array(*entries)))
+    )
+    return _pick(values.join(brackets, keys).filter(F.col("value") <= F.col("high")), keys)
+
+
 def quantiles_wide(
     df: DataFrame, columns: Sequence[str], named: dict[str, float], by: Sequence[str] = ()
 ) -> DataFrame:

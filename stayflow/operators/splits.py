@@ -37,19 +37,19 @@ class SplitCuts:
     seed: int
     cuts: dict[object, list[tuple[str, tuple[str, object] | None]]]
 
-    def split(self) -> Column:
-        """Split name of a row: comparisons with a few literals, no shuffle."""
-        h, key = hash_order(self.key, self.seed), F.col(self.key)
-        result = None
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Add ``split``: one hash and comparisons with a few literals per row, no shuffle."""
+        h, key = F.col("_h"), F.col(self.key)
+        result = F.lit(None).cast("string")
         for stratum, bounds in self.cuts.items():
             inside = F.lit("test")
             for name, last in reversed(bounds):
                 if last is not None:
                     before = (h < last[0]) | ((h == last[0]) & (key <= F.lit(last[1])))
                     inside = F.when(before, name).otherwise(inside)
-            match = F.col(self.label).eqNullSafe(F.lit(stratum))
-            result = F.when(match, inside) if result is None else result.when(match, inside)
-        return result if result is not None else F.lit(None).cast("string")
+            result = F.when(F.col(self.label).eqNullSafe(F.lit(stratum)), inside).otherwise(result)
+        hashed = df.withColumn("_h", hash_order(self.key, self.seed))
+        return hashed.withColumn("split", result).drop("_h")
 
 
 def stratified_cuts(
@@ -83,28 +83,18 @@ def stratified_cuts(
                 seen += n
     cuts = {s: [(name, None) for name, _ in shares] for s in strata}
     if wanted:
-        here = None
-        for stratum, _, bucket, rank in wanted:
-            hit = (
-                F.col(label).eqNullSafe(F.lit(stratum))
-                & (_bucket(F.col("h")) == bucket)
-            )
-            here = hit if here is None else here | hit
-        inside = Window.partitionBy(label, _bucket(F.col("h"))).orderBy("h", key)
-        ranked = hashed.filter(here).withColumn("rank", F.row_number().over(inside))
-        exact = None
-        for stratum, name, bucket, rank in wanted:
-            hit = (
-                F.col(label).eqNullSafe(F.lit(stratum))
-                & (_bucket(F.col("h")) == bucket)
-                & (F.col("rank") == rank)
-            )
-            exact = hit if exact is None else exact | hit
-        for r in ranked.filter(exact).collect():
-            for stratum, name, bucket, rank in wanted:
-                if r[label] == stratum and r["h"].startswith(bucket) and r["rank"] == rank:
-                    slot = [n for n, _ in shares].index(name)
-                    cuts[stratum][slot] = (name, (r["h"], r[key]))
+        # Only the buckets with a cut are ranked: about rows / 16^digits each.
+        bucket = _bucket(F.col("h"))
+        inside = Window.partitionBy(label, bucket).orderBy("h", key)
+        ranked = hashed.filter(bucket.isin(sorted({w[2] for w in wanted}))).select(
+            label, key, "h", bucket.alias("bucket"), F.row_number().over(inside).alias("rank")
+        )
+        places = {(stratum, b, rank): name for stratum, name, b, rank in wanted}
+        for r in ranked.filter(F.col("rank").isin(sorted({w[3] for w in wanted}))).collect():
+            name = places.get((r[label], r["bucket"], r["rank"]))
+            if name is not None:
+                slot = [n for n, _ in shares].index(name)
+                cuts[r[label]][slot] = (name, (r["h"], r[key]))
     return SplitCuts(key, label, params.seed, cuts)
 
 
@@ -112,7 +102,7 @@ def stratified_split(
     df: DataFrame, key: str, label: str, params: SplitParams = SplitParams()
 ) -> DataFrame:
     """Add ``split`` (train / val / test), exact per label."""
-    return df.withColumn("split", stratified_cuts(df, key, label, params).split())
+    return stratified_cuts(df, key, label, params).apply(df)
 
 
 def hash_split(df: DataFrame, key: str, params: SplitParams = SplitParams()) -> DataFrame:

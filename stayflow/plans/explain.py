@@ -26,7 +26,8 @@ def plain(name: str) -> str:
 
 
 def coefficients(spark, sf_dir) -> DataFrame:
-    rows, pre = fitted(spark, sf_dir)
+    fit = fitted(spark, sf_dir)
+    rows, pre = fit.rows, fit.preprocessor
     train = pre.transform_wide(rows.filter("split = 'train'"), ["y"])
     names = pre.feature_names()
     # Short positional names: encoded names contain spaces and brackets.
@@ -118,7 +119,8 @@ _N = range(len(_FEATURES))
 
 
 def background(spark, sf_dir):
-    rows, pre = fitted(spark, sf_dir)
+    fit = fitted(spark, sf_dir)
+    rows, pre = fit.rows, fit.preprocessor
     return rows, pre, X.feature_means(rows.filter("split = 'train'"), pre)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,29 +25,39 @@ MODEL_FIELDS = [c for c in ACCOUNT_FIELDS if c != "customer_id"]
 
 def split_accounts(spark, sf_dir, columns=MODEL_FIELDS) -> DataFrame:
     """Accounts with y and split; the cut points come from the order table alone."""
-    cuts = stratified_cuts(
-        accounts(spark, sf_dir, ["account_id", "churn"]), COLS.id, COLS.label
-    )
+    cuts = stratified_cuts(accounts(spark, sf_dir, [COLS.id, COLS.label]), COLS.id, COLS.label)
     rows = accounts(spark, sf_dir, columns)
-    return rows.withColumns({"y": F.when(F.col("churn") == "Yes", 1).otherwise(0), "split": cuts.split()})
+    return cuts.apply(rows.withColumn("y", F.when(F.col("churn") == "Yes", 1).otherwise(0)))
 
 
-def train_medians(spark, sf_dir):
-    rows = split_accounts(spark, sf_dir, ["account_id", "internet_service", "monthly_charges", "churn"])
+def train_medians(rows: DataFrame):
     return Fe.fit_medians(rows.filter("split = 'train'"), COLS)
 
 
-def engineered(spark, sf_dir) -> DataFrame:
-    """Accounts with split, cleaned totals and the engineered features."""
-    rows = Fe.clean_total_charges(split_accounts(spark, sf_dir), COLS)
-    return Fe.engineer_features(rows, train_medians(spark, sf_dir), COLS)
+def engineered(spark, sf_dir) -> tuple[DataFrame, Fe.Medians]:
+    """Accounts with split, cleaned totals and engineered features; the medians behind them.
+
+    The joined accounts are written once: fitting and transforming read them several
+    times, and everything after the write is a projection of it.
+    """
+    rows = materialize(split_accounts(spark, sf_dir))
+    medians = train_medians(rows)
+    return Fe.engineer_features(Fe.clean_total_charges(rows, COLS), medians, COLS), medians
 
 
-def fitted(spark, sf_dir) -> tuple[DataFrame, P.Preprocessor]:
-    """Engineered accounts, written once because fitting reads them several times."""
-    rows = materialize(engineered(spark, sf_dir))
+@dataclass(frozen=True)
+class Fitted:
+    rows: DataFrame
+    preprocessor: P.Preprocessor
+    medians: Fe.Medians
+
+
+def fitted(spark, sf_dir) -> Fitted:
+    """Engineered accounts with the preprocessor fitted on their training rows."""
+    rows, medians = engineered(spark, sf_dir)
     train = rows.filter("split = 'train'")
-    return rows, P.fit_preprocessor(train, COLS.numeric_features, COLS.categorical_features)
+    preprocessor = P.fit_preprocessor(train, COLS.numeric_features, COLS.categorical_features)
+    return Fitted(rows, preprocessor, medians)
 
 
 _ENGINEERED = f"WITH {S.ENGINEERED}"
@@ -58,7 +70,7 @@ _FITTED = f"WITH {S.FITTED}"
   {', '.join(f'round({c}, 9) + 0 AS {c}' if c == 'overpay_indicator' else c for c in ENGINEERED)} FROM engineered""",
 )
 def engineered_features(spark, sf_dir):
-    rows = engineered(spark, sf_dir).select("account_id", "split", *ENGINEERED)
+    rows = engineered(spark, sf_dir)[0].select("account_id", "split", *ENGINEERED)
     return rows.withColumn("overpay_indicator", F.round("overpay_indicator", 9))
 
 
@@ -115,8 +127,8 @@ SELECT account_id, round(monthly_charges - coalesce(med, 0), 9) + 0 AS overpay_i
 FROM split_accounts LEFT JOIN medians ON med_group = internet_service""",
 )
 def overpay_lookup(spark, sf_dir):
-    rows = accounts(spark, sf_dir, ["account_id", "internet_service", "monthly_charges"])
-    found = Fe.with_group_median(rows, "internet_service", train_medians(spark, sf_dir), "med")
+    rows = split_accounts(spark, sf_dir, ["account_id", "internet_service", "monthly_charges", "churn"])
+    found = Fe.with_group_median(rows, "internet_service", train_medians(rows), "med")
     return rounded(
         found.select("account_id", (F.col("monthly_charges") - F.col("med")).alias("overpay_indicator")), 9
     )
@@ -133,7 +145,7 @@ def overpay_lookup(spark, sf_dir):
     ),
 )
 def feature_stats(spark, sf_dir):
-    train = engineered(spark, sf_dir).filter("split = 'train'")
+    train = engineered(spark, sf_dir)[0].filter("split = 'train'")
     return rounded(St.value_ranges(train, ENGINEERED), 3)
 
 
@@ -150,7 +162,7 @@ FLAGS = ["is_mtm_fiber", "is_mtm_no_support", "is_echeck_mtm", "is_auto_pay", "h
     ),
 )
 def rate_by_flag(spark, sf_dir):
-    train = engineered(spark, sf_dir).filter("split = 'train'")
+    train = engineered(spark, sf_dir)[0].filter("split = 'train'")
     return rounded(St.rate_by_flag(train, FLAGS, "y"))
 
 
@@ -242,7 +254,8 @@ _CAT = [n for n in S.FEATURE_NAMES if n.startswith("cat__")]
     f"{_FITTED} SELECT account_id, {_features(_NUM)} FROM engineered, fitted",
 )
 def impute_scale(spark, sf_dir):
-    rows, pre = fitted(spark, sf_dir)
+    fit = fitted(spark, sf_dir)
+    rows, pre = fit.rows, fit.preprocessor
     return rounded(pre.transform_wide(rows, ["account_id"]).select("account_id", *_NUM), 4)
 
 
@@ -314,7 +327,8 @@ def ordinal_encode(spark, sf_dir):
     f"{_FITTED} SELECT account_id, split, y, {_features(S.FEATURE_NAMES)} FROM engineered, fitted",
 )
 def preprocess_matrix(spark, sf_dir):
-    rows, pre = fitted(spark, sf_dir)
+    fit = fitted(spark, sf_dir)
+    rows, pre = fit.rows, fit.preprocessor
     return rounded(pre.transform_wide(rows, ["account_id", "split", "y"]), 4)
 
 
@@ -324,7 +338,8 @@ def preprocess_matrix(spark, sf_dir):
   CAST(0 AS BIGINT) AS rows_with_nan, CAST(0 AS BIGINT) AS rows_with_inf FROM split_accounts GROUP BY split""",
 )
 def dataset_contract(spark, sf_dir):
-    rows, pre = fitted(spark, sf_dir)
+    fit = fitted(spark, sf_dir)
+    rows, pre = fit.rows, fit.preprocessor
     matrix = pre.transform(rows, ["split", "y"])
     return P.dataset_contract(matrix, len(pre.feature_names()), "y")
 

@@ -10,10 +10,10 @@ from stayflow.operators import drift as D
 from stayflow.operators import lookups as L
 from stayflow.operators import rows as R
 from stayflow.operators import scoring as Sc
-from stayflow.operators.preprocess import Preprocessor
+from stayflow.operators.sizing import materialize
 from stayflow.params import ACCOUNT_COLUMNS
 from stayflow.plans import check_sql as S
-from stayflow.plans.features import MODEL_FIELDS, fitted, split_accounts, train_medians
+from stayflow.plans.features import MODEL_FIELDS, engineered, fitted, split_accounts
 from stayflow.plans.registry import query, rounded
 from stayflow.sources.accounts import (
     ACCOUNT_FIELDS,
@@ -27,15 +27,11 @@ COLS = ACCOUNT_COLUMNS
 MODEL = Sc.LinearModel(S.INTERCEPT, S.COEFFICIENTS, "linear-v1")
 
 
-def fit_for_scoring(spark, sf_dir) -> tuple[Preprocessor, object]:
-    return fitted(spark, sf_dir)[1], train_medians(spark, sf_dir)
-
-
 def scored_batch(spark, sf_dir, threshold: float = 0.5) -> DataFrame:
     """Faulty accounts scored by the fixed linear model; repeated rows are scored like any."""
-    preprocessor, medians = fit_for_scoring(spark, sf_dir)
+    fit = fitted(spark, sf_dir)
     batch = faulty_accounts(spark, sf_dir, ACCOUNT_FIELDS).drop("customer_id")
-    return Sc.score_batch(batch, preprocessor, MODEL, medians, threshold, COLS)
+    return Sc.score_batch(batch, fit.preprocessor, MODEL, fit.medians, threshold, COLS)
 
 
 def scored_sql(source: str) -> str:
@@ -173,7 +169,8 @@ reference AS (SELECT "column", value, original FROM ranked WHERE place <= 2000)"
 
 
 def drift_input(spark, sf_dir) -> DataFrame:
-    return split_accounts(spark, sf_dir, ["account_id", *DRIFT_COLUMNS, "churn"])
+    """Written once: the reference and every checked batch read it."""
+    return materialize(split_accounts(spark, sf_dir, ["account_id", *DRIFT_COLUMNS, "churn"]))
 
 
 @query("drift_reference", f"{_REFERENCE} SELECT * FROM reference")
@@ -267,11 +264,11 @@ def drift_score(spark, sf_dir):
 @query("drift_engineered")
 def drift_engineered(spark, sf_dir):
     """Raw rows checked against a reference of engineered columns: engineered first."""
-    rows, _ = fitted(spark, sf_dir)
+    rows, medians = engineered(spark, sf_dir)
     names = ["avg_monthly_spend", "overpay_indicator", "tenure_x_contract"]
     reference = D.fit_reference(rows.filter("split = 'train'"), names, "account_id")
     raw = split_accounts(spark, sf_dir, MODEL_FIELDS).filter("split = 'test'").drop("split", "y")
-    ready = D.prepare_drift_input(raw, reference, train_medians(spark, sf_dir), COLS)
+    ready = D.prepare_drift_input(raw, reference, medians, COLS)
     return D.drift_report(ready, reference)
 
 

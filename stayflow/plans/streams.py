@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from stayflow.operators.scoring import score_batch
 from stayflow.params import ACCOUNT_COLUMNS
 from stayflow.plans import check_sql as S
-from stayflow.plans.features import MODEL_FIELDS
+from stayflow.plans.features import MODEL_FIELDS, fitted
 from stayflow.plans.registry import query, rounded
-from stayflow.plans.scoring import MODEL, SCORED_COLUMNS, fit_for_scoring, scored_sql
+from stayflow.plans.scoring import MODEL, SCORED_COLUMNS, scored_sql
 from stayflow.sources.accounts import accounts
 from stayflow.streaming import jobs as J
 
@@ -17,10 +17,12 @@ from stayflow.streaming import jobs as J
 @query("stream_score", f"{scored_sql('accounts')} SELECT {SCORED_COLUMNS} FROM batch")
 def stream_score(spark, sf_dir):
     """Orders arrive as a stream and leave as contact decisions: the batch plan, unchanged."""
-    preprocessor, medians = fit_for_scoring(spark, sf_dir)
+    fit = fitted(spark, sf_dir)
     orders = J.stream_table(spark, sf_dir, "orders.parquet")
     arriving = accounts(spark, sf_dir, MODEL_FIELDS, orders)
-    scored = score_batch(arriving, preprocessor, MODEL, medians, 0.5, ACCOUNT_COLUMNS)
+    scored = score_batch(
+        arriving, fit.preprocessor, MODEL, fit.medians, 0.5, ACCOUNT_COLUMNS
+    )
     return rounded(J.drained(scored), 6, expected_value=3)
 
 

@@ -26,8 +26,9 @@ KEY = "account_id"
 
 def matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
     """(account_id, split, label, features), written once: every fit reads it many times."""
-    rows, pre = fitted(spark, sf_dir)
-    built = pre.transform(rows, [KEY, "split", F.col("y").alias("label")])
+    fit = fitted(spark, sf_dir)
+    pre = fit.preprocessor
+    built = pre.transform(fit.rows, [KEY, "split", F.col("y").alias("label")])
     return materialize(built), pre.feature_names()
 
 
