@@ -79,69 +79,60 @@ def ks_against_reference(df: DataFrame, reference: DriftReference) -> DataFrame:
         return spark.createDataFrame([], schema)
 
     wide = df.select(*[C.number(df, c).alias(f"v{i}") for i, c in enumerate(tested)])
-    cells = []
+    cells, steps = [], []
     for i, c in enumerate(tested):
-        marks = sorted(set(reference.samples[c]))
+        values = sorted(reference.samples[c])
+        splits, known_values = _cell_splits(values), set(values)
         wide = Bucketizer(
-            splits=[-math.inf, *marks, math.inf],
+            splits=[-math.inf, *splits, math.inf],
             inputCol=f"v{i}",
             outputCol=f"b{i}",
             handleInvalid="keep",
         ).transform(wide)
-        step = F.col(f"b{i}").cast("int")
-        mark = F.get(F.array(*[F.lit(m) for m in marks]), step - 1)
         cells.append(
             F.when(
                 F.col(f"v{i}").isNotNull(),
-                F.struct(
-                    F.lit(c).alias("column"),
-                    step.alias("step"),
-                    F.coalesce(F.col(f"v{i}") == mark, F.lit(False)).alias("on_mark"),
-                ),
+                F.struct(F.lit(i).alias("place"), F.col(f"b{i}").cast("int").alias("cell")),
             )
         )
+        # Cell 0 lies below every reference value; cell k starts at the k-th split.
+        upto = [0.0, *[bisect_right(values, s) / len(values) for s in splits]]
+        single = [False, *[s in known_values for s in splits]]
+        steps += [(i, c, k, u, o, len(values)) for k, (u, o) in enumerate(zip(upto, single))]
     counts = (
         wide.select(F.inline(F.array_compact(F.array(*cells))))
-        .groupBy("column", "step")
-        .agg(F.count_if("on_mark").alias("on"), F.count_if(~F.col("on_mark")).alias("off"))
+        .groupBy("place", "cell")
+        .agg(F.count("*").alias("inside"))
     )
-    steps = []
-    for c in tested:
-        values = sorted(reference.samples[c])
-        steps.append((c, 0, 0.0, 0.0, len(values)))
-        before = 0.0
-        for place, mark in enumerate(sorted(set(values)), start=1):
-            upto = bisect_right(values, mark) / len(values)
-            steps.append((c, place, before, upto, len(values)))
-            before = upto
     known = spark.createDataFrame(
-        steps, "column string, step int, ref_before double, ref_upto double, n_ref long"
+        steps, "place int, column string, cell int, ref_upto double, on_value boolean, n_ref long"
     )
-    # One row per (column, reference value): at most the sample cap in each window.
-    line = Window.partitionBy("column").orderBy("step")
-    before = line.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("column")
-    zero = F.lit(0)
-    placed = known.join(counts, ["column", "step"], "left").withColumns(
-        {
-            "on": F.coalesce("on", zero),
-            "off": F.coalesce("off", zero),
-        }
+    # Two cells per reference value, at most twice the sample cap in each window.
+    line = Window.partitionBy("place").orderBy("cell")
+    whole = Window.partitionBy("place")
+    placed = known.join(counts, ["place", "cell"], "left").withColumn(
+        "inside", F.coalesce("inside", F.lit(0))
     )
     placed = placed.withColumns(
         {
-            "below": F.coalesce(F.sum(F.col("on") + F.col("off")).over(before), zero),
-            "n_new": F.sum(F.col("on") + F.col("off")).over(whole),
+            "upto": F.sum("inside").over(line.rowsBetween(Window.unboundedPreceding, 0)),
+            "n_new": F.sum("inside").over(whole),
         }
     )
-    at_mark = F.abs(F.col("ref_upto") - F.try_divide(F.col("below") + F.col("on"), "n_new"))
-    under_mark = F.abs(F.col("ref_before") - F.try_divide("below", "n_new"))
+    # Within a cell the reference is flat and the new data rise, so the gap is widest at an end.
+    gap = F.abs(F.col("ref_upto") - F.try_divide("upto", "n_new"))
+    edge = F.abs(F.col("ref_upto") - F.try_divide(F.col("upto") - F.col("inside"), "n_new"))
+    inner = F.when(F.col("on_value"), gap).otherwise(F.greatest(gap, edge))
     return placed.groupBy("column", "n_ref").agg(
-        F.max("n_new").alias("n_new"),
-        F.max(F.when(F.col("step") > 0, F.greatest(at_mark, under_mark))).alias("ks_statistic"),
+        F.max("n_new").alias("n_new"), F.max(inner).alias("ks_statistic")
     )
 
 
+def _cell_splits(values: list[float]) -> list[float]:
+    """Every reference value and the next double above it: a cell holds one value or a gap."""
+    return sorted({s for v in values for s in (v, math.nextafter(v, math.inf))})
+
+
 def ks_between(reference: DataFrame, new: DataFrame, column: str) -> DataFrame:
     """The statistic of one column between two tables of any size.
 

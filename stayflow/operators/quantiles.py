@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,13 +95,25 @@ def exact_quantiles(
     pending = [b for b in brackets if b[-1] > b[-2]]
     if not pending:
         return found
-    exact = _pick(_entries(wide, pending, by), [*by, "column"])
+    pairs = _pairs(pending)
+    picked = _pick(_entries(wide, pending, by), [*by, "pair"], _prob_of(pairs))
+    names = F.array(*[F.lit(c) for c, _ in pairs])
+    exact = picked.select(*by, names[F.col("pair")].alias("column"), "prob", "value")
     return found.unionByName(exact) if known else exact
 
 
+def _pairs(brackets: list[tuple]) -> list[tuple[str, float]]:
+    """The (column, prob) pairs in order; rows carry the place of theirs as an integer key."""
+    return sorted({(b[-5], b[-4]) for b in brackets})
+
+
+def _prob_of(pairs: list[tuple[str, float]]) -> Column:
+    return F.array(*[F.lit(p) for _, p in pairs])[F.col("pair")]
+
+
 def _entries(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> DataFrame:
-    """(by..., column, prob, n, low, high, value) of every value not above its bracket."""
-    pairs = sorted({(b[-5], b[-4]) for b in brackets})
+    """(by..., pair, n, low, high, value) of every value not above its bracket."""
+    pairs = _pairs(brackets)
     names = {pair: i for i, pair in enumerate(pairs)}
     if by:
         # One row per group, at most MAX_GROUPS, so the broadcast is bounded.
@@ -122,14 +134,13 @@ def _entries(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> DataF
         source = wide
         limits = {names[(b[-5], b[-4])]: [F.lit(x) for x in b[-3:]] for b in brackets}
     entries = []
-    for (c, p), i in names.items():
+    for (c, _), i in names.items():
         n, low, high = limits[i]
         entries.append(
             F.when(
                 F.col(c) <= high,
                 F.struct(
-                    F.lit(c).alias("column"),
-                    F.lit(p).alias("prob"),
+                    F.lit(i).alias("pair"),
                     n.cast("long").alias("n"),
                     low.alias("low"),
                     high.alias("high"),
@@ -144,48 +155,47 @@ def _narrow(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> list[t
     """One more approximate pass inside each bracket, on a fixed grid of ranks."""
     inside = F.col("value") >= F.col("low")
     grid = F.array(*[F.lit(i / NARROW_STEPS) for i in range(NARROW_STEPS + 1)])
-    keys = [*by, "column", "prob", "n", "low", "high"]
+    keys = [*by, "pair", "n", "low", "high"]
     stats = _entries(wide, brackets, by).groupBy(*keys).agg(
         F.count_if(~inside).alias("below"),
         F.count_if(inside).alias("inside"),
         F.percentile_approx(F.when(inside, F.col("value")), grid, ACCURACY).alias("marks"),
     )
-    out = []
+    pairs, out = _pairs(brackets), []
     for r in stats.collect():
-        rank = (r["n"] - 1) * r["prob"] - r["below"]
+        column, prob = pairs[r["pair"]]
+        rank = (r["n"] - 1) * prob - r["below"]
         place = rank / max(r["inside"] - 1, 1)
         lower = math.floor((place - MARGIN) * NARROW_STEPS)
         upper = math.ceil((place + MARGIN) * NARROW_STEPS)
         low = r["low"] if lower <= 0 else r["marks"][lower]
         high = r["high"] if upper >= NARROW_STEPS else r["marks"][upper]
-        out.append((*[r[b] for b in by], r["column"], r["prob"], r["n"], low, high))
+        out.append((*[r[b] for b in by], column, prob, r["n"], low, high))
     return out
 
 
-def _pick(entries: DataFrame, keys: list[str]) -> DataFrame:
+def _pick(entries: DataFrame, keys: list[str], prob: Column) -> DataFrame:
     """Exact pass: count below each bracket, order the values inside, take the two ranks."""
     slot = F.when(F.col("value") >= F.col("low"), F.col("value"))
-    counted = entries.groupBy(*keys, "prob", "n", slot.alias("slot")).agg(
-        F.count("*").alias("rows")
-    )
-    ordered = Window.partitionBy(*keys, "prob").orderBy(F.col("slot").asc_nulls_first())
-    place = (F.col("n") - 1) * F.col("prob")
-    first, second = F.floor(place), F.ceil(place)
+    counted = entries.groupBy(*keys, "n", slot.alias("slot")).agg(F.count("*").alias("rows"))
+    ordered = Window.partitionBy(*keys).orderBy(F.col("slot").asc_nulls_first())
+    place = (F.col("n") - 1) * prob
     covered = F.sum("rows").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     picked = (
         counted.withColumn("covered", covered)
-        .groupBy(*keys, "prob", "n")
+        .groupBy(*keys)
         .agg(
-            F.min(F.when(F.col("covered") > first, F.col("slot"))).alias("a"),
-            F.min(F.when(F.col("covered") > second, F.col("slot"))).alias("b"),
+            F.max("n").alias("n"),
+            F.min(F.when(F.col("covered") > F.floor(place), F.col("slot"))).alias("a"),
+            F.min(F.when(F.col("covered") > F.ceil(place), F.col("slot"))).alias("b"),
             F.max(F.when(F.col("slot").isNull(), F.col("covered"))).alias("below"),
         )
     )
-    held = (F.coalesce("below", F.lit(0)) <= first) & F.col("b").isNotNull()
-    value = F.col("a") + (F.col("b") - F.col("a")) * (place - first)
+    held = (F.coalesce("below", F.lit(0)) <= F.floor(place)) & F.col("b").isNotNull()
+    value = F.col("a") + (F.col("b") - F.col("a")) * (place - F.floor(place))
     return picked.select(
         *keys,
-        "prob",
+        prob.alias("prob"),
         F.when(held, value)
         .otherwise(F.raise_error(F.lit("quantile rank outside its bracket")))
         .alias("value"),
@@ -205,13 +215,15 @@ def _many_groups(
     for k, p in enumerate(probs):
         low = F.lit(-math.inf) if p <= MARGIN else F.col("edges")[2 * k]
         high = F.lit(math.inf) if p >= 1 - MARGIN else F.col("edges")[2 * k + 1]
-        entries.append(F.struct(F.lit(float(p)).alias("prob"), low.alias("low"), high.alias("high")))
+        entries.append(F.struct(F.lit(k).alias("pair"), low.alias("low"), high.alias("high")))
     brackets = (
         values.groupBy(*keys)
         .agg(F.count("*").alias("n"), F.percentile_approx("value", edges, ACCURACY).alias("edges"))
         .select(*keys, "n", F.inline(F.array(*entries)))
     )
-    return _pick(values.join(brackets, keys).filter(F.col("value") <= F.col("high")), keys)
+    inside = values.join(brackets, keys).filter(F.col("value") <= F.col("high"))
+    prob = F.array(*[F.lit(float(p)) for p in probs])[F.col("pair")]
+    return _pick(inside, [*keys, "pair"], prob).drop("pair")
 
 
 def quantiles_wide(

@@ -40,13 +40,16 @@ class SplitCuts:
     def apply(self, df: DataFrame) -> DataFrame:
         """Add ``split``: one hash and comparisons with a few literals per row, no shuffle."""
         h, key = F.col("_h"), F.col(self.key)
+        kind = df.schema[self.key].dataType
         result = F.lit(None).cast("string")
         for stratum, bounds in self.cuts.items():
             inside = F.lit("test")
             for name, last in reversed(bounds):
                 if last is not None:
-                    before = (h < last[0]) | ((h == last[0]) & (key <= F.lit(last[1])))
-                    inside = F.when(before, name).otherwise(inside)
+                    # One struct comparison, so a pushed-down filter hashes once per boundary.
+                    place = F.struct(h.alias("h"), key.alias("k"))
+                    end = F.struct(F.lit(last[0]).alias("h"), F.lit(last[1]).cast(kind).alias("k"))
+                    inside = F.when(place <= end, name).otherwise(inside)
             result = F.when(F.col(self.label).eqNullSafe(F.lit(stratum)), inside).otherwise(result)
         hashed = df.withColumn("_h", hash_order(self.key, self.seed))
         return hashed.withColumn("split", result).drop("_h")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stayflow.functions import columns as C
 from stayflow.operators import stats as St
+from stayflow.operators.sizing import materialize
 from stayflow.plans import check_sql as S
 from stayflow.plans.registry import query, rounded
 from stayflow.sources.accounts import SERVICES, accounts
@@ -45,6 +46,11 @@ def numbers(spark, sf_dir):
     return accounts(spark, sf_dir, [*NUMBERS, "churn"])
 
 
+def kept_numbers(spark, sf_dir):
+    """Written once for the statistics that need several passes over the joined accounts."""
+    return materialize(numbers(spark, sf_dir))
+
+
 @query(
     "describe",
     f"""{_LONG} SELECT "column", count(v) AS count, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std,
@@ -52,7 +58,7 @@ def numbers(spark, sf_dir):
   round(quantile_cont(v, 0.75), 4) AS q75, round(max(v), 4) AS max FROM vals GROUP BY 1""",
 )
 def describe(spark, sf_dir):
-    return rounded(St.describe(numbers(spark, sf_dir), NUMBERS), 4)
+    return rounded(St.describe(kept_numbers(spark, sf_dir), NUMBERS), 4)
 
 
 @query(
@@ -111,7 +117,7 @@ SELECT "column", round(any_value(lower), 4) AS lower, round(any_value(upper), 4)
 FROM vals JOIN fences ON c = "column" GROUP BY 1""",
 )
 def iqr_outliers(spark, sf_dir):
-    return rounded(St.iqr_outliers(numbers(spark, sf_dir), NUMBERS), 4)
+    return rounded(St.iqr_outliers(kept_numbers(spark, sf_dir), NUMBERS), 4)
 
 
 @query(
@@ -125,7 +131,7 @@ SELECT churn, "column", round(any_value(q1), 4) AS q1, round(any_value(med), 4)
 FROM vals JOIN q ON c = "column" AND g = churn GROUP BY 1, 2""",
 )
 def box_stats(spark, sf_dir):
-    return rounded(St.box_stats(numbers(spark, sf_dir), NUMBERS, "churn"), 4)
+    return rounded(St.box_stats(kept_numbers(spark, sf_dir), NUMBERS, "churn"), 4)
 
 
 @query(

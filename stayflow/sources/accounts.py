@@ -75,58 +75,70 @@ def accounts(
             .agg(F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("line_total"))
         )
         rows = rows.join(totals, "o_orderkey", "left")
-    rules = account_rules()
-    return rows.select(*[rules[c].alias(c) for c in wanted])
+    return rows.select(*[account_rule(c).alias(c) for c in wanted])
 
 
-def account_rules() -> dict[str, Column]:
-    """Each account column as an expression over orders (and customer, lineitem sums)."""
-    key = F.col("o_orderkey")
-    status = F.col("o_orderstatus")
-    tenure = ((F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate") - 1).cast("int")
+def _tenure() -> Column:
+    return ((F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate") - 1).cast("int")
+
+
+def _contract() -> Column:
     digit = F.substring("o_orderpriority", 1, 1)
-    contract = (
+    return (
         F.when(digit.isin("1", "2", "5"), "Month-to-month")
         .when(digit == "3", "One year")
         .when(digit == "4", "Two year")
     )
-    points = (
+
+
+def _churn_points() -> Column:
+    contract = _contract()
+    return (
         F.lit(15)
         + F.when(contract == "Month-to-month", 25).when(contract == "Two year", -10).otherwise(0)
-        + F.when(status == "F", 20).otherwise(0)
-        + F.when(tenure < 12, 10).otherwise(0)
+        + F.when(F.col("o_orderstatus") == "F", 20).otherwise(0)
+        + F.when(_tenure() < 12, 10).otherwise(0)
     )
-    segment = F.col("c_mktsegment")
-    rules = {
-        "account_id": key,
-        "customer_id": F.col("o_custkey"),
-        "tenure": tenure,
-        "monthly_charges": F.col("o_totalprice") / 64,
-        "total_charges": F.when(F.col("line_total").isNull() | (tenure == 0), " ").otherwise(
-            F.col("line_total").cast("string")
-        ),
-        "contract": contract,
-        "internet_service": F.when(key % 101 == 0, None)
-        .when(status == "F", "Fiber optic")
-        .when(status == "O", "DSL")
-        .when(status == "P", "No"),
-        "payment_method": F.when(key % 97 == 0, None)
-        .when(segment == "BUILDING", "Mailed check")
-        .when(segment == "FURNITURE", "Bank transfer (automatic)")
-        .when(segment == "HOUSEHOLD", "Credit card (automatic)")
-        .otherwise("Electronic check"),
-        "dependents": F.when(F.col("o_custkey") % 10 < 3, "Yes").otherwise("No"),
-        "paperless_billing": F.when(key % 5 == 0, "No").otherwise("Yes"),
-        "senior_citizen": F.when(F.col("c_acctbal") < 0, 1).otherwise(0),
-        "churn": F.when((key * 7919) % 100 < points, "Yes").otherwise("No"),
-    }
-    for name, has_service in SERVICES.items():
-        rules[name] = (
-            F.when(status == "P", "No internet service")
-            .when(has_service(key), "Yes")
-            .otherwise("No")
-        )
-    return rules
+
+
+def _service(name: str) -> Column:
+    return (
+        F.when(F.col("o_orderstatus") == "P", "No internet service")
+        .when(SERVICES[name](F.col("o_orderkey")), "Yes")
+        .otherwise("No")
+    )
+
+
+# Each account column over orders (and customer, lineitem sums).
+RULES = {
+    "account_id": lambda: F.col("o_orderkey"),
+    "customer_id": lambda: F.col("o_custkey"),
+    "tenure": _tenure,
+    "monthly_charges": lambda: F.col("o_totalprice") / 64,
+    "total_charges": lambda: F.when(
+        F.col("line_total").isNull() | (_tenure() == 0), " "
+    ).otherwise(F.col("line_total").cast("string")),
+    "contract": _contract,
+    "internet_service": lambda: F.when(F.col("o_orderkey") % 101 == 0, None)
+    .when(F.col("o_orderstatus") == "F", "Fiber optic")
+    .when(F.col("o_orderstatus") == "O", "DSL")
+    .when(F.col("o_orderstatus") == "P", "No"),
+    "payment_method": lambda: F.when(F.col("o_orderkey") % 97 == 0, None)
+    .when(F.col("c_mktsegment") == "BUILDING", "Mailed check")
+    .when(F.col("c_mktsegment") == "FURNITURE", "Bank transfer (automatic)")
+    .when(F.col("c_mktsegment") == "HOUSEHOLD", "Credit card (automatic)")
+    .otherwise("Electronic check"),
+    "dependents": lambda: F.when(F.col("o_custkey") % 10 < 3, "Yes").otherwise("No"),
+    "paperless_billing": lambda: F.when(F.col("o_orderkey") % 5 == 0, "No").otherwise("Yes"),
+    "senior_citizen": lambda: F.when(F.col("c_acctbal") < 0, 1).otherwise(0),
+    "churn": lambda: F.when(
+        (F.col("o_orderkey") * 7919) % 100 < _churn_points(), "Yes"
+    ).otherwise("No"),
+}
+
+
+def account_rule(name: str) -> Column:
+    return RULES[name]() if name in RULES else _service(name)
 
 
 def fixed_score(df: DataFrame) -> DataFrame:
