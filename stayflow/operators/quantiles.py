@@ -22,6 +22,9 @@ from stayflow.operators.sizing import collect_small
 
 ACCURACY = 10_000
 MARGIN = 4 / ACCURACY
+# Below this many values a margin of ranks is too thin to hold both neighbours of a
+# quantile; such a group is small enough to be ordered whole.
+SMALL_ROWS = 20_000
 NARROW_STEPS = 2_000
 BRACKET_ROWS = 2_000_000
 MAX_GROUPS = 20_000
@@ -67,13 +70,18 @@ def exact_quantiles(
             if not r[f"n{i}"]:
                 continue
             for k, p in enumerate(probs):
-                low = -math.inf if p <= MARGIN else r[f"e{i}"][2 * k]
-                high = math.inf if p >= 1 - MARGIN else r[f"e{i}"][2 * k + 1]
+                small = r[f"n{i}"] < SMALL_ROWS
+                low = -math.inf if small or p <= MARGIN else r[f"e{i}"][2 * k]
+                high = math.inf if small or p >= 1 - MARGIN else r[f"e{i}"][2 * k + 1]
                 key = tuple(r[b] for b in by)
                 brackets.append((*key, c, float(p), r[f"n{i}"], low, high))
     inside = 2 * MARGIN
     while True:
-        wide_ones = [b for b in brackets if b[-1] > b[-2] and inside * b[-3] > BRACKET_ROWS]
+        wide_ones = [
+            b
+            for b in brackets
+            if b[-1] > b[-2] and b[-3] >= SMALL_ROWS and inside * b[-3] > BRACKET_ROWS
+        ]
         if not wide_ones:
             break
         narrowed = _narrow(wide, wide_ones, by)
@@ -166,8 +174,9 @@ def _narrow(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> list[t
         column, prob = pairs[r["pair"]]
         rank = (r["n"] - 1) * prob - r["below"]
         place = rank / max(r["inside"] - 1, 1)
-        lower = math.floor((place - MARGIN) * NARROW_STEPS)
-        upper = math.ceil((place + MARGIN) * NARROW_STEPS)
+        margin = MARGIN + 2 / max(r["inside"], 1)
+        lower = math.floor((place - margin) * NARROW_STEPS)
+        upper = math.ceil((place + margin) * NARROW_STEPS)
         low = r["low"] if lower <= 0 else r["marks"][lower]
         high = r["high"] if upper >= NARROW_STEPS else r["marks"][upper]
         out.append((*[r[b] for b in by], column, prob, r["n"], low, high))
@@ -213,8 +222,10 @@ def _many_groups(
     )
     entries = []
     for k, p in enumerate(probs):
-        low = F.lit(-math.inf) if p <= MARGIN else F.col("edges")[2 * k]
-        high = F.lit(math.inf) if p >= 1 - MARGIN else F.col("edges")[2 * k + 1]
+        low = F.when(F.lit(p > MARGIN) & (F.col("n") >= SMALL_ROWS), F.col("edges")[2 * k])
+        high = F.when(F.lit(p < 1 - MARGIN) & (F.col("n") >= SMALL_ROWS), F.col("edges")[2 * k + 1])
+        low = F.coalesce(low, F.lit(-math.inf))
+        high = F.coalesce(high, F.lit(math.inf))
         entries.append(F.struct(F.lit(k).alias("pair"), low.alias("low"), high.alias("high")))
     brackets = (
         values.groupBy(*keys)
