@@ -327,6 +327,15 @@ def kde_curve(df: DataFrame, column: str, by: str, points: int = 101) -> DataFra
 # ---- association ----------------------------------------------------------
 
 
+def pearson(a: str, b: str) -> Column:
+    """Correlation over the rows that have both values; NULL when one of them is constant.
+
+    The built-in ``corr`` raises on a constant column in ANSI mode.
+    """
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, corr) for all ordered pairs: pairwise complete, NULL for a constant column."""
     rows = df.select(*[C.number(df, c).alias(c) for c in columns])
@@ -337,7 +346,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.struct(
                     F.lit(a).alias("a"),
                     F.lit(b).alias("b"),
-                    F.nanvl(F.corr(a, b), F.lit(None).cast("double")).alias("corr"),
+                    pearson(a, b).alias("corr"),
                 )
                 for a, b in pairs
             ]
@@ -360,7 +369,7 @@ def target_corr(df: DataFrame, columns: Sequence[str], target: Column, bound: fl
             *[
                 F.struct(
                     F.lit(c).alias("column"),
-                    F.nanvl(F.corr(c, "_t"), F.lit(None).cast("double")).alias("corr"),
+                    pearson(c, "_t").alias("corr"),
                 )
                 for c in columns
             ]
