@@ -153,10 +153,11 @@ def ks_between(reference: DataFrame, new: DataFrame, column: str) -> DataFrame:
         )
     )
     seen = running_totals(merged, "value", {"ra": F.col("a"), "rb": F.col("b")})
-    sizes = merged.agg(F.sum("a").alias("n_ref"), F.sum("b").alias("n_new"))
+    sizes = merged.agg(F.struct(F.sum("a").alias("n_ref"), F.sum("b").alias("n_new"))).scalar()
     gap = F.abs(F.try_divide("ra", "n_ref") - F.try_divide("rb", "n_new"))
     return (
-        seen.crossJoin(F.broadcast(sizes))  # a single row of sizes
+        seen.withColumn("sizes", sizes)
+        .select("ra", "rb", "sizes.*")
         .groupBy("n_ref", "n_new")
         .agg(F.max(gap).alias("ks_statistic"))
         .select(F.lit(column).alias("column"), "n_ref", "n_new", "ks_statistic")

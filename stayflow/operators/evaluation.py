@@ -313,8 +313,8 @@ def _curve(scored: DataFrame, label: str, score: str) -> DataFrame:
     seen = running_totals(
         groups, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True
     )
-    totals = groups.agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    return seen.crossJoin(F.broadcast(totals))  # a single row of totals
+    totals = groups.agg(F.struct(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg")))
+    return seen.withColumn("totals", totals.scalar()).select(*seen.columns, "totals.*")
 
 
 def roc_points(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
@@ -361,7 +361,7 @@ def final_results(
     tp, fp = F.col("tp"), F.col("fp")
     flagged = tp + fp
     net = tp * F.lit(float(retained_value)) - flagged * F.lit(float(contact_cost))
-    one = counts.crossJoin(F.broadcast(area))  # one row times one row
+    one = counts.withColumn("roc_auc", area.scalar())
     return one.select(
         F.lit(threshold).alias("final_threshold"),
         F.lit(float(min_recall)).alias("selection_min_recall"),

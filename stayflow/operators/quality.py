@@ -176,9 +176,8 @@ def quality_report(df: DataFrame, rules: ValidationRules) -> DataFrame:
             if block
         ],
     )
-    one = one.crossJoin(
-        F.broadcast(duplicate_stats(df).select("duplicate_count", "duplicate_ratio"))
-    )  # one row times one row
+    duplicates = duplicate_stats(df).select(F.struct("duplicate_count", "duplicate_ratio"))
+    one = one.withColumn("duplicates", duplicates.scalar()).select("*", "duplicates.*")
 
     def field(block: str, name: str) -> Column:
         return F.col(block).getField(name)

@@ -183,9 +183,8 @@ def split_summary(df: DataFrame, label: str) -> DataFrame:
     sizes = df.groupBy("split").agg(
         F.count("*").alias("rows"), F.avg(F.col(label).cast("double")).alias("label_rate")
     )
-    # One row per split: the total over them is a tiny window.
-    total = sizes.agg(F.sum("rows").alias("total"))
-    return sizes.crossJoin(F.broadcast(total)).select(
+    total = sizes.agg(F.sum("rows")).scalar()
+    return sizes.withColumn("total", total).select(
         "split", "rows", (F.col("rows") / F.col("total") * 100).alias("share_pct"), "label_rate"
     )
 

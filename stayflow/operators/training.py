@@ -161,10 +161,9 @@ def fit(candidate: Candidate, train: DataFrame):
 
 def metrics(scored: DataFrame, label: str = "label", score: str = "p") -> dict[str, float]:
     """AUC, and precision, recall, F1 at 0.5."""
-    one = classification_metrics(confusion(scored, 0.5, label, score)).crossJoin(
-        F.broadcast(roc_auc(scored, label, score).select("roc_auc"))
-    )
-    row = one.first()
+    area = roc_auc(scored, label, score).select("roc_auc").scalar()
+    counts = classification_metrics(confusion(scored, 0.5, label, score))
+    row = counts.withColumn("roc_auc", area).first()
     return {m: float(row[m]) if row[m] is not None else float("nan") for m in METRICS}
 
 
