@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from stayflow.operators.sizing import collect_small
@@ -17,6 +17,8 @@ from stayflow.params import SplitParams
 
 BUCKET_DIGITS = 3
 MAX_STRATA = 64
+# A hash bucket with more rows is divided further before its rows are ordered.
+RANKED_ROWS = 1_000_000
 
 
 def hash_order(key: str, seed: int, *parts: str) -> Column:
@@ -24,10 +26,6 @@ def hash_order(key: str, seed: int, *parts: str) -> Column:
     return F.md5(F.concat_ws("|", *texts).cast("binary"))
 
 
-def _bucket(h: Column) -> Column:
-    return F.substring(h, 1, BUCKET_DIGITS)
-
-
 @dataclass(frozen=True)
 class SplitCuts:
     """Per stratum: for each split boundary the last (hash, key) before it."""
@@ -55,49 +53,95 @@ class SplitCuts:
         return hashed.withColumn("split", result).drop("_h")
 
 
+def _bucket_counts(
+    hashed: DataFrame, label: str, digits: int, inside: Sequence[str] = ()
+) -> list[Row]:
+    """Rows per (label, first hash digits), in hash order; ``inside`` keeps some prefixes only."""
+    rows = hashed
+    if inside:
+        rows = rows.filter(F.substring("h", 1, len(inside[0])).isin(list(inside)))
+    counts = collect_small(
+        rows.groupBy(label, F.substring("h", 1, digits).alias("bucket")).count(),
+        MAX_STRATA * 16 ** (BUCKET_DIGITS + 1),
+    )
+    if counts is None:
+        raise ValueError(f"{label} has too many values to stratify by")
+    return sorted(counts, key=lambda r: r["bucket"])
+
+
+@dataclass(frozen=True)
+class _Target:
+    """A cut still to be found: its rank among the rows of a stratum under a hash prefix."""
+
+    stratum: object
+    name: str
+    rank: int
+    prefix: str = ""
+    rows: int = 0
+
+
+def _step(targets: list[_Target], counts: list[Row], label: str) -> list[_Target]:
+    """Move every target into the longer prefix that holds its rank."""
+    out = []
+    for t in targets:
+        seen = 0
+        for r in counts:
+            if r[label] != t.stratum or not r["bucket"].startswith(t.prefix):
+                continue
+            if seen < t.rank <= seen + r["count"]:
+                out.append(_Target(t.stratum, t.name, t.rank - seen, r["bucket"], r["count"]))
+                break
+            seen += r["count"]
+    return out
+
+
 def stratified_cuts(
     df: DataFrame, key: str, label: str, params: SplitParams = SplitParams()
 ) -> SplitCuts:
     """Find the exact cut points: floor(train share), floor(train + val share) rows per label.
 
-    Two narrow passes over (key, label): bucket counts, then the few buckets that hold a cut.
+    Narrow passes over (key, label): counts per hash bucket, counts inside the buckets with a
+    cut while these are large, then an order of the few rows left.
     """
     train_share = 1 - params.test_share - params.val_share
-    shares = [("train", train_share), ("val", train_share + params.val_share)]
+    shares = {"train": train_share, "val": train_share + params.val_share}
     hashed = df.select(key, label, hash_order(key, params.seed).alias("h"))
-    counts = collect_small(
-        hashed.groupBy(label, _bucket(F.col("h")).alias("bucket")).count(),
-        MAX_STRATA * 16**BUCKET_DIGITS,
-    )
-    if counts is None:
-        raise ValueError(f"{label} has too many values to stratify by")
-    strata: dict[object, list[tuple[str, int]]] = {}
-    for r in sorted(counts, key=lambda r: r["bucket"]):
-        strata.setdefault(r[label], []).append((r["bucket"], r["count"]))
-
-    wanted = []  # (stratum, split name, bucket, rank inside the bucket)
-    for stratum, buckets in strata.items():
-        size = sum(n for _, n in buckets)
-        for name, share in shares:
-            rank, seen = int(size * share + 1e-9), 0
-            for bucket, n in buckets:
-                if rank and seen < rank <= seen + n:
-                    wanted.append((stratum, name, bucket, rank - seen))
-                seen += n
-    cuts = {s: [(name, None) for name, _ in shares] for s in strata}
-    if wanted:
-        # Only the buckets with a cut are ranked: about rows / 16^digits each.
-        bucket = _bucket(F.col("h"))
-        inside = Window.partitionBy(label, bucket).orderBy("h", key)
-        ranked = hashed.filter(bucket.isin(sorted({w[2] for w in wanted}))).select(
-            label, key, "h", bucket.alias("bucket"), F.row_number().over(inside).alias("rank")
+    counts = _bucket_counts(hashed, label, BUCKET_DIGITS)
+    sizes: dict[object, int] = {}
+    for r in counts:
+        sizes[r[label]] = sizes.get(r[label], 0) + r["count"]
+    targets = [
+        _Target(stratum, name, int(size * share + 1e-9))
+        for stratum, size in sizes.items()
+        for name, share in shares.items()
+    ]
+    targets = _step([t for t in targets if t.rank], counts, label)
+    digits = BUCKET_DIGITS
+    while digits < 15 and any(t.rows > RANKED_ROWS for t in targets):
+        prefixes = sorted({t.prefix for t in targets})
+        digits += BUCKET_DIGITS
+        targets = _step(targets, _bucket_counts(hashed, label, digits, prefixes), label)
+
+    found: dict[tuple[object, str], tuple[str, object]] = {}
+    if targets:
+        bucket = F.substring("h", 1, digits)
+        order = Window.partitionBy(label, "bucket").orderBy("h", key)
+        # Equal keys are merged before they are ordered.
+        ranked = (
+            hashed.filter(bucket.isin(sorted({t.prefix for t in targets})))
+            .groupBy(label, bucket.alias("bucket"), "h", key)
+            .count()
+            .withColumn("upto", F.sum("count").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         )
-        places = {(stratum, b, rank): name for stratum, name, b, rank in wanted}
-        for r in ranked.filter(F.col("rank").isin(sorted({w[3] for w in wanted}))).collect():
-            name = places.get((r[label], r["bucket"], r["rank"]))
-            if name is not None:
-                slot = [n for n, _ in shares].index(name)
-                cuts[r[label]][slot] = (name, (r["h"], r[key]))
+        holds = F.lit(False)
+        for rank in sorted({t.rank for t in targets}):
+            holds = holds | ((F.col("upto") >= rank) & (F.col("upto") - F.col("count") < rank))
+        for r in ranked.filter(holds).collect():
+            for t in targets:
+                at_rank = r["upto"] - r["count"] < t.rank <= r["upto"]
+                if at_rank and (r[label], r["bucket"]) == (t.stratum, t.prefix):
+                    found[(t.stratum, t.name)] = (r["h"], r[key])
+    cuts = {s: [(name, found.get((s, name))) for name in shares] for s in sizes}
     return SplitCuts(key, label, params.seed, cuts)
 
 
@@ -121,16 +165,17 @@ def hash_split(df: DataFrame, key: str, params: SplitParams = SplitParams()) ->
 def stratified_folds(
     df: DataFrame, key: str, label: str, folds: int = 5, seed: int = 42
 ) -> DataFrame:
-    """Add ``fold``: (rank by hash inside the label - 1) modulo ``folds``."""
-    hashed = df.withColumn("h", hash_order(key, seed)).withColumn("bucket", _bucket(F.col("h")))
-    counts = collect_small(
-        hashed.groupBy(label, "bucket").count(), MAX_STRATA * 16**BUCKET_DIGITS
-    )
-    if counts is None:
-        raise ValueError(f"{label} has too many values to stratify by")
+    """Add ``fold``: (rank by hash inside the label - 1) modulo ``folds``; one key per row."""
+    digits = BUCKET_DIGITS
+    hashed = df.withColumn("h", hash_order(key, seed))
+    counts = _bucket_counts(hashed, label, digits)
+    if any(r["count"] > RANKED_ROWS for r in counts):
+        digits += 1
+        counts = _bucket_counts(hashed, label, digits)
+    hashed = hashed.withColumn("bucket", F.substring("h", 1, digits))
     seen: dict[object, int] = {}
     offsets = []
-    for r in sorted(counts, key=lambda r: r["bucket"]):
+    for r in counts:
         offsets.append((r[label], r["bucket"], seen.get(r[label], 0)))
         seen[r[label]] = seen.get(r[label], 0) + r["count"]
     if not offsets:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayflow.functions.columns import threshold_grid
 from stayflow.operators import evaluation as E
+from stayflow.operators.sizing import materialize
 from stayflow.operators.splits import stratified_split
 from stayflow.params import BusinessParams, QualityGates
 from stayflow.plans import check_sql as S
@@ -24,8 +25,10 @@ def sweep(spark, sf_dir) -> DataFrame:
 
 
 def scored_split(spark, sf_dir) -> DataFrame:
+    """(y, p, split), written once: choosing and testing a threshold read it several times."""
     rows = accounts(spark, sf_dir, ["account_id", "tenure", "contract", "internet_service", "churn"])
-    return stratified_split(fixed_score(rows), "account_id", "y")
+    scored = fixed_score(rows).select("account_id", "y", "p")
+    return materialize(stratified_split(scored, "account_id", "y").drop("account_id"))
 
 
 _SWEEP = f"WITH {S.SCORED},{S.sweep_sql('scored')}"

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayflow.operators import quantiles as Q
+from stayflow.operators import splits as Sp
 from stayflow.operators.ordering import running_totals
 from stayflow.operators.splits import hash_split, seeded_sample, stratified_folds, stratified_split
 from stayflow.params import SplitParams
@@ -90,8 +91,9 @@ def labelled(spark, n):
     return spark.range(n).select("id", (F.col("id") % 3 == 0).cast("int").alias("y")).repartition(3)
 
 
-@pytest.mark.parametrize("n", [1, 7, 1000])
-def test_split_is_exact(spark, n):
+@pytest.mark.parametrize("n, ranked", [(1, 100), (2, 100), (5, 100), (7, 100), (1000, 100), (30_000, 2), (1000, 0)])
+def test_split_is_exact(spark, monkeypatch, n, ranked):
+    monkeypatch.setattr(Sp, "RANKED_ROWS", ranked)
     got = {r["id"]: r["split"] for r in stratified_split(labelled(spark, n), "id", "y").collect()}
     assert len(got) == n
     for label in (0, 1):
@@ -112,7 +114,15 @@ def test_other_shares(spark):
     assert 198 <= counts["train"] <= 201
 
 
-def test_folds(spark):
+def test_split_keeps_equal_keys_together(spark):
+    rows = spark.createDataFrame([(i if i > 300 else 0, 1) for i in range(1000)], "id long, y int")
+    got = stratified_split(rows, "id", "y").collect()
+    assert len(got) == 1000 and len({r["split"] for r in got if r["id"] == 0}) == 1
+
+
+@pytest.mark.parametrize("ranked", [0, 100])
+def test_folds(spark, monkeypatch, ranked):
+    monkeypatch.setattr(Sp, "RANKED_ROWS", ranked)
     rows = stratified_folds(labelled(spark, 600), "id", "y").collect()
     assert len(rows) == 600
     for label in (0, 1):
