@@ -45,7 +45,7 @@ accounts AS (
     CAST(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS INTEGER) AS senior_citizen,
     CASE WHEN (o_orderkey * 7919) % 100 <
       15 + CASE {_CONTRACT} WHEN 'Month-to-month' THEN 25 WHEN 'Two year' THEN -10 ELSE 0 END
-         + CASE WHEN o_orderstatus = 'F' THEN 20 ELSE 0 END
+         + CASE WHEN o_orderstatus = 'F' AND o_orderkey % 101 <> 0 THEN 20 ELSE 0 END
          + CASE WHEN {_TENURE} < 12 THEN 10 ELSE 0 END
       THEN 'Yes' ELSE 'No' END AS churn
   FROM orders LEFT JOIN customer ON c_custkey = o_custkey

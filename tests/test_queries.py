@@ -47,3 +47,15 @@ def test_plan_scales(spark, sf_dir, name):
 def test_columns_are_pruned(spark, sf_dir):
     plan = QUERIES["threshold_sweep"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "lineitem" not in plan and "customer" not in plan and "o_totalprice" not in plan
+
+
+def test_fixture_sweep_numbers():
+    """The sweep at the 0.01 scale, as recorded for the fixture."""
+    con = connect("/root/testdata/sf0.01")
+    rows = con.sql(
+        f"SELECT threshold, true_positives, total_flagged, net_value FROM ({CHECKS['threshold_sweep']})"
+    ).fetchall()
+    got = {r[0]: r[1:] for r in rows}
+    assert got[0.2] == (5181, 12375, 2_489_850.0)
+    assert got[0.45] == (3499, 6864, 1_756_200.0)
+    assert got[0.85] == (0, 0, 0.0)
