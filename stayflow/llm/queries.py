@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import langid, mixing
+from stayflow.llm import bpe, langid, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -27,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+@query("op3_byte_bpe")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN)
+
+
 @query("op8_source_mix", mixing.MIX_SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
