@@ -343,3 +343,24 @@ def round_trip(
     tokens = ByteBPE(docs.sparkSession, path, pattern)
     digest = tokens.digests(tokens.encode(F.col(text_col)))
     return docs.select(F.col(id_col).alias("doc_id"), digest.alias("digest")).select("doc_id", "digest.*")
+
+
+def token_rows(
+    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, ids, n_tokens, and whether the decoded ids are the text again, of every row."""
+    content = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode, decoder = encoder_of(content.value, pattern).encode, decoder_of(content.value)
+        for pdf in batches:
+            ids = [encode(t or "") for t in pdf["text"]]
+            same = ["".join(decoder.pieces(x)) == (t or "") for x, t in zip(ids, pdf["text"])]
+            yield pd.DataFrame(
+                {"doc_id": pdf["doc_id"], "ids": [x.view(np.int32) for x in ids],
+                 "n_tokens": [len(x) for x in ids], "restored": same}
+            )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInPandas(encoded, f"doc_id {kind}, ids array<int>, n_tokens long, restored boolean")

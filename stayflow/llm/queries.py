@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, langid, mixing
+from stayflow.llm import bpe, jaccard_join, langid, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -35,6 +35,12 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN)
 
 
+@query("op4_jaccard_join")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join.jaccard_join(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return joined.select("doc_id", "class_id", "n_links", "copies")
+
+
 @query("op8_source_mix", mixing.MIX_SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
