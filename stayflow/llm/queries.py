@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, fingerprints, jaccard_join, langid, mixing
+from stayflow.llm import bpe, fingerprints, jaccard_join, langid, mixing, token_files
+from stayflow.llm.store import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -33,6 +34,14 @@ def phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op2_token_files")
+def token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), folder, vocabulary)
+    return token_files.read_document_digests(spark, folder)
+
+
 @query("op3_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
