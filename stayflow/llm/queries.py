@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, fingerprints, jaccard_join, langid, mixing, token_files
+from stayflow.llm import bpe, fingerprints, jaccard_join, langid, mixing, token_files, topk, urls
 from stayflow.llm.store import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,12 +55,48 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "n_links", "copies")
 
 
+#: The rules of the url query, fixed by its contract.
+URL_RULES = [
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+]
+
+
+@query("op7_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+
+
 @query("op8_source_mix", mixing.MIX_SQL)
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+TOP_K_SQL = """
+WITH scaled AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM scaled q JOIN scaled c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op9_top_k", TOP_K_SQL)
+def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 @query("op10_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
