@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, fingerprints, jaccard_join, langid, mixing, token_files, topk, urls
+from stayflow.llm import bpe, fingerprints, jaccard_join, langid, mixing, sharding, token_files, topk, urls
 from stayflow.llm.store import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "n_links", "copies")
 
 
+@query("op5_shards")
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 #: The rules of the url query, fixed by its contract.
 URL_RULES = [
     urls.Rule("allow", "com", "/"),
