@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, fingerprints, jaccard_join, langid, mixing, sharding, token_files, topk, urls
+from stayflow.llm import bpe, fingerprints, jaccard_join, langid, mixing, sharding, token_counts, token_files, topk, urls
 from stayflow.llm.store import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,30 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op6_edit_counts")
+def edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits of each document: its source is put before it, seven characters after its first
+    third give way to its first nine, and its language is put after it."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    text, n = F.coalesce("text", F.lit("")), F.coalesce(F.length("text"), F.lit(0))
+    put = F.concat(F.coalesce("source", F.lit("")), F.lit(" "))
+    edit = lambda seq, start, removed, inserted: F.struct(
+        F.lit(seq).alias("seq"), start.alias("start"), F.lit(removed).alias("removed"), inserted.alias("inserted")
+    )
+    changes = F.array(
+        edit(1, F.lit(0), 0, put),
+        edit(2, F.length(put) + F.floor(n / 3).cast("int"), 7, F.substring(text, 1, 9)),
+        edit(3, F.length(put) + n + 9, 0, F.concat(F.lit(" "), F.coalesce("lang", F.lit("")))),
+    )
+    edits = docs.select("doc_id", F.explode(changes).alias("c")).select("doc_id", "c.*")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    counts = token_counts.recount(docs.select("doc_id", "text"), edits, vocabulary, public_tokenizers.PATTERN)
+    return counts.select(
+        "doc_id", "n_chars", "n_tokens", "edits", "edited_chars", "edited_tokens", "encoded_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"), F.size("leaf_tokens").cast("long").alias("leaves"),
+    )
+
+
 #: The rules of the url query, fixed by its contract.
 URL_RULES = [
     urls.Rule("allow", "com", "/"),
