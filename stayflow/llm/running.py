@@ -45,10 +45,9 @@ def id_part(df: DataFrame, id_col: str, parts: int) -> tuple[Column, int]:
     after the others; and how many ranges there are. Ranges lie between approximate quantiles, so
     they are about equal; the driver gets one number for each.
     """
-    marks = df.select(F.col(id_col).cast("double").alias("id")).approxQuantile(
-        "id", [i / parts for i in range(1, parts)], 1 / (4 * parts)
-    )
-    cuts = sorted(set(marks))
+    shares = [i / parts for i in range(1, parts)]
+    ids = df.select(F.col(id_col).cast("double").alias("id"))
+    cuts = sorted(set(ids.approxQuantile("id", shares, 1 / (4 * parts)))) if shares else []
     below = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
     part = F.when(F.col(id_col).isNull(), F.lit(len(cuts) + 1)).otherwise(
         F.size(F.filter(below, lambda c: c < F.col(id_col)))

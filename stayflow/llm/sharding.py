@@ -11,11 +11,8 @@ from stayflow.llm.store import checkpointed
 
 #: Bits of a hash that choose the part in which rows are ordered.
 PART_BITS = 12
-
-
-def _share(*columns) -> Column:
-    """A number in [0, 1) from the hash of the columns."""
-    return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
+#: A group is small if so many of its size fit into a shard.
+UNIT = 16
 
 
 def _part(column: str) -> Column:
@@ -23,34 +20,6 @@ def _part(column: str) -> Column:
     return F.shiftright(column, 64 - PART_BITS)
 
 
-def admitted(wishes: np.ndarray, spare: np.ndarray) -> np.ndarray:
-    """Moves of linked rows between shards under quotas: ``wishes[s, t]`` rows want to move from s
-    to t, and ``spare[t]`` rows of t have no links and can make room. A shard takes in no more than
-    it gives away and can make room for; each source gives in proportion."""
-    moves = wishes.astype(np.int64).copy()
-    while True:
-        too_many = moves.sum(axis=0) - moves.sum(axis=1) - spare
-        if (too_many <= 0).all():
-            return moves
-        for t in np.flatnonzero(too_many > 0):
-            inflow = moves[:, t].sum()
-            moves[:, t] = moves[:, t] * max(0, inflow - too_many[t]) // max(1, inflow)
-
-
-def balancing(sizes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Moves from shards with too many rows to those with too few, each in order."""
-    moves = np.zeros((len(sizes), len(sizes)), np.int64)
-    over, under = np.maximum(sizes - wanted, 0), np.maximum(wanted - sizes, 0)
-    s = t = 0
-    while s < len(sizes) and t < len(sizes):
-        n = min(over[s], under[t])
-        moves[s, t] += n
-        over[s] -= n
-        under[t] -= n
-        s, t = s + (over[s] == 0), t + (under[t] == 0)
-    return moves
-
-
 def even(n: int, sizes: np.ndarray) -> np.ndarray:
     """Row counts at most one apart; the larger ones where most rows are now."""
     shards = len(sizes)
@@ -59,29 +28,40 @@ def even(n: int, sizes: np.ndarray) -> np.ndarray:
     return wanted
 
 
-def _wish(rows: DataFrame, quota: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with the shard they want (``wish``; NULL without links), and the groups' counts.
+def _held(rows: DataFrame) -> DataFrame:
+    """Rows of each group by shard: (links, shard, n)."""
+    return rows.where(F.col("links").isNotNull()).groupBy("links", "shard").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _moved(rows: DataFrame, quota: int) -> DataFrame:
+    """Every linked row in the shard that its group wants, whatever room there is; adds ``rank``: 0
+    for rows without links, 1 for those of groups that a shard holds many of, 2 for the others.
 
     A group wants as many of the shards where most of its members are as it needs at the quota, one
     for all but very large groups. Members outside them choose one by their hash.
     """
-    held = (
-        rows.where(F.col("links").isNotNull())
-        .groupBy("links", "shard").agg(F.count(F.lit(1)).alias("n"))
-    )
+    held = _held(rows)
     # At most one row per shard and group: these windows are as small as the number of shards.
     by = Window.partitionBy("links")
-    needs = F.ceil(F.sum("n").over(by) / F.lit(max(1, quota)))
+    total = F.sum("n").over(by)
     best = F.row_number().over(by.orderBy(F.col("n").desc(), "shard"))
-    ranked = held.withColumn("total", F.sum("n").over(by)).withColumn("best", best).withColumn("needs", needs)
+    ranked = held.withColumns({"total": total, "best": best})
     targets = (
-        ranked.where((F.col("best") <= F.col("needs")) & (F.col("total") > 1))
+        ranked.where(F.col("best") <= F.ceil(F.col("total") / F.lit(max(1, quota))))
         .groupBy(F.col("links").alias("of"))
-        .agg(F.array_sort(F.collect_list("shard")).alias("targets"))
+        .agg(
+            F.array_sort(F.collect_list("shard")).alias("targets"),
+            F.when(F.max("total") * UNIT <= quota, 1).otherwise(2).alias("large"),
+        )
     )
     chosen = F.element_at("targets", (F.pmod(F.xxhash64("order"), F.size("targets")) + 1).cast("int"))
-    wish = F.when(F.array_contains("targets", F.col("shard")), F.col("shard")).otherwise(chosen)
-    return rows.join(targets, rows["links"] == targets["of"], "left").withColumn("wish", wish).drop("of", "targets"), held
+    stays = F.col("of").isNull() | F.array_contains("targets", F.col("shard"))
+    return (
+        rows.join(targets, rows["links"] == targets["of"], "left")
+        .withColumn("rank", F.coalesce("large", F.lit(0)))
+        .withColumn("shard", F.when(stays, F.col("shard")).otherwise(chosen))
+        .drop("of", "targets", "large")
+    )
 
 
 def _cut(held: DataFrame) -> int:
@@ -90,58 +70,32 @@ def _cut(held: DataFrame) -> int:
     return int(pairs.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("own")) / 2), F.lit(0.0))).first()[0])
 
 
-def _round(rows: DataFrame, shards: int, quota: int, turn: int) -> DataFrame:
-    """One round: linked rows move as far as quotas allow, rows without links make room."""
-    wished, _ = _wish(rows, quota)
-    wished = checkpointed(wished)
-    linked = F.col("wish").isNotNull()
-    # At most shards * shards rows come to the driver.
-    counts = wished.groupBy("shard", "wish").agg(F.count(F.lit(1)).alias("n")).collect()
-    wishes, spare, sizes = np.zeros((shards, shards), np.int64), np.zeros(shards, np.int64), np.zeros(shards, np.int64)
-    for r in counts:
-        sizes[r["shard"]] += r["n"]
-        if r["wish"] is None:
-            spare[r["shard"]] += r["n"]
-        elif r["wish"] != r["shard"]:
-            wishes[r["shard"], r["wish"]] += r["n"]
-    moves = admitted(wishes, spare)
-    after = sizes - moves.sum(axis=1) + moves.sum(axis=0)
-    room = balancing(after, even(int(sizes.sum()), sizes))
-    # Each cell's share as an array: the hash of a row decides, so a group moves as one.
-    with np.errstate(divide="ignore", invalid="ignore"):
-        share = np.where(wishes > 0, moves / wishes, 0.0)
-        leave = np.cumsum(np.where(spare[:, None] > 0, room / spare[:, None], 0.0), axis=1)
-    cell = F.element_at(F.array(*[F.lit(float(x)) for x in share.ravel()]), F.col("shard") * shards + F.col("wish") + 1)
-    steps = F.element_at(
-        F.array(*[F.array(*[F.lit(float(x)) for x in line]) for line in leave]), F.col("shard") + 1
-    )
-    luck = _share("order", F.lit(turn))
-    target = F.size(F.filter(steps, lambda x: x <= luck))
-    moved = F.when(
-        linked, F.when(_share("links", "shard", F.lit(turn)) < cell, F.col("wish")).otherwise(F.col("shard"))
-    ).otherwise(F.when(target < shards, target).otherwise(F.col("shard")))
-    return checkpointed(wished.withColumn("shard", moved.cast("int")).drop("wish"))
-
+def _settled(moved: DataFrame, shards: int) -> DataFrame:
+    """Hold every shard to its quota: exactly the rows that are too many go where rows are missing.
 
-def _settle(rows: DataFrame, shards: int) -> DataFrame:
-    """Move exactly the rows that are too many, those without links first, to where rows are missing."""
+    Rows without links go first, then small groups one after the other, so that few are cut, then
+    rows of large groups. Shards' sizes are all that comes to the driver.
+    """
     sizes = np.zeros(shards, np.int64)
-    for r in rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
+    for r in moved.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
         sizes[r["shard"]] = r["n"]
     wanted = even(int(sizes.sum()), sizes)
     excess, missing = np.maximum(sizes - wanted, 0), np.maximum(wanted - sizes, 0)
-    if not excess.any():
-        return rows
-    at = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("shard") + 1)
-    order = rows.withColumn("bound", F.col("links").isNotNull()).withColumn(
-        "bucket", F.struct("bound", _part("order"))
+    # Parts to sort in: small groups whole, large ones and rows without links by their own hashes.
+    part = F.struct(
+        "rank",
+        F.when(F.col("rank") > 0, _part("links")).alias("group"),
+        F.when(F.col("rank") != 1, _part("order")).alias("row"),
     )
-    placed = total_before(order, F.lit(1), ["shard"], "bucket", ["order", "doc_id"], "before")
+    placed = total_before(
+        moved.withColumn("bucket", part), F.lit(1), ["shard"], "bucket", ["links", "order", "doc_id"], "before"
+    )
+    at = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("shard") + 1)
     number = F.col("before") + at(np.cumsum(excess) - excess)
     ends = F.array(*[F.lit(int(x)) for x in np.cumsum(missing)])
     target = F.size(F.filter(ends, lambda x: x <= number))
-    moved = F.when(F.col("before") < at(excess), target).otherwise(F.col("shard"))
-    return placed.withColumn("shard", moved.cast("int")).drop("before", "bucket", "bound")
+    shard = F.when(F.col("before") < at(excess), target).otherwise(F.col("shard")).cast("int")
+    return placed.withColumn("shard", shard).drop("before", "bucket", "rank")
 
 
 def shard(
@@ -150,17 +104,17 @@ def shard(
     id_col: str = "doc_id",
     text_col: str = "text",
     links: Column | None = None,
-    rounds: int = 4,
+    rounds: int = 6,
 ) -> DataFrame:
     """Put every row into a shard: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     The law is ``rows``: counts are at most one apart. Rows with the same value of ``links`` (the
     text by default; NULL links nothing) are linked. They start where their hash puts them, evenly.
-    Each round every group of linked rows wants to be in the shard where most of it is (a group
-    larger than a shard in as many shards as it needs), and its other members move there as far as
-    rows move away or rows without links can make room. Rounds end when no cut link is saved, or
-    after ``rounds``. At last the few rows that are too many in a shard move, those without links
-    first. ``slot`` numbers the rows of a shard from 0 without a gap; ``size`` is the UTF-8 length of
+    Each round every group of linked rows takes the shard where most of it is as its label (a group
+    larger than a shard as many as it needs), its other members move there, and quotas are restored:
+    from a shard with too many rows the rows without links move on, then small groups as a whole, then
+    rows of large groups. Rounds end when one saves less than a hundredth of the cut links, or after
+    ``rounds``. ``slot`` numbers the rows of a shard from 0 without a gap; ``size`` is the UTF-8 length of
     the text (NULL: none) plus 8; ``grown_shard`` is NULL under this law.
 
     A group may be of any size: it takes part as counts by shard, and its rows are spread over tasks
@@ -175,7 +129,7 @@ def shard(
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.when((text if links is None else links).isNotNull(), linked).alias("links"),
     )
-    # Links of one row are none: they leave the row free to make room.
+    # A link of one row links nothing, so the row can make room.
     rows = checkpointed(rows.withColumn("order", F.xxhash64("doc_id", "size", "text_crc32")))
     alone = rows.where(F.col("links").isNotNull()).groupBy(F.col("links").alias("of")).agg(
         F.count(F.lit(1)).alias("n")).where("n > 1").select("of")
@@ -184,16 +138,16 @@ def shard(
     start = total_before(rows, F.lit(1), [], "bucket", ["order", "doc_id"], "number")
     rows = checkpointed(start.withColumn("shard", (F.col("number") % shards).cast("int")).drop("number", "bucket"))
     quota = rows.count() // shards
-    cut = _cut(_wish(rows, quota)[1])
-    for turn in range(rounds):
+    cut = _cut(_held(rows))
+    for _ in range(rounds):
         if not cut:
             break
-        moved = _settle(_round(rows, shards, quota, turn), shards)
-        moved = checkpointed(moved)
-        left = _cut(_wish(moved, quota)[1])
-        if left >= cut:
+        moved = checkpointed(_settled(checkpointed(_moved(rows, quota)), shards))
+        left = _cut(_held(moved))
+        enough = left > 0.99 * cut
+        rows, cut = (moved, left) if left < cut else (rows, cut)
+        if enough:
             break
-        rows, cut = moved, left
     placed = total_before(
         rows.withColumn("bucket", _part("order")), F.lit(1), ["shard"], "bucket", ["order", "doc_id"], "slot"
     )
