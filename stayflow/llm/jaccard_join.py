@@ -64,20 +64,25 @@ def digest(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
-def sketches(docs: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:
-    """doc_id, content, shingles (their number), labels (the minimum hashes) of every row."""
+def sketches(docs: DataFrame, size: int, trees: int, depths: Sequence[int], seed: int) -> DataFrame:
+    """doc_id, content, shingles (their number), keys (of the shortest prefix in each tree) of
+    every row."""
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for text in pdf["text"]:
                 s = shingle_set(text, size)
-                out.append((digest(s), len(s), signature(s, hashes, seed).tobytes() if len(s) else None))
-            new = pd.DataFrame(out, columns=["content", "shingles", "labels"])
+                keys = None
+                if len(s):
+                    labels = signature(s, trees * max(depths), seed)
+                    keys = prefix_keys(labels[None, :], trees, min(depths))[0]
+                out.append((digest(s), len(s), keys))
+            new = pd.DataFrame(out, columns=["content", "shingles", "keys"])
             yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), new], axis=1)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(sketched, f"doc_id {kind}, content binary, shingles long, labels binary")
+    return docs.mapInPandas(sketched, f"doc_id {kind}, content binary, shingles long, keys array<long>")
 
 
 def forest(members: DataFrame, trees: int, depths: Sequence[int]) -> DataFrame:
@@ -337,7 +342,7 @@ def jaccard_join(
     the tasks and never become rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sketched = checkpointed(sketches(rows, size, trees * max(depths), seed))
+    sketched = checkpointed(sketches(rows, size, trees, depths, seed))
     members = checkpointed(
         sketched.where(F.col("content").isNotNull())
         .groupBy("content")
@@ -345,10 +350,11 @@ def jaccard_join(
             F.min("doc_id").alias("first_id"),
             F.count(F.lit(1)).alias("copies"),
             F.first("shingles").alias("shingles"),
-            F.first("labels").alias("labels"),
+            F.first("keys").alias("keys"),
         )
     )
-    links = _links(rows, members, size, threshold, trees, sorted(depths, reverse=True), target_recall)
+    depths = sorted(depths, reverse=True)
+    links = _links(rows, members, size, threshold, trees, depths, target_recall, seed)
     found = links.groupBy("content").agg(F.sum("links").alias("links"))
     edges = links.where(F.col("content") != F.col("root")).select(
         F.col("content").alias("a"), F.col("root").alias("b")
@@ -373,16 +379,15 @@ def jaccard_join(
     )
 
 
-def _links(rows, members, size, threshold, trees, depths, target_recall) -> DataFrame:
+def _links(rows, members, size, threshold, trees, depths, target_recall, seed) -> DataFrame:
     """Rows (content, root, links) of all levels that were needed."""
-    planted = forest(members.select("content", "shingles", "labels"), trees, depths)
-    last = depths[-1]
-    shared = planted.groupBy(F.col(f"keys{last}")[0].alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    shared = shared.where(F.col("n") > 1).select("key")
-    planted = checkpointed(
-        planted.withColumn("key", F.col(f"keys{last}")[0]).join(shared, "key").drop("key")
-    )
-    items = checkpointed(_items(rows, members, planted, size))
+    # Two numbers a row decide which members share a bucket of the shortest prefix at all.
+    keys = members.select(F.explode("keys").alias("key"), F.xxhash64("content").alias("member"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("key")
+    near = keys.join(shared, "key").select("member").distinct()
+    wanted = members.drop("keys").withColumn("member", F.xxhash64("content")).join(near, "member").drop("member")
+    items = checkpointed(_items(rows, checkpointed(wanted), size, trees * max(depths), seed))
+    planted = forest(items.select("content", "shingles", "labels"), trees, depths)
     levels = []
     for i, depth in enumerate(depths):
         deeper = depths[i - 1] if i else None
@@ -397,23 +402,25 @@ def _links(rows, members, size, threshold, trees, depths, target_recall) -> Data
     return done.select("content", "root", "links")
 
 
-def _items(rows: DataFrame, members: DataFrame, planted: DataFrame, size: int) -> DataFrame:
-    """Whole shingle sets of the members that share a bucket: content, copies, shingles, labels, items."""
+def _items(rows: DataFrame, wanted: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:
+    """The wanted members with their labels and whole shingle sets: content, copies, shingles,
+    labels, items."""
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sets = [shingle_set(t, size) for t in pdf["text"]]
-            use = [i for i, s in enumerate(sets) if digest(s) == pdf["content"].iloc[i]]
-            yield pd.DataFrame({"content": pdf["content"].iloc[use].to_list(), "items": [sets[i].tobytes() for i in use]})
+            out = []
+            for content, text in zip(pdf["content"], pdf["text"]):
+                s = shingle_set(text, size)
+                if digest(s) == content:
+                    out.append((content, signature(s, hashes, seed).tobytes(), s.tobytes()))
+            yield pd.DataFrame(out, columns=["content", "labels", "items"])
 
-    needed = planted.select("content").distinct()
-    wanted = members.join(needed, "content")
     texts = rows.join(
         wanted.select("content", "first_id"), F.col("doc_id").eqNullSafe(F.col("first_id"))
     ).select("content", "text")
     # An id may repeat: only the row with this content counts, and one of them.
-    items = texts.mapInPandas(listed, "content binary, items binary").dropDuplicates(["content"])
-    return wanted.drop("first_id").join(items, "content")
+    items = texts.mapInPandas(listed, "content binary, labels binary, items binary")
+    return wanted.drop("first_id").join(items.dropDuplicates(["content"]), "content")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
