@@ -325,6 +325,8 @@ def jaccard_join(
 
     - ``doc_id``, ``content`` (16 bytes, equal for equal shingle sets),
     - ``class_id``: the least id of its connected component of links, copies included,
+    - ``class_content``: the least ``content`` of that component, which names it even where ids repeat
+      or are missing; NULL without words,
     - ``n_links``: the number of other rows it is linked with, copies included,
     - ``copies``: the rows with the same shingle set, itself included.
 
@@ -368,12 +370,13 @@ def jaccard_join(
     )
     heads = placed.groupBy("label").agg(F.min("first_id").alias("class_id"))
     classes = placed.join(heads, "label").select(
-        F.col("content").alias("of"), "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links")
+        F.col("content").alias("of"), "label", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links")
     )
     return sketched.join(classes, sketched["content"] == classes["of"], "left").select(
         "doc_id",
         "content",
         F.when(F.col("content").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.col("label").alias("class_content"),
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
         F.coalesce("copies", F.lit(1)).alias("copies"),
     )
@@ -431,11 +434,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     size = options.get("size", 5)
     joined = checkpointed(jaccard_join(docs, id_col, text_col, **options)).where(F.col("content").isNotNull())
-    # Class ids of rows without any id are NULL: these go by their content, copies only.
-    group = F.when(F.col("class_id").isNull(), F.col("content"))
     first = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "content")
     chosen = (
-        joined.groupBy("class_id", group.alias("group"))
+        joined.groupBy("class_content")
         .agg(F.min(first).alias("first"))
         .select(F.col("first.doc_id").alias("kept_id"), F.col("first.content").alias("kept_content"))
     )
