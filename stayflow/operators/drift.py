@@ -36,8 +36,11 @@ class DriftReference:
 def reference_sample(
     df: DataFrame, columns: Sequence[str], key: str, params: DriftParams = DriftParams()
 ) -> DataFrame:
-    """(column, value, original): a seeded sample of exactly min(n, cap) values per column."""
-    values = long_form(df, columns, [key])
+    """(column, value, original): a seeded sample of exactly min(n, cap) values per column.
+
+    Values are drawn by the hash of their key; a row without a key by the hash of the value.
+    """
+    values = long_form(df, columns, [key], keep_missing_keys=True)
     sizes = {
         r["column"]: r["n"] for r in values.groupBy("column").agg(F.count("*").alias("n")).collect()
     }
@@ -46,7 +49,12 @@ def reference_sample(
     hashed = values.withColumn(
         "h",
         F.md5(
-            F.concat_ws("|", F.col(key).cast("string"), "column", F.lit(str(params.seed))).cast("binary")
+            F.concat_ws(
+                "|",
+                F.coalesce(F.col(key).cast("string"), F.concat(F.lit("no key "), F.col("value").cast("string"))),
+                "column",
+                F.lit(str(params.seed)),
+            ).cast("binary")
         ),
     )
     sample = seeded_sample(hashed, "column", sizes, params.max_reference_samples, ["h", key])

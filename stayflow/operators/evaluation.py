@@ -28,9 +28,14 @@ def f1(tp: Column, fp: Column, fn: Column) -> Column:
 # ---- counts at one threshold ----------------------------------------------
 
 
+def reaches(score: str, threshold: float) -> Column:
+    """Whether the score is at least the threshold; a missing or NaN score is not."""
+    return F.coalesce((F.col(score) >= F.lit(threshold)) & ~F.isnan(score), F.lit(False))
+
+
 def confusion(scored: DataFrame, threshold: float, label: str = "y", score: str = "p") -> DataFrame:
-    """One row (tn, fp, fn, tp), also when a class is absent."""
-    flagged, positive = F.col(score) >= F.lit(threshold), F.col(label) == 1
+    """One row (tn, fp, fn, tp), also when a class is absent. A row without a score is not flagged."""
+    flagged, positive = reaches(score, threshold), F.col(label) == 1
     return scored.agg(
         F.count_if(~positive & ~flagged).alias("tn"),
         F.count_if(~positive & flagged).alias("fp"),
@@ -143,7 +148,7 @@ def threshold_sweep(
     (at most thresholds + 1 rows) hold all that the whole sweep needs.
     """
     grid = sorted(thresholds)
-    reached = [(F.col(score) >= F.lit(t)).cast("int") for t in grid]
+    reached = [reaches(score, t).cast("int") for t in grid]
     bucket = reduce(lambda a, b: a + b, reached)
     counts = scored.groupBy(bucket.alias("bucket")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
@@ -281,10 +286,13 @@ def failed_gates(gates: QualityGates, roc_auc: Column, rec: Column, prec: Column
 
 
 def score_groups(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
-    """(score, pos, neg) per distinct score: ties are merged before anything is sorted."""
+    """(score, pos, neg) per distinct score: ties are merged before anything is sorted.
+
+    Rows without a score, which no threshold flags, stand below all others, at -infinity.
+    """
+    lowest = F.lit(float("-inf"))
     return (
-        scored.filter(F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("score"))
+        scored.groupBy(F.coalesce(F.nanvl(F.col(score).cast("double"), lowest), lowest).alias("score"))
         .agg(
             F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
         )
@@ -314,6 +322,7 @@ def _curve(scored: DataFrame, label: str, score: str) -> DataFrame:
         groups, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True
     )
     totals = groups.agg(F.struct(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg")))
+    seen = seen.filter(F.col("score") > F.lit(float("-inf")))
     return seen.withColumn("totals", totals.scalar()).select(*seen.columns, "totals.*")
 
 

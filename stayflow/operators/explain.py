@@ -87,11 +87,12 @@ def feature_decisions(
 ) -> DataFrame:
     """(feature, decision, justification)."""
     size, name = F.abs("coefficient"), F.col("feature")
+    # Bounds and texts are fixed values of the result.
     why = (
         F.when(size >= STRONG, "Strong predictive power")
         .when(size >= WEAK, "Moderate predictive power")
         .when(C.contains_any(name, demographic), "Weak but business-relevant demographic")
-        .when(F.contains(name, F.lit(total)), "Redundant with tenure")
+        .when(F.contains(name, F.lit(total)), "Redundant with tenure (corr=0.83)")
         .otherwise("Weak coefficient - candidate for removal")
     )
     return coefs.select(

@@ -50,6 +50,8 @@ def fit_medians(df: DataFrame, cols: CustomerColumns = CustomerColumns()) -> Med
 def with_group_median(df: DataFrame, group: str, medians: Medians, name: str) -> DataFrame:
     """Look up each row's group; an unknown or missing group gets the global entry, else 0."""
     if isinstance(medians, DataFrame):
+        if group not in df.columns:
+            return df.withColumn(name, F.lit(0.0))
         known = medians.select(F.col(group), F.col("median").alias(name))
         return df.join(known, group, "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
     fallback = F.lit(float(medians.get(GLOBAL_GROUP, 0.0)))

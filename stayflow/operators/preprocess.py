@@ -182,27 +182,23 @@ def require_contract(matrix: DataFrame, width: int, label: str = "label") -> Non
 
 def feature_sets(cols: CustomerColumns) -> dict[str, list[str]]:
     """The three compared feature lists, each followed by the engineered features."""
+    # The order of the lists is the order of the features.
     core = [
-        cols.tenure,
-        cols.monthly,
-        cols.contract,
-        cols.internet,
-        cols.online_security,
-        cols.tech_support,
-        cols.payment,
-    ]
-    moderate = [*core, cols.total, cols.senior, cols.dependents, cols.paperless]
+        cols.tenure, cols.monthly, cols.contract, cols.internet,
+        cols.online_security, cols.tech_support, cols.payment,
+    ]
     full = [
-        *moderate,
-        cols.gender,
-        cols.partner,
-        cols.phone,
-        cols.multiple_lines,
-        cols.online_backup,
-        cols.device_protection,
-        cols.streaming_tv,
-        cols.streaming_movies,
-    ]
+        cols.gender, cols.senior, cols.partner, cols.dependents, cols.tenure,
+        cols.phone, cols.multiple_lines, cols.internet, cols.online_security,
+        cols.online_backup, cols.device_protection, cols.tech_support, cols.streaming_tv,
+        cols.streaming_movies, cols.contract, cols.paperless, cols.payment,
+        cols.monthly, cols.total,
+    ]
+    moderate = [
+        cols.tenure, cols.monthly, cols.total, cols.senior,
+        cols.dependents, cols.paperless, cols.contract, cols.internet,
+        cols.online_security, cols.tech_support, cols.payment,
+    ]
     return {
         name: list(dict.fromkeys([*raw, *ENGINEERED]))
         for name, raw in (("A", core), ("B", full), ("C", moderate))

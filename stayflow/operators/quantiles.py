@@ -30,9 +30,11 @@ BRACKET_ROWS = 2_000_000
 MAX_GROUPS = 20_000
 
 
-def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., column, value) with missing keys and missing values dropped."""
-    wide = _numbers(df, columns, by)
+def long_form(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), keep_missing_keys: bool = False
+) -> DataFrame:
+    """(by..., column, value) without missing values; missing keys are dropped unless kept."""
+    wide = _numbers(df, columns, by, keep_missing_keys)
     if len(columns) == 1:
         rows = wide.select(*by, F.lit(columns[0]).alias("column"), F.col(columns[0]).alias("value"))
     else:
@@ -40,9 +42,11 @@ def long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     return rows.filter(F.col("value").isNotNull())
 
 
-def _numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+def _numbers(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str], keep_missing_keys: bool = False
+) -> DataFrame:
     wide = df.select(*by, *[number(df, c).alias(c) for c in columns])
-    return wide.dropna(subset=list(by)) if by else wide
+    return wide.dropna(subset=list(by)) if by and not keep_missing_keys else wide
 
 
 def exact_quantiles(
@@ -104,7 +108,10 @@ def exact_quantiles(
     if not pending:
         return found
     pairs = _pairs(pending)
-    picked = _pick(_entries(wide, pending, by), [*by, "pair"], _prob_of(pairs))
+    source, limits = _bounded(wide, pending, by)
+    inside = _entries(source, limits, pairs, by, inside_only=True)
+    below = _below(source, limits, pairs, by)
+    picked = _pick(inside, [*by, "pair"], _prob_of(pairs), below)
     names = F.array(*[F.lit(c) for c, _ in pairs])
     exact = picked.select(*by, names[F.col("pair")].alias("column"), "prob", "value")
     return found.unionByName(exact) if known else exact
@@ -119,8 +126,10 @@ def _prob_of(pairs: list[tuple[str, float]]) -> Column:
     return F.array(*[F.lit(p) for _, p in pairs])[F.col("pair")]
 
 
-def _entries(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> DataFrame:
-    """(by..., pair, n, low, high, value) of every value not above its bracket."""
+def _bounded(
+    wide: DataFrame, brackets: list[tuple], by: Sequence[str]
+) -> tuple[DataFrame, dict[int, list[Column]]]:
+    """The rows with the brackets of their group, and (n, low, high) of each pair as columns."""
     pairs = _pairs(brackets)
     names = {pair: i for i, pair in enumerate(pairs)}
     if by:
@@ -141,12 +150,24 @@ def _entries(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> DataF
     else:
         source = wide
         limits = {names[(b[-5], b[-4])]: [F.lit(x) for x in b[-3:]] for b in brackets}
+    return source, limits
+
+
+def _entries(
+    source: DataFrame,
+    limits: dict[int, list[Column]],
+    pairs: list[tuple[str, float]],
+    by: Sequence[str],
+    inside_only: bool = False,
+) -> DataFrame:
+    """(by..., pair, n, low, high, value) of every value not above its bracket, or only inside it."""
     entries = []
-    for (c, _), i in names.items():
+    for i, (c, _) in enumerate(pairs):
         n, low, high = limits[i]
+        held = F.col(c) <= high
         entries.append(
             F.when(
-                F.col(c) <= high,
+                held & (F.col(c) >= low) if inside_only else held,
                 F.struct(
                     F.lit(i).alias("pair"),
                     n.cast("long").alias("n"),
@@ -159,12 +180,35 @@ def _entries(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> DataF
     return source.select(*by, F.inline(F.array_compact(F.array(*entries))))
 
 
+def _below(
+    source: DataFrame, limits: dict[int, list[Column]], pairs: list[tuple[str, float]], by: Sequence[str]
+) -> DataFrame:
+    """(by..., pair, n, slot NULL, rows): the values below each bracket, counted in one wide pass."""
+    counts = source.groupBy(*by).agg(
+        *[F.count_if(F.col(c) < limits[i][1]).alias(f"c{i}") for i, (c, _) in enumerate(pairs)],
+        *[F.max(limits[i][0]).cast("long").alias(f"n{i}") for i in range(len(pairs))],
+    )
+    lines = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("pair"),
+                F.col(f"n{i}").alias("n"),
+                F.lit(None).cast("double").alias("slot"),
+                F.col(f"c{i}").alias("rows"),
+            )
+            for i in range(len(pairs))
+        ]
+    )
+    return counts.select(*by, F.inline(lines)).filter("rows > 0")
+
+
 def _narrow(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> list[tuple]:
     """One more approximate pass inside each bracket, on a fixed grid of ranks."""
     inside = F.col("value") >= F.col("low")
     grid = F.array(*[F.lit(i / NARROW_STEPS) for i in range(NARROW_STEPS + 1)])
     keys = [*by, "pair", "n", "low", "high"]
-    stats = _entries(wide, brackets, by).groupBy(*keys).agg(
+    source, limits = _bounded(wide, brackets, by)
+    stats = _entries(source, limits, _pairs(brackets), by).groupBy(*keys).agg(
         F.count_if(~inside).alias("below"),
         F.count_if(inside).alias("inside"),
         F.percentile_approx(F.when(inside, F.col("value")), grid, ACCURACY).alias("marks"),
@@ -183,10 +227,17 @@ def _narrow(wide: DataFrame, brackets: list[tuple], by: Sequence[str]) -> list[t
     return out
 
 
-def _pick(entries: DataFrame, keys: list[str], prob: Column) -> DataFrame:
-    """Exact pass: count below each bracket, order the values inside, take the two ranks."""
+def _pick(
+    entries: DataFrame, keys: list[str], prob: Column, below: DataFrame | None = None
+) -> DataFrame:
+    """Exact pass: count below each bracket, order the values inside, take the two ranks.
+
+    ``below`` has the counts below when the entries are only those inside.
+    """
     slot = F.when(F.col("value") >= F.col("low"), F.col("value"))
     counted = entries.groupBy(*keys, "n", slot.alias("slot")).agg(F.count("*").alias("rows"))
+    if below is not None:
+        counted = counted.unionByName(below)
     ordered = Window.partitionBy(*keys).orderBy(F.col("slot").asc_nulls_first())
     place = (F.col("n") - 1) * prob
     covered = F.sum("rows").over(ordered.rowsBetween(Window.unboundedPreceding, 0))

@@ -165,11 +165,14 @@ def hash_split(df: DataFrame, key: str, params: SplitParams = SplitParams()) ->
 def stratified_folds(
     df: DataFrame, key: str, label: str, folds: int = 5, seed: int = 42
 ) -> DataFrame:
-    """Add ``fold``: (rank by hash inside the label - 1) modulo ``folds``; one key per row."""
+    """Add ``fold``: (rank by hash inside the label - 1) modulo ``folds``; one key per row.
+
+    Rows without a label are a stratum of their own. Hash buckets are divided until each is small.
+    """
     digits = BUCKET_DIGITS
     hashed = df.withColumn("h", hash_order(key, seed))
     counts = _bucket_counts(hashed, label, digits)
-    if any(r["count"] > RANKED_ROWS for r in counts):
+    while digits < BUCKET_DIGITS + 2 and any(r["count"] > RANKED_ROWS for r in counts):
         digits += 1
         counts = _bucket_counts(hashed, label, digits)
     hashed = hashed.withColumn("bucket", F.substring("h", 1, digits))
@@ -181,10 +184,12 @@ def stratified_folds(
     if not offsets:
         return df.withColumn("fold", F.lit(None).cast("int"))
     kind = df.schema[label].dataType.simpleString()
-    known = df.sparkSession.createDataFrame(offsets, f"{label} {kind}, bucket string, before long")
+    known = df.sparkSession.createDataFrame(offsets, f"of {kind}, prefix string, before long")
     inside = Window.partitionBy(label, "bucket").orderBy("h", key)
     return (
-        hashed.join(F.broadcast(known), [label, "bucket"])
+        hashed.join(
+            F.broadcast(known), F.col(label).eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("prefix"))
+        )
         .withColumn(
             "fold",
             ((F.col("before") + F.row_number().over(inside) - 1) % folds).cast("int"),
@@ -199,28 +204,32 @@ def seeded_sample(
     """Per ``by`` group exactly min(size, cap) rows, the first in hash order.
 
     ``order`` is [hash column, tie-break...]. The hash is uniform, so rows beyond a
-    share slightly above cap / size are dropped before the sort; if a group ever
-    came out short the job fails rather than return too few rows.
+    share slightly above cap / size are dropped before the sort. The share is widened for
+    a group that comes out short.
     """
     if cap is None:
         return values
-    share = F.lit(1.0)
-    for name, size in sizes.items():
-        if size > cap:
-            keep = min(1.0, (cap + 10 * cap**0.5 + 100) / size)
-            share = F.when(F.col(by) == name, F.lit(keep)).otherwise(share)
+    expected = {name: min(size, cap) for name, size in sizes.items()}
+    shares = {n: min(1.0, (cap + 10 * cap**0.5 + 100) / max(size, 1)) for n, size in sizes.items()}
     place = F.conv(F.substring(F.col(order[0]), 1, 12), 16, 10).cast("double") / 16**12
-    group = Window.partitionBy(by)
-    expected = F.create_map(
-        *[F.lit(x) for name, size in sizes.items() for x in (name, min(size, cap))]
-    )[F.col(by)]
-    ranked = values.filter(place <= share).withColumns(
-        {
-            "rank": F.row_number().over(group.orderBy(*order)),
-            "found": F.count("*").over(group),
-        }
-    )
-    enough = F.when(F.col("found") >= expected, F.col("rank")).otherwise(
-        F.raise_error(F.lit("sample came out short")).cast("int")
-    )
-    return ranked.filter(enough <= cap).drop("rank", "found")
+    while True:
+        share = F.lit(1.0)
+        for name, kept in shares.items():
+            if kept < 1:
+                share = F.when(F.col(by) == name, F.lit(kept)).otherwise(share)
+        near = values.filter(place <= share)
+        # One count per group; a group that came out short, as with repeated keys, is widened.
+        found = {r[by]: r["count"] for r in near.groupBy(by).count().collect()}
+        short = [n for n, kept in shares.items() if kept < 1 and found.get(n, 0) < expected[n]]
+        if not short:
+            break
+        shares |= {n: min(1.0, 4 * shares[n]) for n in short}
+    # Equal rows are merged before they are ordered, so a repeated key is one row of the window.
+    rest = [c for c in values.columns if c not in {by, *order}]
+    line = Window.partitionBy(by).orderBy(*order, *rest)
+    merged = near.groupBy(*values.columns).agg(F.count("*").alias("times"))
+    ranked = merged.withColumn(
+        "before", F.sum("times").over(line.rowsBetween(Window.unboundedPreceding, 0)) - F.col("times")
+    ).filter(F.col("before") < cap)
+    taken = F.array_repeat(F.lit(0), F.least("times", F.lit(cap) - F.col("before")).cast("int"))
+    return ranked.withColumn("one", F.explode(taken)).select(*values.columns)

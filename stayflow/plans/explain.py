@@ -98,7 +98,7 @@ _DEMO = " OR ".join(f"contains(feature, '{d}')" for d in DEMOGRAPHIC)
     f"""{_COEFS} SELECT feature, CASE WHEN abs(coefficient) >= 0.05 THEN 'KEEP' ELSE 'REVIEW' END AS decision,
   CASE WHEN abs(coefficient) >= 0.2 THEN 'Strong predictive power' WHEN abs(coefficient) >= 0.05 THEN 'Moderate predictive power'
     WHEN {_DEMO} THEN 'Weak but business-relevant demographic'
-    WHEN contains(feature, '{TOTAL}') THEN 'Redundant with tenure'
+    WHEN contains(feature, '{TOTAL}') THEN 'Redundant with tenure (corr=0.83)'
     ELSE 'Weak coefficient - candidate for removal' END AS justification FROM coefs""",
 )
 def feature_decisions(spark, sf_dir):

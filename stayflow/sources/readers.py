@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stayflow.operators.quantiles import MAX_GROUPS
+from stayflow.operators.sizing import collect_small
 from stayflow.functions import columns as C
 
 # Texts that mean "missing" in a CSV file, fixed.
@@ -80,16 +82,25 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = CUSTOMER_SCH
     return raw.select(*columns)
 
 
-def read_medians(spark: SparkSession, path: str) -> dict[str, float] | None:
-    """Group medians written by ``write_json``; None when the file is missing or no object."""
+def read_medians(
+    spark: SparkSession, path: str, group: str = "group"
+) -> dict[str, float] | DataFrame | None:
+    """Group medians written by ``write_json``; None when the file is missing or no object.
+
+    Like ``fit_medians``: a dict while the groups are few, beyond that a DataFrame (group, median)
+    whose group column is called ``group``.
+    """
     try:
         table = spark.read.json(path)
         if not {"group", "median"} <= set(table.columns):
             return None
-        rows = table.select("group", F.col("median").cast("double")).limit(20_001).collect()
+        table = table.filter(F.col("group").isNotNull()).select(
+            F.col("group").alias(group), F.col("median").cast("double").alias("median")
+        )
+        few = collect_small(table, MAX_GROUPS)
     except AnalysisException:
         return None
-    return {r["group"]: r["median"] for r in rows if r["group"] is not None}
+    return table if few is None else {r[group]: r["median"] for r in few}
 
 
 def read_matrix(spark: SparkSession, path: str, splits: list[str] | None = None) -> DataFrame:
