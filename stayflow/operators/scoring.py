@@ -60,19 +60,60 @@ def score_batch(
 ) -> DataFrame:
     """(id, churn_probability, prediction_status, churn_prediction, decision, expected_value,
     model_id) for every input row; invalid rows stay, marked ``failed``."""
-    have_id = cols.id in df.columns
+    ready, kept = _ready(df, preprocessor, medians, cols, required)
+    scored = ready.select(
+        *kept, model.probability(preprocessor.feature_columns(ready)).alias("churn_probability")
+    )
+    return decide(scored, threshold, business).withColumn("model_id", F.lit(model.model_id))
+
+
+def _ready(
+    df: DataFrame,
+    preprocessor: Preprocessor,
+    medians: Medians,
+    cols: CustomerColumns,
+    required: Sequence[str],
+) -> tuple[DataFrame, list]:
+    """Checked and engineered rows, and the columns of the result that need no model."""
     body = df.drop(cols.label)
     checked = with_row_errors(body, cols, required)
     cleaned = clean_total_charges(checked, cols) if cols.total in body.columns else checked
     ready = engineer_features(cleaned, medians, cols)
     preprocessor.require_columns(ready)
-    ok = F.size("errors") == 0
-    scored = ready.select(
-        *([cols.id] if have_id else []),
-        model.probability(preprocessor.feature_columns(ready)).alias("churn_probability"),
-        F.when(ok, "ok").otherwise("failed").alias("prediction_status"),
+    status = F.when(F.size("errors") == 0, "ok").otherwise("failed").alias("prediction_status")
+    return ready, [*([cols.id] if cols.id in df.columns else []), status]
+
+
+def linear_from_ml(model, names: Sequence[str], model_id: str | None = None) -> LinearModel:
+    """A fitted MLlib logistic regression as plain numbers."""
+    return LinearModel(
+        float(model.intercept), dict(zip(names, map(float, model.coefficients))), model_id
     )
-    return decide(scored, threshold, business).withColumn("model_id", F.lit(model.model_id))
+
+
+def score_batch_with(
+    df: DataFrame,
+    preprocessor: Preprocessor,
+    models: Mapping[str, object],
+    medians: Medians,
+    threshold: float | Column,
+    cols: CustomerColumns = CustomerColumns(),
+    business: BusinessParams = BusinessParams(),
+    required: Sequence[str] = (),
+    model_id: str | None = None,
+) -> DataFrame:
+    """``score_batch`` with trained models: LinearModel or fitted MLlib classifiers. The
+    probability is the mean of theirs; ``p_<name>`` has each."""
+    ready, kept = _ready(df, preprocessor, medians, cols, required)
+    rows = ready.select(*kept, F.array(*preprocessor.feature_columns(ready).values()).alias("features"))
+    places = {n: F.element_at("features", i + 1) for i, n in enumerate(preprocessor.feature_names())}
+    for name, model in models.items():
+        if isinstance(model, LinearModel):
+            rows = rows.withColumn(f"p_{name}", model.probability(places))
+        else:
+            rows = score_with_ml(model, rows, f"p_{name}")
+    voted = rows.drop("features").withColumn("churn_probability", soft_vote([f"p_{n}" for n in models]))
+    return decide(voted, threshold, business).withColumn("model_id", F.lit(model_id or "+".join(models)))
 
 
 def score_with_ml(model, matrix: DataFrame, name: str = "p") -> DataFrame:

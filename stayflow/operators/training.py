@@ -110,8 +110,35 @@ def regularisation(c: float, rows: int) -> float:
     return 0.0 if c == float("inf") else 1.0 / (c * max(rows, 1))
 
 
+#: Settings of each kind that have a counterpart; any other is refused.
+SETTINGS = {
+    "logistic_regression": {"C", "penalty", "l1_ratio", "max_iter", "solver"},
+    "decision_tree": {"max_depth", "min_samples_leaf", "random_state"},
+    "random_forest": {
+        "n_estimators", "max_depth", "min_samples_leaf", "max_features", "max_samples", "random_state",
+    },
+    "gradient_boosting": {
+        "n_estimators", "max_depth", "learning_rate", "subsample", "min_samples_leaf", "max_features",
+        "scale_pos_weight", "random_state",
+    },
+}
+
+
+def check_settings(candidate: Candidate) -> None:
+    unknown = set(candidate.params) - SETTINGS.get(candidate.type, set()) - {"class_weight"}
+    if candidate.type in SETTINGS and unknown:
+        raise ValueError(f"{candidate.type} takes no {', '.join(sorted(unknown))}")
+
+
+def feature_subset(value) -> str:
+    """Features tried at a split: all for None, a named rule, or a share or number as text."""
+    return "all" if value is None else str(value)
+
+
 def estimator(candidate: Candidate, rows: int):
+    check_settings(candidate)
     p = dict(candidate.params)
+    least = int(p.get("min_samples_leaf", 1))
     common = {"featuresCol": "vector", "labelCol": "label", "weightCol": "weight"}
     seed = p.get("random_state", 42)
     if candidate.type == "logistic_regression":
@@ -126,12 +153,17 @@ def estimator(candidate: Candidate, rows: int):
             standardization=False,
         )
     if candidate.type == "decision_tree":
-        return DecisionTreeClassifier(**common, maxDepth=int(p.get("max_depth", 5)), seed=seed)
+        return DecisionTreeClassifier(
+            **common, maxDepth=int(p.get("max_depth", 5)), minInstancesPerNode=least, seed=seed
+        )
     if candidate.type == "random_forest":
         return RandomForestClassifier(
             **common,
             numTrees=int(p.get("n_estimators", 100)),
             maxDepth=int(p.get("max_depth", 8)),
+            minInstancesPerNode=least,
+            featureSubsetStrategy=feature_subset(p.get("max_features", "sqrt")),
+            subsamplingRate=float(p.get("max_samples", 1.0)),
             seed=seed,
         )
     if candidate.type == "gradient_boosting":
@@ -141,6 +173,8 @@ def estimator(candidate: Candidate, rows: int):
             maxDepth=int(p.get("max_depth", 4)),
             stepSize=float(p.get("learning_rate", 0.1)),
             subsamplingRate=float(p.get("subsample", 1.0)),
+            minInstancesPerNode=least,
+            featureSubsetStrategy=feature_subset(p.get("max_features")),
             seed=seed,
         )
     raise ValueError(f"Unsupported model type: {candidate.type}")
@@ -150,6 +184,9 @@ def fit(candidate: Candidate, train: DataFrame):
     """Fit one candidate on (label, features)."""
     balanced = candidate.params.get("class_weight") == "balanced"
     weight = balanced_weight(train) if balanced else F.lit(1.0)
+    positive = float(candidate.params.get("scale_pos_weight", 1.0))
+    if positive != 1.0:
+        weight = weight * F.when(F.col("label") == 1, F.lit(positive)).otherwise(F.lit(1.0))
     ready = train.select(
         F.col("label").cast("double").alias("label"),
         array_to_vector("features").alias("vector"),

@@ -10,11 +10,13 @@ from stayflow.operators import drift as D
 from stayflow.operators import lookups as L
 from stayflow.operators import rows as R
 from stayflow.operators import scoring as Sc
-from stayflow.operators.sizing import materialize
+from stayflow.operators import training as Tr
+from stayflow.operators.sizing import materialize, scratch_folder
 from stayflow.params import ACCOUNT_COLUMNS
 from stayflow.plans import check_sql as S
 from stayflow.plans.features import MODEL_FIELDS, engineered, fitted, split_accounts
 from stayflow.plans.registry import query, rounded
+from stayflow.sources.state import FittedState, load_state, save_state
 from stayflow.sources.accounts import (
     ACCOUNT_FIELDS,
     batch_log,
@@ -56,6 +58,49 @@ def score_batch(spark, sf_dir):
     return rounded(scored_batch(spark, sf_dir), 6, expected_value=3)
 
 
+@query("score_saved_state", f"{_SCORED_BATCH} SELECT {SCORED_COLUMNS} FROM batch")
+def score_saved_state(spark, sf_dir):
+    """Fit, save, load, and score the batch from the loaded state alone."""
+    fit = fitted(spark, sf_dir)
+    folder = scratch_folder(spark)
+    save_state(spark, folder, FittedState(fit.preprocessor, fit.medians, {"linear": MODEL}), COLS.internet)
+    state = load_state(spark, folder, COLS.internet)
+    batch = faulty_accounts(spark, sf_dir, ACCOUNT_FIELDS).drop("customer_id")
+    scored = Sc.score_batch(batch, state.preprocessor, state.models["linear"], state.medians, 0.5, COLS)
+    return rounded(scored, 6, expected_value=3)
+
+
+@query(
+    "score_trained",
+    f"""{_SCORED_BATCH} SELECT account_id, prediction_status, p IS NOT NULL AS scored, true AS consistent FROM batch""",
+)
+def score_trained(spark, sf_dir):
+    """Decisions of a trained logistic regression and a trained forest, loaded from saved state,
+    by soft vote; ``consistent`` checks each row against its two probabilities."""
+    fit = fitted(spark, sf_dir)
+    matrix = fit.preprocessor.transform(fit.rows.filter("split = 'train'"), [F.col("y").alias("label")])
+    names = fit.preprocessor.feature_names()
+    with Tr.kept(matrix) as (train,):
+        linear = Sc.linear_from_ml(Tr.fit(Tr.DEFAULT_CANDIDATE, train), names)
+        forest = Tr.fit(Tr.BASELINES[2], train)
+    folder = scratch_folder(spark)
+    models = {"linear": linear, "forest": forest}
+    save_state(spark, folder, FittedState(fit.preprocessor, fit.medians, models), COLS.internet)
+    state = load_state(spark, folder, COLS.internet)
+    batch = faulty_accounts(spark, sf_dir, ACCOUNT_FIELDS).drop("customer_id")
+    rows = Sc.score_batch_with(batch, state.preprocessor, state.models, state.medians, 0.5, COLS)
+    p, mean = F.col("churn_probability"), (F.col("p_linear") + F.col("p_forest")) / 2
+    inside = F.col("p_linear").between(0, 1) & F.col("p_forest").between(0, 1)
+    decided = F.col("decision") == F.when(mean >= 0.5, "contact").otherwise("no_contact")
+    value = F.abs(F.col("expected_value") - (mean * S.VALUE - S.COST)) < 1e-6
+    good = inside & (F.abs(p - mean) < 1e-12) & decided & value & (F.col("churn_prediction") == (mean >= 0.5).cast("int"))
+    empty = p.isNull() & F.col("decision").isNull() & F.col("expected_value").isNull() & F.col("churn_prediction").isNull()
+    return rows.select(
+        "account_id", "prediction_status", p.isNotNull().alias("scored"),
+        F.when(F.col("prediction_status") == "ok", F.coalesce(good, F.lit(False))).otherwise(empty).alias("consistent"),
+    )
+
+
 @query(
     "output_validation",
     f"""{_SCORED_BATCH} SELECT count(*) AS rows, count(*) FILTER (WHERE p IS NULL) AS invalid_probability,
