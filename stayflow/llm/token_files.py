@@ -32,7 +32,8 @@ class LibraryEncoder:
     """Texts to ids with the tokenizers library, for byte-level vocabularies without a prefix space.
 
     Such a tokenizer ends a piece before each space that a non-space follows, so the text is cut
-    there and the ids of a chunk are memorised; the library encodes every new chunk.
+    there and the ids of a chunk are memorised. A new chunk goes through the library: its
+    pre-tokenizer and model where these are all there is, else its whole encoding.
     """
 
     def __init__(self, content: str, width: int, special_as_text: bool):
@@ -41,28 +42,34 @@ class LibraryEncoder:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = special_as_text
+        self.plain = special_as_text and self.tokenizer.normalizer is None
+        self.split, self.model = self.tokenizer.pre_tokenizer, self.tokenizer.model
         self.kind = np.dtype(f"<u{width}")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        chunks = space_chunks(text)
         if len(self.known) > MAX_CHUNKS:
-            self.known, self.older = {}, self.known
-        known = self.known
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            new = []
-            for c in set(chunks):
-                if c not in known:
-                    if c in self.older:
-                        known[c] = self.older[c]
-                    else:
-                        new.append(c)
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[c] = np.array(e.ids, self.kind).tobytes()
-            return b"".join([known[c] for c in chunks])
+            # Two generations: chunks that keep coming move over from the older one.
+            self.known, self.older, self.pieces = {}, self.known, {}
+        get, new = self.known.get, self.new_ids
+        return b"".join([get(c) or new(c) for c in space_chunks(text)])
+
+    def new_ids(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            if self.plain:
+                ids = b"".join([self.pieces.get(p) or self.new_piece(p) for p, _ in self.split.pre_tokenize_str(chunk)])
+            else:
+                ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
+        self.known[chunk] = ids
+        return ids
+
+    def new_piece(self, piece: str) -> bytes:
+        ids = np.array([t.id for t in self.model.tokenize(piece)], self.kind).tobytes()
+        self.pieces[piece] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
