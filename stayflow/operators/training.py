@@ -12,9 +12,10 @@ import random
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -80,6 +81,12 @@ def kept(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
             f.unpersist()
 
 
+def side_by_side(spark: SparkSession, job, places: Sequence, at_once: int = 4) -> list:
+    """Results of independent fits, a few of them at a time: small fits leave executors idle."""
+    with ThreadPool(at_once) as pool:
+        return pool.map(inheritable_thread_target(spark)(job), list(places))
+
+
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """(label, rows, weight = n / (2 n_c)); positive_weight = negatives per positive."""
     sizes = df.agg(
@@ -214,20 +221,23 @@ class Trained:
 def train_candidates(
     train: DataFrame, val: DataFrame, candidates: Sequence[Candidate], strict: bool = False
 ) -> list[Trained]:
-    """Fit every enabled candidate and measure it on validation; a failing one is skipped
-    unless strict, and no success at all is an error."""
+    """Fit every enabled candidate and measure it on validation; one that cannot be built is
+    skipped unless strict, and none at all is an error."""
     results = []
     with kept(train, val) as (train_rows, val_rows):
         for c in candidates:
             if not c.enabled:
                 continue
             try:
-                model = fit(c, train_rows)
-                results.append(Trained(c, model, metrics(score_with_ml(model, val_rows))))
-            except Exception:
+                estimator(c, 1)
+            except ValueError:
+                # Only a candidate that cannot be built is skipped; a failing job is an error.
                 if strict:
                     raise
-                log.exception("candidate %s failed and was skipped", c.name)
+                log.exception("candidate %s cannot be built and was skipped", c.name)
+                continue
+            model = fit(c, train_rows)
+            results.append(Trained(c, model, metrics(score_with_ml(model, val_rows))))
     if not results:
         raise ValueError("No enabled model candidates found.")
     return results
@@ -254,11 +264,13 @@ def cross_validate(
 ) -> DataFrame:
     """(metric, mean, std): stratified folds, population deviation over the folds."""
     spark = matrix.sparkSession
-    found = []
     with kept(stratified_folds(matrix, key, "label", folds, seed)) as (rows,):
-        for k in range(folds):
+
+        def one(k: int) -> dict[str, float]:
             model = fit(candidate, rows.filter(F.col("fold") != k))
-            found.append(metrics(score_with_ml(model, rows.filter(F.col("fold") == k))))
+            return metrics(score_with_ml(model, rows.filter(F.col("fold") == k)))
+
+        found = side_by_side(spark, one, range(folds))
     values = [(m, float(f[m])) for f in found for m in METRICS]
     return (
         spark.createDataFrame(values, "metric string, value double")
@@ -425,21 +437,31 @@ def stack(
     The final logistic regression learns from out-of-fold base scores: each fold is
     scored by models that did not see it, and the folds are put back together by union.
     """
+    spark = train.sparkSession
     names = [f"p{i}" for i in range(len(bases))]
     final = replace(
         DEFAULT_CANDIDATE, params={"C": 1.0, "penalty": "l2", "max_iter": 1000, "class_weight": "balanced"}
     )
     with kept(stratified_folds(train, key, "label", folds, seed)) as (rows,):
-        parts = []
-        for k in range(folds):
-            models = {n: fit(b, rows.filter(F.col("fold") != k)) for n, b in zip(names, bases)}
-            parts.append(base_scores(models, rows.filter(F.col("fold") == k)))
+        whole = folds
+
+        def one(place: tuple[int, int]):
+            k, i = place
+            return fit(bases[i], rows if k == whole else rows.filter(F.col("fold") != k))
+
+        places = [(k, i) for k in range(folds + 1) for i in range(len(bases))]
+        fitted = dict(zip(places, side_by_side(spark, one, places)))
+        parts = [
+            base_scores({n: fitted[k, i] for i, n in enumerate(names)}, rows.filter(F.col("fold") == k))
+            for k in range(folds)
+        ]
         out_of_fold = parts[0]
         for part in parts[1:]:
             out_of_fold = out_of_fold.unionByName(part)
-        meta = out_of_fold.select("label", F.array(*names).alias("features"))
-        combiner = fit(final, meta)
-        models = {n: fit(b, rows) for n, b in zip(names, bases)}
+        # The weights, the count and the fit read the out-of-fold scores: they are kept too.
+        with kept(out_of_fold.select("label", F.array(*names).alias("features"))) as (meta,):
+            combiner = fit(final, meta)
+        models = {n: fitted[whole, i] for i, n in enumerate(names)}
     scored = base_scores(models, val)
     return score_with_ml(
         combiner, scored.select(key, "label", *names, F.array(*names).alias("features"))

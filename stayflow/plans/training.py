@@ -11,16 +11,8 @@ from stayflow.operators.sizing import materialize
 from stayflow.plans.features import fitted
 from stayflow.plans.registry import query
 
-LOGISTIC = T.Candidate(
-    "Logistic Regression", "logistic_regression", {"C": 1.0, "penalty": "l2", "class_weight": "balanced"}
-)
-TREES = [
-    T.Candidate("Decision Tree", "decision_tree", {"max_depth": 6, "class_weight": "balanced"}),
-    T.Candidate(
-        "Random Forest", "random_forest", {"n_estimators": 20, "max_depth": 8, "class_weight": "balanced"}
-    ),
-    T.Candidate("Gradient Boosting", "gradient_boosting", {"n_estimators": 10, "max_depth": 4}),
-]
+#: The compared models with their whole settings: logistic regression, tree, forest, boosting.
+LOGISTIC, *TREES = T.BASELINES
 KEY = "account_id"
 
 
@@ -56,7 +48,7 @@ def train_trees(spark, sf_dir):
 def candidate_selection(spark, sf_dir):
     """All enabled candidates, one of a kind that cannot be built: it is skipped."""
     rows, _ = matrix(spark, sf_dir)
-    candidates = [LOGISTIC, TREES[0], T.Candidate("unknown", "no_such_type")]
+    candidates = [LOGISTIC, *TREES[:2], T.Candidate("unknown", "no_such_type")]
     results = T.train_candidates(part(rows, "train"), part(rows, "val"), candidates)
     return T.candidate_table(spark, results)
 
@@ -70,13 +62,13 @@ def cv_metrics(spark, sf_dir):
 @query("tune_lr")
 def tune_lr(spark, sf_dir):
     rows, _ = matrix(spark, sf_dir)
-    return T.tune_lr(part(rows, "train"), KEY, draws=4, folds=3, max_iter=25)
+    return T.tune_lr(part(rows, "train"), KEY, draws=4)
 
 
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     rows, _ = matrix(spark, sf_dir)
-    ranked = T.compare_models(part(rows, "train"), part(rows, "val"), [LOGISTIC, TREES[0]], KEY, folds=3)
+    ranked = T.compare_models(part(rows, "train"), part(rows, "val"), [LOGISTIC, *TREES[:2]], KEY)
     best = T.best_safe_model(ranked).select("model").first()["model"]
     return ranked.withColumn("selected", F.col("model") == best)
 
@@ -84,7 +76,7 @@ def model_comparison(spark, sf_dir):
 @query("stacking")
 def stacking(spark, sf_dir):
     rows, _ = matrix(spark, sf_dir)
-    return T.stack(part(rows, "train"), part(rows, "val"), [LOGISTIC, TREES[0]], KEY, folds=3)
+    return T.stack(part(rows, "train"), part(rows, "val"), TREES[:2], KEY)
 
 
 @query("retrain_test")

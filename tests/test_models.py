@@ -173,7 +173,7 @@ def test_explain_tables(spark):
     assert groups == {"Contract", "tenure", "gender", "TotalCharges", "x"}
     why = {r["feature"]: (r["decision"], r["justification"]) for r in X.feature_decisions(coefs).collect()}
     assert why["tenure"][0] == "KEEP" and why["gender_Male"] == ("REVIEW", "Weak but business-relevant demographic")
-    assert why["TotalCharges"][1] == "Redundant with tenure"
+    assert why["TotalCharges"][1] == "Redundant with tenure (corr=0.83)"
     assert X.coefficient_groups(coefs).filter("list = 'weak'").count() == 3
     assert X.coefficient_table(spark, [1, 2, 3], ["a", "b"]).count() == 2
 
