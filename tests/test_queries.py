@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from stayflow.plans import catalog
 from tests.compare import compare, connect
 
-QUERIES = entry.queries()
-CHECKS = entry.oracle_sql()
+# The corpus queries have tests of their own in tests/llm.
+QUERIES, CHECKS = catalog.QUERIES, catalog.CHECKS
 SLOW = {"tune_lr", "model_comparison", "stacking", "train_trees", "cv_metrics"}
 
 
@@ -17,6 +18,7 @@ def con(sf_dir):
 
 def test_every_check_has_a_query():
     assert set(CHECKS) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
