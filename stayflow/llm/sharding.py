@@ -46,7 +46,8 @@ def _moved(rows: DataFrame, quota: int) -> DataFrame:
     total = F.sum("n").over(by)
     best = F.row_number().over(by.orderBy(F.col("n").desc(), "shard"))
     ranked = held.withColumns({"total": total, "best": best})
-    targets = (
+    # Stored first, so that the join below is a plain one whose hot keys Spark can split.
+    targets = checkpointed(
         ranked.where(F.col("best") <= F.ceil(F.col("total") / F.lit(max(1, quota))))
         .groupBy(F.col("links").alias("of"))
         .agg(
@@ -131,8 +132,10 @@ def shard(
     )
     # A link of one row links nothing, so the row can make room.
     rows = checkpointed(rows.withColumn("order", F.xxhash64("doc_id", "size", "text_crc32")))
-    alone = rows.where(F.col("links").isNotNull()).groupBy(F.col("links").alias("of")).agg(
-        F.count(F.lit(1)).alias("n")).where("n > 1").select("of")
+    alone = checkpointed(
+        rows.where(F.col("links").isNotNull())
+        .groupBy(F.col("links").alias("of")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("of")
+    )
     rows = rows.join(alone, rows["links"] == alone["of"], "left").withColumn("links", F.col("of")).drop("of")
     rows = rows.withColumn("bucket", _part("order"))
     start = total_before(rows, F.lit(1), [], "bucket", ["order", "doc_id"], "number")
