@@ -10,6 +10,7 @@ will do.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,7 +26,20 @@ from stayflow.llm.running import id_part
 
 #: Ids after which a block ends; a longer document is a block of its own.
 BLOCK_IDS = 1_000_000
-MAX_CHUNKS = 350_000
+#: Chunks, and pieces, in one generation of an encoder's memory; there are two of each.
+MAX_CHUNKS = MAX_PIECES = 190_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """What byte-level tokenizers write for each byte: printable ones as they are, the others from
+    U+0100 on, in order."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+PUNCTUATION = frozenset(".,;:!?")
 
 
 class LibraryEncoder:
@@ -33,7 +47,8 @@ class LibraryEncoder:
 
     Such a tokenizer ends a piece before each space that a non-space follows, so the text is cut
     there and the ids of a chunk are memorised. A new chunk goes through the library: its
-    pre-tokenizer and model where these are all there is, else its whole encoding.
+    pre-tokenizer and model where these are all there is, else its whole encoding. A word, with or
+    without a punctuation mark after it, needs no pre-tokenizer: letters are one piece.
     """
 
     def __init__(self, content: str, width: int, special_as_text: bool):
@@ -44,15 +59,18 @@ class LibraryEncoder:
         self.tokenizer.encode_special_tokens = special_as_text
         self.plain = special_as_text and self.tokenizer.normalizer is None
         self.split, self.model = self.tokenizer.pre_tokenizer, self.tokenizer.model
-        self.kind = np.dtype(f"<u{width}")
+        self.kind, self.letter = np.dtype(f"<u{width}"), "H" if width == 2 else "I"
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         if len(self.known) > MAX_CHUNKS:
             # Two generations: chunks that keep coming move over from the older one.
-            self.known, self.older, self.pieces = {}, self.known, {}
+            self.known, self.older = {}, self.known
+        if len(self.pieces) > MAX_PIECES:
+            self.pieces, self.older_pieces = {}, self.pieces
         get, new = self.known.get, self.new_ids
         return b"".join([get(c) or new(c) for c in space_chunks(text)])
 
@@ -60,14 +78,32 @@ class LibraryEncoder:
         ids = self.older.get(chunk)
         if ids is None:
             if self.plain:
-                ids = b"".join([self.pieces.get(p) or self.new_piece(p) for p, _ in self.split.pre_tokenize_str(chunk)])
+                get, new = self.pieces.get, self.new_piece
+                ids = b"".join([get(p) or new(p) for p in self.split_chunk(chunk)])
             else:
                 ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
         self.known[chunk] = ids
         return ids
 
+    def split_chunk(self, chunk: str) -> list[str]:
+        """The pieces of a chunk, written in byte letters."""
+        mark = chunk[-1] if len(chunk) > 1 and chunk[-1] in PUNCTUATION else ""
+        word = chunk[:-1] if mark else chunk
+        if word.removeprefix(" ").isalpha():
+            if word.isascii():
+                written = word.replace(" ", BYTE_LETTERS[32])
+            else:
+                written = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return [written, mark] if mark else [written]
+        return [p for p, _ in self.split.pre_tokenize_str(chunk)]
+
     def new_piece(self, piece: str) -> bytes:
-        ids = np.array([t.id for t in self.model.tokenize(piece)], self.kind).tobytes()
+        ids = self.older_pieces.get(piece)
+        if ids is not None:
+            self.pieces[piece] = ids
+            return ids
+        tokens = [t.id for t in self.model.tokenize(piece)]
+        ids = struct.pack(f"<{len(tokens)}{self.letter}", *tokens)
         self.pieces[piece] = ids
         return ids
 
