@@ -24,8 +24,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: More states than this are dropped; more memorised chunks begin a new generation.
-MAX_STATES, MAX_CHUNKS = 150_000, 350_000
+#: More states or fitting pairs than this are dropped; more memorised chunks or pieces begin a new
+#: generation, of which there are two.
+MAX_STATES, MAX_PAIRS, MAX_CHUNKS, MAX_PIECES = 150_000, 300_000, 300_000, 100_000
+#: Rows of a batch that are handed on together.
+ROWS = 256
 #: Ids that a streaming decoder takes at a time.
 DECODE_STEP = 4096
 #: A space before which a match of the pattern never goes on: one that a non-space follows.
@@ -46,8 +49,9 @@ def parse_ranks(content: bytes) -> dict[bytes, int]:
 class Transducer:
     """Encoder of pieces (matches of the splitting pattern) to ids, states made on demand."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], max_states: int | None = None):
         self.ranks = ranks
+        self.max_states = max_states or MAX_STATES
         self.token = {rank: token for token, rank in ranks.items()}
         self.children: list[dict[int, int]] = [{}]
         self.ends: list[int] = [-1]
@@ -64,7 +68,7 @@ class Transducer:
         #: Bytes after which certain tokens are emitted.
         self.window = 4 * max(map(len, ranks), default=1)
         self._parts: dict[int, tuple[int, int] | None] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
@@ -112,7 +116,7 @@ class Transducer:
         right's left spine. They merge if their pair comes before what else takes either of them;
         of equal merges the one further left goes first.
         """
-        found = self._fits.get((left, right))
+        found = self._fits.get(left << 32 | right)
         if found is None:
             found, edge, other = True, self.spine(left, 1), self.spine(right, 0)
             i = j = 0
@@ -128,9 +132,9 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > MAX_PAIRS:
                 self._fits.clear()
-            self._fits[left, right] = found
+            self._fits[left << 32 | right] = found
         return found
 
     def step(self, state: int, byte: int) -> tuple[int, int]:
@@ -142,7 +146,7 @@ class Transducer:
             if node is None:
                 continue
             token = ends[node]
-            if token >= 0 and reached < 0 and (before < 0 or fits.get((before, token), 0) or self.fits(before, token)):
+            if token >= 0 and reached < 0 and (before < 0 or fits.get(before << 32 | token, 0) or self.fits(before, token)):
                 if token in parts or self.parts(token) is not None:
                     reached = token
             if children[node]:
@@ -178,7 +182,7 @@ class Transducer:
     def encode_piece(self, piece: bytes) -> list[int]:
         if piece in self.ranks:  # a whole piece is one token, whether or not merges make it
             return [self.ranks[piece]]
-        if len(self.keys) > MAX_STATES:
+        if len(self.keys) > self.max_states:
             self.reset()
         arcs, out, lasts, state = self.arcs, [], [], 0
         for byte in piece:
@@ -193,22 +197,30 @@ class Transducer:
 
 
 class Encoder:
-    """Texts to ids: the pattern's matches one by one, through the transducer."""
+    """Texts to ids: the pattern's matches one by one, through the transducer.
+
+    ``memory`` scales what is remembered; less costs time only.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: float = 1.0):
+        self.transducer = Transducer(ranks, int(memory * MAX_STATES))
+        self.max_chunks, self.max_pieces = int(memory * MAX_CHUNKS), int(memory * MAX_PIECES)
         self.find = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as uint32. The text is cut before spaces that a non-space follows, where every
         match of a pattern of this kind ends; ids of chunks are memorised."""
         known, chunks = self.known, space_chunks(text)
-        if len(known) > MAX_CHUNKS:
+        if len(known) > self.max_chunks:
             # Two generations: chunks that keep coming move over from the older one.
             self.older, self.known = known, {}
             known = self.known
+        if len(self.pieces) > self.max_pieces:
+            self.older_pieces, self.pieces = self.pieces, {}
         try:
             return np.frombuffer(b"".join([known[c] for c in chunks]), np.uint32)
         except KeyError:
@@ -222,10 +234,15 @@ class Encoder:
         return np.frombuffer(b"".join(out), np.uint32)
 
     def new_ids(self, chunk: str) -> bytes:
-        pieces = self.find(chunk)
-        return np.array(
-            [t for piece in pieces for t in self.transducer.encode_piece(piece.encode())], np.uint32
-        ).tobytes()
+        get, new = self.pieces.get, self.new_piece
+        return b"".join([get(p) or new(p) for p in self.find(chunk)])
+
+    def new_piece(self, piece: str) -> bytes:
+        ids = self.older_pieces.get(piece)
+        if ids is None:
+            ids = np.array(self.transducer.encode_piece(piece.encode()), np.uint32).tobytes()
+        self.pieces[piece] = ids
+        return ids
 
 
 def space_chunks(text: str) -> list[str]:
@@ -259,9 +276,9 @@ class Decoder:
 
 
 @lru_cache(maxsize=2)
-def encoder_of(content: bytes, pattern: str) -> Encoder:
+def encoder_of(content: bytes, pattern: str, memory: float = 1.0) -> Encoder:
     """One encoder for a vocabulary in each Python worker, kept between tasks."""
-    return Encoder(parse_ranks(content), pattern)
+    return Encoder(parse_ranks(content), pattern, memory)
 
 
 @lru_cache(maxsize=2)
@@ -346,21 +363,31 @@ def round_trip(
 
 
 def token_rows(
-    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    memory: float = 0.4,
 ) -> DataFrame:
-    """doc_id, ids, n_tokens, and whether the decoded ids are the text again, of every row."""
+    """doc_id, ids, n_tokens, and whether the decoded ids are the text again, of every row.
+
+    Python workers stay alive between stages, so their encoders remember little (``memory``).
+    """
     content = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, decoder = encoder_of(content.value, pattern).encode, decoder_of(content.value)
-        for pdf in batches:
-            ids = [encode(t or "") for t in pdf["text"]]
-            same = ["".join(decoder.pieces(x)) == (t or "") for x, t in zip(ids, pdf["text"])]
-            yield pd.DataFrame(
-                {"doc_id": pdf["doc_id"], "ids": [x.view(np.int32) for x in ids],
-                 "n_tokens": [len(x) for x in ids], "restored": same}
-            )
+        encode, decoder = encoder_of(content.value, pattern, memory).encode, decoder_of(content.value)
+        for batch in batches:
+            for at in range(0, len(batch), ROWS):
+                pdf = batch.iloc[at : at + ROWS]
+                ids = [encode(t or "") for t in pdf["text"]]
+                same = ["".join(decoder.pieces(x)) == (t or "") for x, t in zip(ids, pdf["text"])]
+                yield pd.DataFrame(
+                    {"doc_id": pdf["doc_id"].to_numpy(), "ids": [x.view(np.int32) for x in ids],
+                     "n_tokens": [len(x) for x in ids], "restored": same}
+                )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(encoded, f"doc_id {kind}, ids array<int>, n_tokens long, restored boolean")
