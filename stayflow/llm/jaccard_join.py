@@ -185,8 +185,8 @@ def overlaps(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
 
 def verified(
     group: pd.DataFrame, trees: int, depth: int, deeper: int | None, threshold: float
-) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """Links inside one pair of blocks: index arrays and similarities.
+) -> tuple[np.ndarray, np.ndarray] | None:
+    """Links inside one pair of blocks: two index arrays.
 
     A pair is compared in its first common tree at this depth alone, and not if it shared a
     prefix of the deeper level in any tree, so over all groups every pair is compared once.
@@ -218,21 +218,20 @@ def verified(
     linked = similarity >= threshold
     if not linked.any():
         return None
-    return pairs[linked, 0], pairs[linked, 1], similarity[linked]
+    return pairs[linked, 0], pairs[linked, 1]
 
 
 def compare_blocks(
     groups: DataFrame, trees: int, depth: int, deeper: int | None, threshold: float
 ) -> DataFrame:
-    """Rows (content, root, links, pairs, expected): for each document of a group that has links,
-    how many documents it is linked with there and the root of its local component. ``pairs`` and
-    ``expected`` (pairs divided by their chance to be found) are on one row of each group."""
+    """Rows (content, root, links): for each document of a group that has links, how many documents
+    it is linked with there and the root of its local component."""
 
     def summary(group: pd.DataFrame) -> pd.DataFrame | None:
         found = verified(group, trees, depth, deeper, threshold)
         if found is None:
             return None
-        a, b, similarity = found
+        a, b = found
         copies = group["copies"].to_numpy()
         links = np.bincount(a, copies[b], len(group)) + np.bincount(b, copies[a], len(group))
         root = np.arange(len(group))
@@ -245,12 +244,9 @@ def compare_blocks(
                 break
         use = np.flatnonzero(links)
         content = group["content"].to_numpy()
-        pairs, expected = np.zeros(len(use), np.int64), np.zeros(len(use))
-        pairs[0], expected[0] = len(a), (1 / found_share(similarity, trees, depth)).sum()
         return pd.DataFrame(
-            {"content": content[use], "root": content[root[use]], "links": links[use].astype(np.int64),
-             "pairs": pairs, "expected": expected}
-        )
+            {"content": content[use], "root": content[root[use]], "links": links[use].astype(np.int64)}
+        )
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows come sorted by group; the last group of a batch may go on in the next.
@@ -273,9 +269,7 @@ def compare_blocks(
                 yield out
 
     dealt = groups.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return dealt.mapInPandas(
-        compared, "content binary, root binary, links long, pairs long, expected double"
-    )
+    return dealt.mapInPandas(compared, "content binary, root binary, links long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -337,10 +331,11 @@ def jaccard_join(
 
     Method: equal sets become one member with a count. A member's minimum hashes are its labels in
     ``trees`` prefix tries; members that share the first ``depths[0]`` labels in some tree are
-    compared first, and prefixes are shortened to the next depth until the share of links found,
-    estimated from the similarities of the links found so far, reaches ``target_recall``. At the
-    last depth, 5 of 20 trees, a pair at 0.8 is found with 0.9996. Every candidate is verified on
-    its whole shingle set. Buckets of any size are compared in blocks; pairs are counted inside
+    compared first, and prefixes are shortened to the next depth until a pair at ``threshold`` itself
+    is found with a chance of ``target_recall``, or no bucket of the next depth may hold a pair that
+    was not compared. So what is found of one group does not depend on other groups. At the last
+    depth, 5 of 20 trees, a pair at 0.8 is found with 0.9996. Every candidate is verified on its
+    whole shingle set. Buckets of any size are compared in blocks; pairs are counted inside
     the tasks and never become rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -394,15 +389,17 @@ def _links(rows, members, size, threshold, trees, depths, target_recall, seed) -
     levels = []
     for i, depth in enumerate(depths):
         deeper = depths[i - 1] if i else None
-        groups = block_pairs(planted, open_buckets(planted, depth, deeper), depth).join(items, "content")
+        buckets = checkpointed(open_buckets(planted, depth, deeper))
+        if levels and buckets.isEmpty():
+            continue
+        groups = block_pairs(planted, buckets, depth).join(items, "content")
         levels.append(checkpointed(compare_blocks(groups, trees, depth, deeper, threshold)))
-        done = levels[0]
-        for level in levels[1:]:
-            done = done.union(level)
-        pairs, expected = done.agg(F.sum("pairs"), F.sum("expected")).first()
-        if pairs and pairs >= target_recall * expected:
+        if found_share(threshold, trees, depth) >= target_recall:
             break
-    return done.select("content", "root", "links")
+    done = levels[0]
+    for level in levels[1:]:
+        done = done.union(level)
+    return done
 
 
 def _items(rows: DataFrame, wanted: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:

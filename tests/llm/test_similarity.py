@@ -97,6 +97,20 @@ def test_prefixes_are_shortened_only_when_links_are_missing(spark, monkeypatch):
     assert seen == [8, 5]
 
 
+def test_a_large_group_hides_no_links_near_the_threshold(spark):
+    base = cases.words(600, 50)
+    rows = [(i, " ".join(edited(base, 1, i)), "en", "a", 1) for i in range(300)]
+    at = len(rows)
+    for seed in range(300):
+        words = cases.words(188, 5000 + seed)
+        changed = list(words)
+        for i in (20, 60, 100, 140):  # 164 of 184 shingles stay: 164 / 204 = 0.804
+            changed[i] = f"w{seed}"
+        rows += [(at + 2 * seed, " ".join(words), "en", "b", 1), (at + 2 * seed + 1, " ".join(changed), "en", "b", 1)]
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.jaccard_join(cases.frame(spark, rows)).collect()}
+    assert sum(got[i] for i in range(at, len(rows))) == 600
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(f"p{i:03d}", f"p{i + 1:03d}") for i in range(60)] + [("hub", f"s{i:03d}") for i in range(200)]
     labels = jaccard_join.components(spark.createDataFrame(edges, "a string, b string"))
