@@ -97,6 +97,11 @@ class UrlModel:
         )
 
 
+def decided_by_rules(parts: DataFrame) -> DataFrame:
+    """(host, path, verdict) of the rows whose ``found`` holds a rule."""
+    return parts.where(F.col("found").isNotNull()).select("host", "path", F.col("found.verdict").alias("verdict"))
+
+
 def judge(
     pages: DataFrame,
     rules: Sequence[Rule],
@@ -109,8 +114,8 @@ def judge(
     probability that it should be blocked).
 
     The longest rule that fits decides; where none does, the model decides: block from 0.5 on. It is
-    trained on ``labelled`` (url, verdict), or else on ``pages`` labelled by the rules, where a url
-    that no rule decides counts as allowed, so that only what looks like blocked urls is blocked.
+    trained on ``labelled`` (url, verdict), or else on those of ``pages`` that a rule decides, with the
+    rule's verdict; urls that no rule decides have no label and are not trained on.
     At most ``most_rows`` of the labelled urls are used, which is the bound of the training sample.
     All rows are judged.
     NULL urls and urls without :// have an empty host and path, which no rule fits; the model judges
@@ -121,8 +126,7 @@ def judge(
         "found", fitting_rule(F.col("host"), F.col("path"), rules)
     )
     if labelled is None:
-        verdict = F.coalesce(F.col("found.verdict"), F.lit("allow"))
-        known = parts.select("host", "path", verdict.alias("verdict"))
+        known = decided_by_rules(parts)
     else:
         host, path = url_parts(F.col("url"))
         known = labelled.select(host.alias("host"), path.alias("path"), "verdict")

@@ -93,6 +93,29 @@ def test_rules_decide_and_the_model_the_rest(spark):
     assert {r["verdict"] for r in got} <= {"allow", "block"} and all(0 <= r["blocked"] <= 1 for r in got)
 
 
+def test_undecided_urls_are_not_labels(spark):
+    """Half the undecided hosts look like blocked ones, half like allowed ones."""
+    rules = [urls.Rule("block", "net", "/"), urls.Rule("allow", "com", "/")]
+    rows = [(i, f"http://{'casino' if i % 2 else 'library'}{i}.{'net' if i % 2 else 'com'}/{i % 7}") for i in range(600)]
+    rows += [(i, f"http://{'casino' if i % 2 else 'library'}{i}.org/{i % 7}") for i in range(600, 1800)]
+    got = urls.judge(pages(spark, rows), rules).collect()
+    open_rows = [r for r in got if r["rule"] is None]
+    assert len(open_rows) == 1200
+    right = sum(r["verdict"] == ("block" if r["page_id"] % 2 else "allow") for r in open_rows)
+    assert right / 1200 > 0.95
+
+
+def test_model_agrees_with_rules_on_held_out_pages(spark, sf_dir):
+    host, path = urls.url_parts(F.col("url"))
+    parts = spark.read.parquet(f"{sf_dir.rsplit('/', 1)[0]}/sf0.1/pages.parquet").select(host.alias("host"), path.alias("path"))
+    known = urls.decided_by_rules(parts.withColumn("found", urls.fitting_rule(F.col("host"), F.col("path"), URL_RULES)))
+    held = F.pmod(F.xxhash64("host", "path"), F.lit(4)) == 0
+    model = urls.UrlModel().fit(known.where(~held))
+    said = F.when(F.col("blocked") >= 0.5, "block").otherwise("allow")
+    n, right = model.verdicts(known.where(held)).agg(F.count("*"), F.count_if(said == F.col("verdict"))).first()
+    assert n > 100 and right / n > 0.95
+
+
 def test_held_out_urls(spark):
     rng = np.random.default_rng(1)
     rows = []
