@@ -48,7 +48,7 @@ def train_trees(spark, sf_dir):
 def candidate_selection(spark, sf_dir):
     """All enabled candidates, one of a kind that cannot be built: it is skipped."""
     rows, _ = matrix(spark, sf_dir)
-    candidates = [LOGISTIC, *TREES[:2], T.Candidate("unknown", "no_such_type")]
+    candidates = [LOGISTIC, *TREES, T.Candidate("unknown", "no_such_type")]
     results = T.train_candidates(part(rows, "train"), part(rows, "val"), candidates)
     return T.candidate_table(spark, results)
 
@@ -62,13 +62,13 @@ def cv_metrics(spark, sf_dir):
 @query("tune_lr")
 def tune_lr(spark, sf_dir):
     rows, _ = matrix(spark, sf_dir)
-    return T.tune_lr(part(rows, "train"), KEY, draws=4)
+    return T.tune_lr(part(rows, "train"), KEY)
 
 
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
     rows, _ = matrix(spark, sf_dir)
-    ranked = T.compare_models(part(rows, "train"), part(rows, "val"), [LOGISTIC, *TREES[:2]], KEY)
+    ranked = T.compare_models(part(rows, "train"), part(rows, "val"), [LOGISTIC, *TREES], KEY)
     best = T.best_safe_model(ranked).select("model").first()["model"]
     return ranked.withColumn("selected", F.col("model") == best)
 
@@ -76,7 +76,7 @@ def model_comparison(spark, sf_dir):
 @query("stacking")
 def stacking(spark, sf_dir):
     rows, _ = matrix(spark, sf_dir)
-    return T.stack(part(rows, "train"), part(rows, "val"), TREES[:2], KEY)
+    return T.stack(part(rows, "train"), part(rows, "val"), TREES, KEY)
 
 
 @query("retrain_test")

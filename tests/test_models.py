@@ -223,3 +223,32 @@ def test_matrix_and_report_files(spark):
 def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(float("nan"), "a"), (1.0, "b")], "x double, t string")
     assert readers.nan_to_null(df).filter("x is null").count() == 1
+
+
+def test_training_queries_run_the_whole_job(monkeypatch):
+    from stayflow.plans import training as plans
+
+    given = {}
+
+    class Seen(Exception):
+        pass
+
+    def see(name):
+        def seen(*args, **options):
+            given[name] = (args, options)
+            raise Seen
+
+        return seen
+
+    monkeypatch.setattr(plans, "matrix", lambda *a: (None, []))
+    monkeypatch.setattr(plans, "part", lambda rows, split: split)
+    for name, operator in [
+        ("tune_lr", "tune_lr"), ("model_comparison", "compare_models"), ("stacking", "stack"), ("candidate_selection", "train_candidates"),
+    ]:
+        monkeypatch.setattr(plans.T, operator, see(name))
+        with pytest.raises(Seen):
+            getattr(plans, name)(None, "")
+    assert given["tune_lr"][1] == {}
+    assert given["model_comparison"][0][2] == T.BASELINES
+    assert given["stacking"][0][2] == T.BASELINES[1:]
+    assert given["candidate_selection"][0][2][:-1] == T.BASELINES
