@@ -1,6 +1,7 @@
 """Two-sample Kolmogorov-Smirnov drift checks.
 
-The reference is a bounded sample per column. Each new value falls into a cell of
+``ks_between`` and ``drift_between`` compare whole tables. A stored reference is a bounded sample
+per column: each new value falls into a cell of
 that sample (equal to one of its values, or between two), so one counting pass
 over the new data gives the exact statistic without sorting it.
 """
@@ -11,6 +12,7 @@ import math
 from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -178,13 +180,26 @@ def drift_report(
     """(column, status, ks_statistic, p_value, n_ref, n_new) per reference column."""
     if not reference.samples:
         raise ValueError("Drift reference is empty.")
+    return _report(df, list(reference.samples), ks_against_reference(df, reference), params)
+
+
+def drift_between(
+    reference: DataFrame, new: DataFrame, columns: Sequence[str], params: DriftParams = DriftParams()
+) -> DataFrame:
+    """``drift_report`` against the whole reference table: no sample, no cap."""
+    if not columns:
+        raise ValueError("Drift reference is empty.")
+    tested = [ks_between(reference, new, c) for c in columns if c in new.columns]
+    schema = "column string, n_ref long, n_new long, ks_statistic double"
+    found = reduce(DataFrame.unionByName, tested) if tested else new.sparkSession.createDataFrame([], schema)
+    return _report(new, columns, found.filter("n_ref > 0"), params)
+
+
+def _report(df: DataFrame, columns: Sequence[str], found: DataFrame, params: DriftParams) -> DataFrame:
+    """The status of every column from the statistics of the tested ones."""
     spark = df.sparkSession
-    found = ks_against_reference(df, reference).withColumn(
-        "p_value", ks_p_value("ks_statistic", "n_ref", "n_new")
-    )
-    wanted = spark.createDataFrame(
-        [(c, c in df.columns) for c in reference.samples], "column string, present boolean"
-    )
+    found = found.withColumn("p_value", ks_p_value("ks_statistic", "n_ref", "n_new"))
+    wanted = spark.createDataFrame([(c, c in df.columns) for c in columns], "column string, present boolean")
     status = (
         F.when(~F.col("present"), "MISSING_IN_NEW_DATA")
         .when(F.coalesce("n_new", F.lit(0)) == 0, "NO_VALID_VALUES")

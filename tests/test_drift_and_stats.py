@@ -161,3 +161,19 @@ def test_threshold_history_with_many_models(spark, monkeypatch):
     rows = spark.createDataFrame([("a",), ("c",)], "model_id string")
     got = {r["model_id"]: r["threshold"] for r in L.with_model_threshold(rows, history).collect()}
     assert got == {"a": 0.42, "c": 0.61}
+
+
+def test_drift_between_compares_whole_tables(spark):
+    reference = spark.range(20_000).selectExpr("id", "CAST(id AS DOUBLE) AS a", "1.0D AS gone", "1.0D AS text")
+    new = spark.range(20_000).selectExpr("id", "CAST(id + 300 AS DOUBLE) AS a", "'abc' AS text")
+    got = {r["column"]: r for r in D.drift_between(reference, new, ["a", "gone", "text"]).collect()}
+    assert (got["a"]["n_ref"], got["a"]["n_new"]) == (20_000, 20_000)
+    assert got["a"]["ks_statistic"] == pytest.approx(0.015) and got["a"]["status"] == "DRIFT_DETECTED"
+    assert got["gone"]["status"] == "MISSING_IN_NEW_DATA" and got["text"]["status"] == "NO_VALID_VALUES"
+
+
+def test_engineered_drift_reads_all_train_rows(spark):
+    from stayflow.plans import scoring
+
+    rows = scoring.drift_engineered(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == 3 and all(r["n_ref"] > 2000 for r in rows)
