@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm import bpe, fingerprints, jaccard_join, langid, mixing, sharding, token_counts, token_files, topk, urls
+from stayflow.llm import (
+    alignment,
+    bpe,
+    fingerprints,
+    jaccard_join,
+    langid,
+    mixing,
+    ranked_search,
+    sharding,
+    substring_dedup,
+    token_counts,
+    token_files,
+    topk,
+    urls,
+)
 from stayflow.llm.store import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +145,71 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     profiles = langid.learn(docs.where(~langid.held_out(F.col("doc_id"))))
     return langid.identify(docs, profiles)
+
+
+REPEATS_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, s, array_to_string(list_slice(w, s, s + 19), ' ') AS passage
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM split WHERE len(w) >= 20)),
+later AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY passage ORDER BY doc_id, s) AS n FROM windows)
+  WHERE n > 1),
+removed AS (SELECT DISTINCT doc_id, s + o AS place FROM later, range(20) AS t(o)),
+kept AS (
+  SELECT u.doc_id, string_agg(u.word, ' ' ORDER BY u.place) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM split) u
+  ANTI JOIN removed r ON r.doc_id = u.doc_id AND r.place = u.place
+  GROUP BY u.doc_id)
+SELECT s.doc_id, len(s.w) AS n_words, len(s.w) - coalesce(k.n, 0) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id
+"""
+
+
+@query("op11_substring_dedup", REPEATS_SQL)
+def substring_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_token_alignment")
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    letters, pieces = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.digests(docs, letters, pieces)
+
+
+RANKED_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+sizes AS (SELECT doc_id, len(w)::BIGINT AS n FROM split WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM sizes),
+tfs AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS term FROM split) GROUP BY ALL),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE text IS NOT NULL),
+dfs AS (SELECT term, count(*)::BIGINT AS df FROM tfs WHERE term IN (SELECT term FROM asked) GROUP BY term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight FROM dfs, totals),
+parts AS (
+  SELECT t.doc_id, t.term, w.weight * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (10 + (90 * s.n * big_n) // big_l))) AS part
+  FROM tfs t JOIN sizes s USING (doc_id) JOIN weights w USING (term), totals),
+scores AS (
+  SELECT a.item_id, p.doc_id, sum(p.part)::BIGINT AS score FROM asked a JOIN parts p USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+
+@query("op13_ranked_search", RANKED_SQL)
+def ranked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return ranked_search.search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))

@@ -1,4 +1,4 @@
-"""Running totals over whole tables without a one-task sort."""
+"""Running totals over whole tables without a one-task sort, and the order of ids."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayflow.llm.store import checkpointed
+
 
 def total_before(
     df: DataFrame,
@@ -53,3 +55,17 @@ def id_part(df: DataFrame, id_col: str, parts: int) -> tuple[Column, int]:
         F.size(F.filter(below, lambda c: c < F.col(id_col)))
     )
     return part, len(cuts) + 2
+
+
+def ordered_ids(docs: DataFrame, id_col: str) -> DataFrame:
+    """Add ``place``: a long in the order of the ids, NULL last. Whole numbers are their own place;
+    other ids get the rank of their value."""
+    last = F.lit(2**63 - 1)
+    if docs.schema[id_col].dataType.typeName() in {"byte", "short", "integer", "long"}:
+        return docs.withColumn("place", F.coalesce(F.col(id_col).cast("long"), last))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = docs.select(F.col(id_col).alias("_id")).where(F.col("_id").isNotNull()).distinct()
+    dealt = checkpointed(ids.repartitionByRange(parts, "_id").withColumn("range", F.spark_partition_id()))
+    ranked = total_before(dealt, F.lit(1), [], "range", ["_id"], "place").select("_id", "place")
+    joined = docs.join(ranked, docs[id_col] == ranked["_id"], "left").drop("_id")
+    return joined.withColumn("place", F.coalesce("place", last))
