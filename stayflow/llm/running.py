@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from stayflow.llm.store import checkpointed
 
@@ -42,6 +43,14 @@ def total_before(
     ).drop(own, offset)
 
 
+def numbered(rows: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """The rows, and a column of numbers in the order of the ids: the ids themselves where they are
+    numbers, else their ranks in a new column ``place``."""
+    if isinstance(rows.schema[id_col].dataType, NumericType):
+        return rows, id_col
+    return ordered_ids(rows, id_col), "place"
+
+
 def id_part(df: DataFrame, id_col: str, parts: int) -> tuple[Column, int]:
     """A column with the number of the row's range of ids, ascending, NULL in a range of its own
     after the others; and how many ranges there are. Ranges lie between approximate quantiles, so

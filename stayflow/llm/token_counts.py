@@ -10,7 +10,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayflow.llm.bpe import parse_ranks, read_ranks, space_chunks
+from stayflow.llm.bpe import parse_ranks, read_ranks
+from stayflow.llm.word_memory import space_chunks
 
 #: Characters of a leaf, at least, except for the last one.
 LEAF = 256

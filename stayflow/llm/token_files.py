@@ -20,14 +20,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayflow.llm.bpe import space_chunks
 from stayflow.llm.eliasfano import EliasFano
-from stayflow.llm.running import id_part
+from stayflow.llm.running import id_part, numbered
+from stayflow.llm.word_memory import WordMemory
 
 #: Ids after which a block ends; a longer document is a block of its own.
 BLOCK_IDS = 1_000_000
-#: Chunks, and pieces, in one generation of an encoder's memory; there are two of each.
-MAX_CHUNKS = MAX_PIECES = 190_000
+#: Chunks in one generation of an encoder's memory; there are two.
+MAX_WORDS = 200_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -39,16 +39,14 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
-PUNCTUATION = frozenset(".,;:!?")
 
 
 class LibraryEncoder:
     """Texts to ids with the tokenizers library, for byte-level vocabularies without a prefix space.
 
-    Such a tokenizer ends a piece before each space that a non-space follows, so the text is cut
-    there and the ids of a chunk are memorised. A new chunk goes through the library: its
-    pre-tokenizer and model where these are all there is, else its whole encoding. A word, with or
-    without a punctuation mark after it, needs no pre-tokenizer: letters are one piece.
+    New words go through the library's model, other new chunks through its pre-tokenizer and model
+    where these are all there is, else its whole encoding. So does a whole text that holds the string
+    of a special token, unless these are ordinary text.
     """
 
     def __init__(self, content: str, width: int, special_as_text: bool):
@@ -57,55 +55,33 @@ class LibraryEncoder:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.plain = special_as_text and self.tokenizer.normalizer is None
+        added = () if special_as_text else self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content for t in added]
         self.split, self.model = self.tokenizer.pre_tokenizer, self.tokenizer.model
         self.kind, self.letter = np.dtype(f"<u{width}"), "H" if width == 2 else "I"
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.older_pieces: dict[str, bytes] = {}
+        plain = self.tokenizer.normalizer is None
+        self.memory = WordMemory(MAX_WORDS, self.letters, self.pieces if plain else self.whole, plain)
 
     def encode(self, text: str) -> bytes:
-        if len(self.known) > MAX_CHUNKS:
-            # Two generations: chunks that keep coming move over from the older one.
-            self.known, self.older = {}, self.known
-        if len(self.pieces) > MAX_PIECES:
-            self.pieces, self.older_pieces = {}, self.pieces
-        get, new = self.known.get, self.new_ids
-        return b"".join([get(c) or new(c) for c in space_chunks(text)])
-
-    def new_ids(self, chunk: str) -> bytes:
-        ids = self.older.get(chunk)
-        if ids is None:
-            if self.plain:
-                get, new = self.pieces.get, self.new_piece
-                ids = b"".join([get(p) or new(p) for p in self.split_chunk(chunk)])
-            else:
-                ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
-        self.known[chunk] = ids
-        return ids
-
-    def split_chunk(self, chunk: str) -> list[str]:
-        """The pieces of a chunk, written in byte letters."""
-        mark = chunk[-1] if len(chunk) > 1 and chunk[-1] in PUNCTUATION else ""
-        word = chunk[:-1] if mark else chunk
-        if word.removeprefix(" ").isalpha():
-            if word.isascii():
-                written = word.replace(" ", BYTE_LETTERS[32])
-            else:
-                written = word.encode().decode("latin-1").translate(BYTE_LETTERS)
-            return [written, mark] if mark else [written]
-        return [p for p, _ in self.split.pre_tokenize_str(chunk)]
-
-    def new_piece(self, piece: str) -> bytes:
-        ids = self.older_pieces.get(piece)
-        if ids is not None:
-            self.pieces[piece] = ids
-            return ids
-        tokens = [t.id for t in self.model.tokenize(piece)]
-        ids = struct.pack(f"<{len(tokens)}{self.letter}", *tokens)
-        self.pieces[piece] = ids
-        return ids
+        if any(s in text for s in self.special):
+            return self.whole(text)
+        return self.memory.encode(text)
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def letters(self, word: str) -> bytes:
+        if word.isascii():
+            return self.piece(word.replace(" ", BYTE_LETTERS[32]))
+        return self.piece(word.encode().decode("latin-1").translate(BYTE_LETTERS))
+
+    def pieces(self, chunk: str) -> bytes:
+        return b"".join([self.piece(p) for p, _ in self.split.pre_tokenize_str(chunk)])
+
+    def piece(self, written: str) -> bytes:
+        """Ids of a piece, written in byte letters."""
+        tokens = [t.id for t in self.model.tokenize(written)]
+        return struct.pack(f"<{len(tokens)}{self.letter}", *tokens)
 
 
 @lru_cache(maxsize=2)
@@ -126,13 +102,13 @@ def write_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = 0,
-    special_as_text: bool = True,
+    special_as_text: bool = False,
 ) -> None:
     """Encode every whole text, append ``end_id``, and write ``folder`` in ascending order of id.
 
     NULL texts are encoded as empty ones, NULL ids come last, rows that repeat an id are in order of
-    their text. An empty table gives files without rows. With ``special_as_text`` the strings of
-    special tokens inside a text are ordinary text. Texts are shuffled once, to ranges of ids; a task
+    their text. An empty table gives files without rows. Strings of special tokens inside a text become
+    those tokens, as in the library; with ``special_as_text`` they are ordinary text. Texts are shuffled once, to ranges of ids; a task
     holds one block at a time.
     """
     spark = docs.sparkSession
@@ -172,9 +148,10 @@ def write_tokens(
             yield block()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    part, _ = id_part(rows, "doc_id", 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.withColumn("part", part).repartition("part").sortWithinPartitions("part", "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
+    rows, number = numbered(rows, "doc_id")
+    part, _ = id_part(rows, number, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.select("doc_id", "text", part.alias("part")).repartition("part").sortWithinPartitions("part", "doc_id", "text")
     dealt.mapInPandas(
         blocks,
         f"part int, block int, ids_before long, n_ids long, doc_ids array<{kind}>, width int, ids binary, "
@@ -199,6 +176,35 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def read_documents(spark: SparkSession, folder: str, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """doc_id, start, ids (with the end id) of the documents whose id is in ``wanted``.
+
+    The wanted ids are joined with the blocks' lists of ids; a block that holds some of them gives
+    their offsets by ``select``, without decoding the other boundaries. Ids that are not in the
+    files have no row, an id that stands in the files several times has as many; repeated and
+    NULL wanted ids count once and not at all.
+    """
+    blocks = read_tokens(spark, folder)
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    asked = wanted.select(F.col(id_col).cast(kind).alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct()
+    places = blocks.select("part", "block", F.posexplode("doc_ids").alias("place", "doc_id")).join(asked, "doc_id")
+    # No more places than documents of a block.
+    lists = places.groupBy("part", "block").agg(F.sort_array(F.collect_list("place")).alias("places"))
+
+    def picked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                ends, names = block_ends(row), list(row.doc_ids)
+                ids = np.frombuffer(row.ids, f"<u{row.width}")
+                found = [(names[i], ends.select(i - 1) if i else 0, ends.select(i)) for i in map(int, row.places)]
+                yield pd.DataFrame(
+                    {"doc_id": [n for n, _, _ in found], "start": [row.start + a for _, a, _ in found],
+                     "ids": [ids[a:b].astype(np.int64) for _, a, b in found]}
+                )
+
+    return blocks.join(lists, ["part", "block"]).mapInPandas(picked, f"doc_id {kind}, start long, ids array<long>")
+
+
 def block_ends(row) -> EliasFano:
     """The boundaries of a block, for ``select`` or ``all``: document i has the ids from the end of
     the one before (0 for the first) to its own."""
