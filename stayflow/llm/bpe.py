@@ -14,26 +14,25 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
 import regex
+from public_tokenizers import PATTERN
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: More states or fitting pairs than this are dropped; more memorised chunks or pieces begin a new
-#: generation, of which there are two.
-MAX_STATES, MAX_PAIRS, MAX_CHUNKS, MAX_PIECES = 150_000, 300_000, 300_000, 100_000
+from stayflow.llm.word_memory import WordMemory
+
+#: More states or fitting pairs than this are dropped; more remembered chunks begin a new generation.
+MAX_STATES, MAX_PAIRS, MAX_CHUNKS = 150_000, 300_000, 200_000
 #: Rows of a batch that are handed on together.
 ROWS = 256
 #: Ids that a streaming decoder takes at a time.
 DECODE_STEP = 4096
-#: A space before which a match of the pattern never goes on: one that a non-space follows.
-INNER_SPACE = re.compile(r" (?=\s|$)")
-SAFE_SPACE = re.compile(r" (?=\S)")
 
 
 def read_ranks(path: str) -> bytes:
@@ -53,18 +52,24 @@ class Transducer:
         self.ranks = ranks
         self.max_states = max_states or MAX_STATES
         self.token = {rank: token for token, rank in ranks.items()}
-        self.children: list[dict[int, int]] = [{}]
+        #: The trie of the tokens: node << 8 | byte to the node below.
+        self.below: dict[int, int] = {}
         self.ends: list[int] = [-1]
         self.depth: list[int] = [0]
+        self.inner = bytearray(1)
         for token, rank in ranks.items():
             node = 0
             for depth, byte in enumerate(token, 1):
-                node = self.children[node].setdefault(byte, len(self.children))
+                self.inner[node] = 1
+                node = self.below.setdefault(node << 8 | byte, len(self.ends))
                 if node == len(self.ends):
-                    self.children.append({})
                     self.ends.append(-1)
                     self.depth.append(depth)
+                    self.inner.append(0)
             self.ends[node] = rank
+        self.size = [0] * (max(self.token, default=-1) + 1)
+        for rank, token in self.token.items():
+            self.size[rank] = len(token)
         #: Bytes after which certain tokens are emitted.
         self.window = 4 * max(map(len, ranks), default=1)
         self._parts: dict[int, tuple[int, int] | None] = {}
@@ -73,9 +78,9 @@ class Transducer:
 
     def reset(self) -> None:
         """Forget the states; they come back as they are needed."""
-        #: A state is its open starts: (trie node so far, token before the start or -1).
-        self.keys: list[tuple[tuple[int, int], ...]] = [((0, -1),)]
-        self.numbers: dict[tuple, int] = {self.keys[0]: 0}
+        #: A state is its open starts: trie node so far << 32 | token before the start + 1.
+        self.keys: list[tuple[int, ...]] = [(0,)]
+        self.numbers: dict[tuple[int, ...], int] = {self.keys[0]: 0}
         self.arcs: list[dict[int, tuple[int, int]]] = [{}]
 
     def merged(self, piece: bytes, below: int) -> list[bytes]:
@@ -139,21 +144,23 @@ class Transducer:
 
     def step(self, state: int, byte: int) -> tuple[int, int]:
         """The arc of a state for a byte: the next state, and the last token of this prefix."""
-        children, ends, fits, parts = self.children, self.ends, self._fits, self._parts
+        below, ends, inner, fits, parts = self.below, self.ends, self.inner, self._fits, self._parts
         going, reached = [], -1
-        for node, before in self.keys[state]:
-            node = children[node].get(byte)
+        for start in self.keys[state]:
+            node = below.get(start >> 32 << 8 | byte)
             if node is None:
                 continue
-            token = ends[node]
-            if token >= 0 and reached < 0 and (before < 0 or fits.get(before << 32 | token, 0) or self.fits(before, token)):
-                if token in parts or self.parts(token) is not None:
-                    reached = token
-            if children[node]:
-                going.append((node, before))
+            before = start & 0xFFFFFFFF
+            if reached < 0:
+                token = ends[node]
+                if token >= 0 and (not before or fits.get(before - 1 << 32 | token, 0) or self.fits(before - 1, token)):
+                    if token in parts or self.parts(token) is not None:
+                        reached = token
+            if inner[node]:
+                going.append(node << 32 | before)
         if reached < 0:
             raise ValueError(f"byte {byte} is not in the vocabulary")
-        going.append((0, reached))
+        going.append(reached + 1)
         key = tuple(going)
         number = self.numbers.get(key)
         if number is None:
@@ -165,10 +172,10 @@ class Transducer:
 
     def certain(self, state: int, lasts: list[int]) -> list[int]:
         """Positions that all open starts' token chains pass, back from the latest they share."""
-        tails = [len(lasts) - self.depth[node] for node, _ in self.keys[state]]
+        tails = [len(lasts) - self.depth[start >> 32] for start in self.keys[state]]
         while min(tails) != max(tails):
             latest = max(tails)
-            tails = [t - len(self.token[lasts[t - 1]]) if t == latest else t for t in tails]
+            tails = [t - self.size[lasts[t - 1]] if t == latest else t for t in tails]
         return self.chain(lasts, tails[0])
 
     def chain(self, lasts: list[int], end: int) -> list[int]:
@@ -176,7 +183,7 @@ class Transducer:
         out = []
         while end > 0:
             out.append(lasts[end - 1])
-            end -= len(self.token[lasts[end - 1]])
+            end -= self.size[out[-1]]
         return out[::-1]
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -204,62 +211,28 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, memory: float = 1.0):
         self.transducer = Transducer(ranks, int(memory * MAX_STATES))
-        self.max_chunks, self.max_pieces = int(memory * MAX_CHUNKS), int(memory * MAX_PIECES)
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.older_pieces: dict[str, bytes] = {}
+        self.memory = WordMemory(int(memory * MAX_CHUNKS), self.piece, self.pieces, pattern == PATTERN)
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids as uint32. The text is cut before spaces that a non-space follows, where every
-        match of a pattern of this kind ends; ids of chunks are memorised."""
-        known, chunks = self.known, space_chunks(text)
-        if len(known) > self.max_chunks:
-            # Two generations: chunks that keep coming move over from the older one.
-            self.older, self.known = known, {}
-            known = self.known
-        if len(self.pieces) > self.max_pieces:
-            self.older_pieces, self.pieces = self.pieces, {}
-        try:
-            return np.frombuffer(b"".join([known[c] for c in chunks]), np.uint32)
-        except KeyError:
-            pass
-        out = []
-        for chunk in chunks:
-            ids = known.get(chunk)
-            if ids is None:
-                ids = known[chunk] = self.older.get(chunk) or self.new_ids(chunk)
-            out.append(ids)
-        return np.frombuffer(b"".join(out), np.uint32)
-
-    def new_ids(self, chunk: str) -> bytes:
-        get, new = self.pieces.get, self.new_piece
-        return b"".join([get(p) or new(p) for p in self.find(chunk)])
-
-    def new_piece(self, piece: str) -> bytes:
-        ids = self.older_pieces.get(piece)
-        if ids is None:
-            ids = np.array(self.transducer.encode_piece(piece.encode()), np.uint32).tobytes()
-        self.pieces[piece] = ids
-        return ids
-
-
-def space_chunks(text: str) -> list[str]:
-    """The text cut before each space that a non-space follows; the chunks join to the text."""
-    if INNER_SPACE.search(text):
-        cuts = [m.start() for m in SAFE_SPACE.finditer(text)]
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)]) if a < b]
-    first, *rest = text.split(" ")
-    chunks = [" " + c for c in rest]
-    return [first, *chunks] if first else chunks
+        """Ids as uint32."""
+        return np.frombuffer(self.memory.encode(text), np.uint32)
+
+    def pieces(self, chunk: str) -> bytes:
+        return b"".join([self.piece(p) for p in self.find(chunk)])
+
+    def piece(self, match: str) -> bytes:
+        ids = self.transducer.encode_piece(match.encode())
+        return pack(f"{len(ids)}I", *ids)
 
 
 class Decoder:
     """Ids to text as they come: bytes of a character that is not complete wait for the next ids."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.token = {rank: token for token, rank in ranks.items()}
+        self.token = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.token[rank] = token
         self.machine = codecs.getincrementaldecoder("utf-8")(errors="replace")
 
     def feed(self, ids: Iterable[int]) -> str:
@@ -328,7 +301,7 @@ class ByteBPE:
         @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
         def digested(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             decoder = decoder_of(content.value)
-            name = list(map(str, range(max(decoder.token, default=0) + 1)))
+            name = list(map(str, range(len(decoder.token))))
             for rows in batches:
                 out = []
                 for x in rows:
@@ -355,7 +328,9 @@ def round_trip(
 ) -> DataFrame:
     """Encode, decode, and return doc_id, n_tokens, ids_sha256, decoded_sha256 of every row.
 
-    Both steps run in one Python worker per task without a shuffle.
+    NULL and empty texts have no ids: 0 and the digests of nothing. Rows that repeat are encoded
+    each; an empty table gives no rows; other columns are dropped. Both steps run in one Python
+    worker per task without a shuffle.
     """
     tokens = ByteBPE(docs.sparkSession, path, pattern)
     digest = tokens.digests(tokens.encode(F.col(text_col)))
@@ -372,13 +347,16 @@ def token_rows(
 ) -> DataFrame:
     """doc_id, ids, n_tokens, and whether the decoded ids are the text again, of every row.
 
-    Python workers stay alive between stages, so their encoders remember little (``memory``).
+    NULL and empty texts have no ids; rows that repeat are encoded each; an empty table gives no
+    rows; other columns are dropped. Python workers stay alive between stages, so an encoder
+    remembers little (``memory``) and goes with its task.
     """
     content = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, decoder = encoder_of(content.value, pattern, memory).encode, decoder_of(content.value)
+        encoder = Encoder(parse_ranks(content.value), pattern, memory)
+        encode, decoder = encoder.encode, Decoder(encoder.transducer.ranks)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 pdf = batch.iloc[at : at + ROWS]
