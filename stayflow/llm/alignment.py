@@ -12,6 +12,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -19,14 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayflow.llm.bpe import INNER_SPACE
 from stayflow.llm.store import checkpointed
 from stayflow.llm.token_files import BYTE_LETTERS, LibraryEncoder
+from stayflow.llm.word_memory import INNER_SPACE, PUNCTUATION, WordMemory
 
 #: Values of the shorter list that one lane takes in turn.
 LANE = 32
-#: Chunks in one generation of the memory (there are two), and characters of one that is remembered.
-MAX_CHUNKS, LONGEST_CHUNK = 150_000, 64
+#: Chunks in one generation of the memory; there are two.
+MAX_CHUNKS = 150_000
+#: The mark of an id of the second tokenizer, and what stands for a chunk whose bytes it changes.
+SECOND, NO_ID = 1 << 31, 2**32 - 1
+CHANGED = pack("I", NO_ID)
 #: Bytes of text that are aligned and handed on together.
 UNIT_BYTES = 1 << 20
 #: A space at which neither tokenizer's tokens go on: after another character, before a non-space.
@@ -123,62 +127,62 @@ class Aligner:
         self.b_size = np.array([len(t) for t in self.b], np.int64)
         self.pairs = linkable(self.a, self.b)
         self.names = [f"{i}{end}" for n, ends in ((len(self.a), ",|"), (len(self.b), ",;")) for i in range(n) for end in ends]
-        # Tokens of the second never go on after a space behind another character.
-        self.cuts = not any("▁" in self.second.id_to_piece(i).lstrip("▁") for i in range(len(self.b)))
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-        self.older: dict[str, tuple[bytes, bytes] | None] = {}
+        self.after_line = len(self.second.encode("\n"))
+        self.memory = WordMemory(MAX_CHUNKS, self.packed, self.packed, True, self.chunks)
+        self.cuts = self.first.memory.plain and self.ends_at_marks()
+
+    def ends_at_marks(self) -> bool:
+        """Whether no piece of the second goes on after a space behind another character, from a
+        letter to ASCII punctuation, or over a line feed: there it can be cut like the first."""
+        names = [self.second.id_to_piece(i) for i in range(len(self.b)) if not self.second.is_control(i) and not self.second.is_unknown(i)]
+        beside = {x for p in names if not BYTE_PIECE.fullmatch(p) for x in zip(p, p[1:])}
+        return not any(
+            "\n" in (x, y) or (y == "▁" and x != "▁") or (x.isalpha() and y in PUNCTUATION) for x, y in beside
+        )
 
     def chunks(self, text: str) -> list[str]:
         """The text, which starts with a space, cut where both tokenizers end a token."""
-        if not self.cuts:
-            return [text]
         if not INNER_SPACE.search(text):
             return [" " + c for c in text[1:].split(" ")]
         cuts = [0, *(m.start() for m in CUT.finditer(text)), len(text)]
         return [text[a:b] for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
 
-    def ids(self, chunks: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Ids of both tokenizers for each chunk; None where one of them changes its bytes."""
-        second = self.second.encode([c[1:] for c in chunks], num_threads=1)
-        out: list[tuple[bytes, bytes] | None] = []
-        a_of, b_of, encode = self.a.__getitem__, self.b.__getitem__, self.first.encode
-        for chunk, b in zip(chunks, second):
-            whole, packed = chunk.encode(), encode(chunk)
-            a = np.frombuffer(packed, np.uint32).tolist()
-            same = b"".join(map(a_of, a)) == whole and b"".join(map(b_of, b)) == whole
-            out.append((packed, np.array(b, np.uint32).tobytes()) if same else None)
-        return out
-
-    def encode(self, text: str) -> tuple[bytes, bytes] | None:
-        chunks = self.chunks(" " + text)
-        known = self.known
-        missing = [c for c in set(chunks).difference(known)]
-        new: dict[str, tuple[bytes, bytes] | None] = {}
-        if missing:
-            unmet = []
-            for c in missing:
-                if c in self.older:
-                    known[c] = self.older[c]
-                else:
-                    unmet.append(c)
-            for c, ids in zip(unmet, self.ids(unmet) if unmet else ()):
-                (known if len(c) <= LONGEST_CHUNK else new)[c] = ids
-        found = [new[c] if c in new else known[c] for c in chunks] if new else list(map(known.__getitem__, chunks))
-        if len(known) > MAX_CHUNKS:
-            # Two generations: chunks that keep coming move over from the older one.
-            self.known, self.older = {}, known
-        if None in found:
+    def packed(self, chunk: str) -> bytes:
+        """Ids of both for a chunk, those of the second marked; ``CHANGED`` where a tokenizer changes
+        its bytes."""
+        first = self.first.letters if chunk.removeprefix(" ").isalpha() else self.first.pieces
+        if chunk[0] == " ":
+            second = self.second.encode(chunk[1:])
+        else:
+            # A line feed stands for what is before: no piece goes on after one.
+            second = self.second.encode("\n" + chunk)[self.after_line :]
+        return self.joined(chunk, first(chunk), second) or CHANGED
+
+    def joined(self, text: str, a: bytes, b: list[int]) -> bytes | None:
+        whole, ids = text.encode(), memoryview(a).cast("I")
+        if b"".join([self.a[i] for i in ids]) != whole or b"".join([self.b[i] for i in b]) != whole:
             return None
-        a, b = zip(*found)
-        return b"".join(a), b"".join(b)
+        return a + pack(f"{len(b)}I", *[i | SECOND for i in b])
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of both tokenizers, each in order, those of the second marked by ``SECOND``; none where
+        a tokenizer changes the text's bytes."""
+        found = self.memory.encode(" " + text) if self.cuts else CHANGED
+        ids = np.frombuffer(found, np.uint32)
+        if (ids == NO_ID).any():
+            whole = self.joined(" " + text, self.first.whole(" " + text), self.second.encode(text))
+            ids = np.frombuffer(whole or b"", np.uint32)
+        return ids
 
     def align(self, texts: list[str | None]) -> pa.RecordBatch:
         """n_a, n_b, groups and links (numbers of id pairs) of each text."""
-        found = [self.encode(t) if t else None for t in texts]
-        ids_a = [np.frombuffer(f[0], np.uint32) if f else np.zeros(0, np.uint32) for f in found]
-        ids_b = [np.frombuffer(f[1], np.uint32) if f else np.zeros(0, np.uint32) for f in found]
-        n_a, n_b = np.array([len(x) for x in ids_a]), np.array([len(x) for x in ids_b])
-        a, b = np.concatenate(ids_a).astype(np.int64), np.concatenate(ids_b).astype(np.int64)
+        found = [self.encode(t) if t else np.zeros(0, np.uint32) for t in texts]
+        n_all = np.array([len(x) for x in found])
+        ids = np.concatenate(found)
+        second = ids >= SECOND
+        n_b = np.diff(np.concatenate([[0], np.cumsum(second)])[np.concatenate([[0], np.cumsum(n_all)])])
+        n_a = n_all - n_b
+        a, b = ids[~second].astype(np.int64), (ids[second] ^ np.uint32(SECOND)).astype(np.int64)
         end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
         # Both lists of a document end at the same byte, so the documents can be laid end to end.
