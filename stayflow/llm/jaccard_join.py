@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayflow.llm.mixing import WORD
@@ -19,6 +19,8 @@ GUARD_TREES = 4
 #: Documents, and shingles, of a block; a larger bucket is compared block by block.
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 2_000_000
 PART_ROWS = 1024
+#: Rows that a Python worker makes something of at a time.
+HANDED_ROWS = 256
 
 
 def signature(shingles: np.ndarray, hashes: int, seed: int) -> np.ndarray:
@@ -48,16 +50,11 @@ def found_share(similarity: np.ndarray | float, trees: int, depth: int):
     return 1 - (1 - np.asarray(similarity) ** depth) ** trees
 
 
-def content_key(text: Column, size: int) -> Column:
-    """16 bytes that are equal exactly for equal shingle sets (up to hash collisions); NULL
-    for texts without words."""
-
-    @F.pandas_udf("binary")
-    def keyed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([digest(shingle_set(t, size)) for t in texts], dtype=object)
-
-    return keyed(text)
+def handed_on(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A few rows at a time, so that what is made of them stays small."""
+    for pdf in batches:
+        for at in range(0, len(pdf), HANDED_ROWS):
+            yield pdf.iloc[at : at + HANDED_ROWS]
 
 
 def digest(shingles: np.ndarray) -> bytes | None:
@@ -65,11 +62,11 @@ def digest(shingles: np.ndarray) -> bytes | None:
 
 
 def sketches(docs: DataFrame, size: int, trees: int, depths: Sequence[int], seed: int) -> DataFrame:
-    """doc_id, content, shingles (their number), keys (of the shortest prefix in each tree) of
-    every row."""
+    """doc_id, text_hash, content, shingles (their number), keys (of the shortest prefix in each
+    tree) of every row."""
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in handed_on(batches):
             out = []
             for text in pdf["text"]:
                 s = shingle_set(text, size)
@@ -79,10 +76,12 @@ def sketches(docs: DataFrame, size: int, trees: int, depths: Sequence[int], seed
                     keys = prefix_keys(labels[None, :], trees, min(depths))[0]
                 out.append((digest(s), len(s), keys))
             new = pd.DataFrame(out, columns=["content", "shingles", "keys"])
-            yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), new], axis=1)
+            yield pd.concat([pdf[["doc_id", "text_hash"]].reset_index(drop=True), new], axis=1)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(sketched, f"doc_id {kind}, content binary, shingles long, keys array<long>")
+    return docs.mapInPandas(
+        sketched, f"doc_id {kind}, text_hash long, content binary, shingles long, keys array<long>"
+    )
 
 
 def forest(members: DataFrame, trees: int, depths: Sequence[int]) -> DataFrame:
@@ -90,9 +89,7 @@ def forest(members: DataFrame, trees: int, depths: Sequence[int]) -> DataFrame:
     that holds the keys of this tree and of the guard trees."""
 
     def planted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in handed_on(batches):
             labels = np.stack([np.frombuffer(x, np.uint32) for x in pdf["labels"]])
             n = len(pdf)
             out = {
@@ -322,7 +319,8 @@ def jaccard_join(
     - ``class_content``: the least ``content`` of that component, which names it even where ids repeat
       or are missing; NULL without words,
     - ``n_links``: the number of other rows it is linked with, copies included,
-    - ``copies``: the rows with the same shingle set, itself included.
+    - ``copies``: the rows with the same shingle set, itself included,
+    - ``text_hash``: 64 bits of its text, which with the id tell its row from others.
 
     Words are what stands between ASCII white space, as written; a text of fewer words is one
     shingle. Rows with NULL or blank text have no shingles: they are linked with nothing, and
@@ -339,12 +337,17 @@ def jaccard_join(
     the tasks and never become rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
     sketched = checkpointed(sketches(rows, size, trees, depths, seed))
+    # A member's text is found again by its id and the hash of its text, so that rows without an id
+    # or with one id meet their own member only.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash"))
     members = checkpointed(
         sketched.where(F.col("content").isNotNull())
         .groupBy("content")
         .agg(
-            F.min("doc_id").alias("first_id"),
+            first["doc_id"].alias("first_id"),
+            first["text_hash"].alias("first_hash"),
             F.count(F.lit(1)).alias("copies"),
             F.first("shingles").alias("shingles"),
             F.first("keys").alias("keys"),
@@ -374,6 +377,7 @@ def jaccard_join(
         F.col("label").alias("class_content"),
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
         F.coalesce("copies", F.lit(1)).alias("copies"),
+        "text_hash",
     )
 
 
@@ -407,7 +411,7 @@ def _items(rows: DataFrame, wanted: DataFrame, size: int, hashes: int, seed: int
     labels, items."""
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in handed_on(batches):
             out = []
             for content, text in zip(pdf["content"], pdf["text"]):
                 s = shingle_set(text, size)
@@ -416,11 +420,12 @@ def _items(rows: DataFrame, wanted: DataFrame, size: int, hashes: int, seed: int
             yield pd.DataFrame(out, columns=["content", "labels", "items"])
 
     texts = rows.join(
-        wanted.select("content", "first_id"), F.col("doc_id").eqNullSafe(F.col("first_id"))
+        wanted.select("content", "first_id", "first_hash"),
+        F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")),
     ).select("content", "text")
-    # An id may repeat: only the row with this content counts, and one of them.
+    # Equal rows may repeat: one of them counts, and only with this content.
     items = texts.mapInPandas(listed, "content binary, labels binary, items binary")
-    return wanted.drop("first_id").join(items.dropDuplicates(["content"]), "content")
+    return wanted.drop("first_id", "first_hash").join(items.dropDuplicates(["content"]), "content")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -429,29 +434,22 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without words stay. Of rows that repeat an id and a shingle set one stays. NULL ids
     come last. The columns are those of ``docs``.
     """
-    size = options.get("size", 5)
     joined = checkpointed(jaccard_join(docs, id_col, text_col, **options)).where(F.col("content").isNotNull())
-    first = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "content")
-    chosen = (
-        joined.groupBy("class_content")
-        .agg(F.min(first).alias("first"))
-        .select(F.col("first.doc_id").alias("kept_id"), F.col("first.content").alias("kept_content"))
-    )
-    same_rows = joined.groupBy("doc_id", "content").agg(F.count(F.lit(1)).alias("times"))
+    first = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "content", "text_hash")
+    chosen = joined.groupBy("class_content").agg(F.min(first).alias("first")).select("first.*")
+    same_rows = joined.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"))
     kept = chosen.join(
         same_rows,
-        (F.col("kept_content") == F.col("content")) & F.col("kept_id").eqNullSafe(F.col("doc_id")),
-    ).select("kept_id", "kept_content", "times")
+        (chosen["text_hash"] == same_rows["text_hash"]) & chosen["doc_id"].eqNullSafe(same_rows["doc_id"]),
+    ).select(chosen["doc_id"].alias("kept_id"), chosen["text_hash"].alias("kept_hash"), "times")
     has_words = F.coalesce(F.col(text_col).rlike(WORD), F.lit(False))
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    whole = docs.where(has_words).select(
-        row, F.col(id_col).alias("id"), content_key(F.col(text_col), size).alias("content")
-    )
+    whole = docs.where(has_words).select(row, F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"))
     worded = whole.join(
-        kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("content") == F.col("kept_content"))
+        kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("text_hash") == F.col("kept_hash"))
     )
     # Only rows that repeat id and text need an order; the others pass without a shuffle.
-    again = F.row_number().over(Window.partitionBy("content", "id").orderBy(F.lit(1)))
+    again = F.row_number().over(Window.partitionBy("text_hash", "id").orderBy(F.lit(1)))
     repeated = worded.where("times > 1").withColumn("again", again).where("again = 1")
     stay = worded.where("times = 1").select("row").union(repeated.select("row"))
     stay = stay.union(docs.where(~has_words).select(row))
