@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayflow.llm.running import numbered
 from stayflow.llm.shingles import HIGH, LOW, mixed
 
 #: Minimum hashes of a fingerprint. A likeness of j has a standard error of sqrt(j (1 - j) / SIZE).
@@ -112,15 +113,16 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    marks = rows.select(F.col("doc_id").cast("double").alias("id")).approxQuantile(
+    rows, number = numbered(rows, "doc_id")
+    marks = rows.where(F.col("doc_id").isNotNull()).select(F.col(number).cast("double").alias("id")).approxQuantile(
         "id", [i / parts for i in range(1, parts)], 1 / (4 * parts)
     )
     cuts = sorted(set(marks))
     above = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
     part = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(
-        F.size(F.filter(above, lambda c: c > F.col("doc_id")))
+        F.size(F.filter(above, lambda c: c > F.col(number)))
     )
-    rows = rows.withColumn("part", part)
+    rows = rows.select("doc_id", "text", part.alias("part"))
     heads = rows.groupBy("part").agg(F.max("doc_id").alias("head")).orderBy("part").collect()
     before = [heads[i - 1]["part"] for i in range(len(heads))]
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -88,7 +88,10 @@ def mix(
     targets = source_targets(totals, weights, max_repeats).withColumnRenamed("source", "of_source")
     size, target = F.col("source_size"), F.col("target")
     whole = F.when(size > 0, F.floor(target / size)).otherwise(F.lit(0)).cast("long")
-    fits = F.col("before") + F.col("size") / 2.0 <= target - F.col("whole") * size
+    # Where all repeats are used up, not even a document without words is taken once more.
+    fits = (F.col("whole") < max_repeats) & (
+        F.col("before") + F.col("size") / 2.0 <= target - F.col("whole") * size
+    )
     return (
         placed.join(targets, placed["source"].eqNullSafe(targets["of_source"]))
         .withColumn("whole", whole)

@@ -15,6 +15,8 @@ from stayflow.llm.store import checkpointed
 
 #: Vectors of a block, blocks of a row of the index, and queries that are answered together.
 BLOCK, BLOCKS, QUERIES = 256, 16, 256
+#: The greatest score; the least long is kept for "none".
+LIMIT = 2**63 - 2
 
 
 def scaled(vector: Column, scale: int = 256) -> Column:
@@ -86,11 +88,20 @@ class Best:
         self.id[rows] = np.take_along_axis(ids, order, 1)
 
 
-def product(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Exact integer inner products: in doubles where all sums are under 2**53."""
-    if queries.shape[1] * float(np.abs(queries).max()) * float(np.abs(vectors).max()) < 2.0**53:
+def product(queries: np.ndarray, vectors: np.ndarray, bound: bool = False) -> np.ndarray:
+    """Exact integer inner products: in doubles where all sums are under 2**53, in Python's integers
+    where they may pass a long. A score that does not fit a long is an error, a bound is cut to it."""
+    most = queries.shape[1] * float(np.abs(queries).max()) * float(np.abs(vectors).max())
+    if most < 2.0**53:
         return (queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64)
-    return queries @ vectors.T
+    if most < 2.0**62:
+        return queries @ vectors.T
+    exact = queries.astype(object) @ vectors.T.astype(object)
+    if bound:
+        exact = np.clip(exact, -LIMIT, LIMIT)
+    elif (np.abs(exact) > LIMIT).any():
+        raise OverflowError("an inner product does not fit a long")
+    return exact.astype(np.int64)
 
 
 def search_blocks(best: Best, query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> int:
@@ -103,7 +114,9 @@ def search_blocks(best: Best, query_ids: np.ndarray, queries: np.ndarray, ids: n
     edges = list(range(0, len(ids), BLOCK))
     most = np.maximum.reduceat(vectors, edges, axis=0)
     least = np.minimum.reduceat(vectors, edges, axis=0)
-    bound = product(np.maximum(queries, 0), most) + product(np.minimum(queries, 0), least)
+    # Two parts of at most LIMIT each are added without passing a long.
+    bound = product(np.maximum(queries, 0), most, True) // 2 + product(np.minimum(queries, 0), least, True) // 2
+    bound = np.minimum(bound, LIMIT // 2 - 1) * 2 + 2
     order = np.argsort(~bound, axis=1, kind="stable")
     active, scored = np.arange(len(queries)), 0
     for turn in range(len(edges)):
@@ -139,8 +152,8 @@ def top_k(
     (query_id, rank from 1, vec_id, score), all if there are fewer, ties to the smaller id.
 
     Components become floor(scale * x). Vectors that are NULL, empty, or hold a NULL, non-finite or
-    huge component take no part, nor rows with a NULL id; products are taken between vectors of
-    one length. A query's candidates are the rows with another id; rows that repeat an id are
+    huge component (2**62 or more when scaled) take no part, nor rows with a NULL id; products are
+    taken between vectors of one length. A score that does not fit a long is an error. A query's candidates are the rows with another id; rows that repeat an id are
     candidates each, and a repeated query row gives its answer once.
 
     The index has rows of ``BLOCKS`` blocks in order of id, each with its vectors (forward index).

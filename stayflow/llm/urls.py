@@ -68,9 +68,10 @@ class UrlModel:
         rows = HashingTF(numFeatures=self.features, binary=True, inputCol="grams", outputCol="features").transform(rows)
         return rows.drop("letters", "grams", *grams)
 
-    def fit(self, labelled: DataFrame, most_rows: int = 20_000, iterations: int = 60, strength: float = 1e-4) -> UrlModel:
+    def fit(self, labelled: DataFrame, most_rows: int = 20_000, iterations: int = 60, strength: float = 1e-2) -> UrlModel:
         """Train on ``labelled`` (host, path, verdict), at most ``most_rows`` distinct rows of it,
-        those with the least hash. Without rows every verdict is allow; with one verdict, that."""
+        those with the least hash. Both verdicts weigh the same in all, and the penalty keeps few
+        n-grams from deciding alone. Without rows every verdict is allow; with one verdict, that."""
         rows = (
             labelled.select("host", "path", "verdict").where(F.col("verdict").isin("allow", "block")).distinct()
             .orderBy(F.xxhash64("host", "path"), "host", "path", "verdict").limit(most_rows)
@@ -79,8 +80,11 @@ class UrlModel:
         try:
             count, blocked = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
             if count and 0 < blocked < count:
-                learner = LogisticRegression(maxIter=iterations, regParam=strength, standardization=False)
-                self.fitted = learner.fit(self.featured(rows).select("features", "label"))
+                even = F.when(F.col("label") == 1, count / (2 * blocked)).otherwise(count / (2 * (count - blocked)))
+                learner = LogisticRegression(
+                    maxIter=iterations, regParam=strength, standardization=False, weightCol="weight"
+                )
+                self.fitted = learner.fit(self.featured(rows).select("features", "label", even.alias("weight")))
             elif count:
                 self.only = "block" if blocked else "allow"
         finally:
