@@ -77,14 +77,20 @@ def bundle(texts: list[str], groups: np.ndarray, n_groups: int, dimension: int,
         gram_of = index[grams]
     else:
         distinct, gram_of = np.unique(grams, return_inverse=True)
-    cells = np.asarray(groups)[owner[middle]] * len(distinct) + gram_of
-    counts = np.bincount(cells, minlength=n_groups * len(distinct)).reshape(n_groups, len(distinct))
+    group = np.asarray(groups)[owner[middle]]
+    if len(distinct) > CHUNK_GRAMS:
+        # Grams in order, so that the counts of some of them are a stretch.
+        by_gram = np.argsort(gram_of, kind="stable")
+        group, gram_of = group[by_gram], gram_of[by_gram]
     vectors = np.stack([letter_vector(c, dimension, seed) for c in [0, *alphabet]])
     first, second = np.roll(vectors, 2, axis=1), np.roll(vectors, 1, axis=1)
     for at in range(0, len(distinct), CHUNK_GRAMS):
         g = distinct[at : at + CHUNK_GRAMS]
         bound = first[g // (base * base)] * second[g // base % base] * vectors[g % base]
-        out += counts[:, at : at + CHUNK_GRAMS].astype(np.float32) @ bound.astype(np.float32)
+        here = slice(None) if len(distinct) <= CHUNK_GRAMS else slice(*np.searchsorted(gram_of, [at, at + CHUNK_GRAMS]))
+        cells = group[here] * len(g) + (gram_of[here] - at)
+        counts = np.bincount(cells, minlength=n_groups * len(g)).reshape(n_groups, len(g))
+        out += counts.astype(np.float32) @ bound.astype(np.float32)
     return out
 
 
@@ -170,6 +176,32 @@ def detected(profiles: Profiles, text: Column) -> Column:
     return nearest(text)
 
 
+def octave(text: Column) -> Column:
+    """The binary logarithm of the number of characters, rounded down; 0 for an empty text."""
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)).cast("double"))).cast("int")
+
+
+def least_scores(
+    docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang",
+    share: float = 0.001, slack: float = 0.5,
+) -> dict[int, float]:
+    """For each octave of text length the score under which a text is like no language.
+
+    It is ``slack`` times the score that all but ``share`` of the documents with a language reach at
+    that length, so short texts, whose cosines scatter, have a lower bound. The driver gets one row
+    per octave. Lengths that no such document has have no bound.
+    """
+    known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    seen = known.select(octave(F.col(text_col)).alias("octave"), detected(profiles, F.col(text_col)).alias("found"))
+    rows = (
+        seen.where(F.col("found.lang_pred") != UNKNOWN)
+        .groupBy("octave")
+        .agg(F.percentile_approx("found.score", share, 10_000).alias("least"))
+        .collect()
+    )
+    return {r["octave"]: slack * r["least"] for r in rows}
+
+
 def held_out(id_column: Column) -> Column:
     """Whether the document is for testing only: crc32 of the id as text, modulo 4, is 2.
 
@@ -179,7 +211,12 @@ def held_out(id_column: Column) -> Column:
 
 
 def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row, repeated rows included."""
+    """doc_id, held_out, lang_pred, score for every row.
+
+    Rows that repeat are judged each; NULL and empty texts, and texts without a letter, are ``und``
+    with score 0, as is every text where no language was learned. Equal cosines go to the first
+    language in order. An empty table gives no rows; other columns are not looked at.
+    """
     return docs.select(
         F.col(id_col).alias("doc_id"),
         held_out(F.col(id_col)).alias("held_out"),
