@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 from stayflow.llm import bpe, jaccard_join, langid, mixing
 from stayflow.llm.store import new_folder
 
-#: A text of at least LONG characters is dropped if its cosine to the nearest language is under
-#: LEAST_COSINE. A shorter one has too few n-grams to tell, so it stays.
-LONG, LEAST_COSINE = 200, 0.1
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter (NULL and empty ones too) and texts like no language.
 
-    If no row has both a text and a language there is nothing to compare with, and only the
-    first rule holds.
+    A text is like no language if its cosine to the nearest one is under half of what nearly all
+    documents with a language reach at its length (``langid.least_scores``). If no row has both a
+    text and a language there is nothing to compare with, and only the first rule holds. Repeated
+    rows are judged each; an empty table stays empty; columns of any name pass through.
     """
     profiles = langid.learn(docs)
     found = "found"
@@ -26,26 +24,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         found += "_"
     seen = docs.withColumn(found, langid.detected(profiles, F.col("text")))
     if profiles.languages:
-        stays = (F.col(found)["lang_pred"] != langid.UNKNOWN) & (
-            (F.length("text") < LONG) | (F.col(found)["score"] >= LEAST_COSINE)
-        )
+        least = F.lit(0.0)
+        for length, score in langid.least_scores(docs, profiles).items():
+            least = F.when(langid.octave(F.col("text")) == length, score).otherwise(least)
+        stays = (F.col(found)["lang_pred"] != langid.UNKNOWN) & (F.col(found)["score"] >= least)
     else:
         stays = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return seen.where(stays).drop(found)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id."""
+    """One document of each group of near duplicates, the one with the least id.
+
+    NULL ids come last; NULL and blank texts stay; of equal rows one stays; an empty table stays empty.
+    """
     return jaccard_join.one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it.
+
+    NULL sources are a source; texts without words are taken like others, at most three times;
+    repeated rows are taken each; an empty table stays empty.
+    """
     return mixing.mixed_rows(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row of the mix, decoded again to prove them."""
+    """Token ids of each row of the mix, decoded again to prove them; NULL and empty texts have none."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.token_rows(docs, vocabulary, public_tokenizers.PATTERN)
 
