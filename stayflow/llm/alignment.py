@@ -128,7 +128,7 @@ class Aligner:
         self.pairs = linkable(self.a, self.b)
         self.names = [f"{i}{end}" for n, ends in ((len(self.a), ",|"), (len(self.b), ",;")) for i in range(n) for end in ends]
         self.after_line = len(self.second.encode("\n"))
-        self.memory = WordMemory(MAX_CHUNKS, self.packed, self.packed, True, self.chunks)
+        self.memory = WordMemory(MAX_CHUNKS, self.packed, self.packed, True, self.cut)
         self.cuts = self.first.memory.plain and self.ends_at_marks()
 
     def ends_at_marks(self) -> bool:
@@ -140,12 +140,12 @@ class Aligner:
             "\n" in (x, y) or (y == "▁" and x != "▁") or (x.isalpha() and y in PUNCTUATION) for x, y in beside
         )
 
-    def chunks(self, text: str) -> list[str]:
-        """The text, which starts with a space, cut where both tokenizers end a token."""
+    def cut(self, text: str) -> tuple[str, list[str]]:
+        """A text that starts with a space, cut at spaces where both tokenizers end a token."""
         if not INNER_SPACE.search(text):
-            return [" " + c for c in text[1:].split(" ")]
-        cuts = [0, *(m.start() for m in CUT.finditer(text)), len(text)]
-        return [text[a:b] for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
+            return "", text[1:].split(" ")
+        cuts = [0, *(m.start() for m in CUT.finditer(text, 1)), len(text)]
+        return "", [text[a + 1 : b] for a, b in zip(cuts[:-1], cuts[1:])]
 
     def packed(self, chunk: str) -> bytes:
         """Ids of both for a chunk, those of the second marked; ``CHANGED`` where a tokenizer changes

@@ -25,6 +25,15 @@ def space_chunks(text: str) -> list[str]:
     return [first, *chunks] if first else chunks
 
 
+def spaced_words(text: str) -> tuple[str, list[str]]:
+    """What is before the first such space, and what is behind each of them up to the next."""
+    if INNER_SPACE.search(text):
+        cuts = [*(m.start() for m in SAFE_SPACE.finditer(text)), len(text)]
+        return text[: cuts[0]], [text[a + 1 : b] for a, b in zip(cuts[:-1], cuts[1:])]
+    first, *rest = text.split(" ")
+    return first, rest
+
+
 def lone_line_feeds(lines: list[str]) -> bool:
     """Whether the line feeds between the lines have no white space beside them."""
     return all(lines) and not any(x[-1].isspace() for x in lines) and not any(x[0].isspace() for x in lines[1:])
@@ -36,11 +45,12 @@ class WordMemory:
     ``letters`` encodes one piece of letters, with or without a space before them; ``other`` any
     text. Where ``plain`` holds, the tokenizer also makes one piece of the punctuation behind
     letters, and one of a line feed between other characters: such chunks are put together from
-    their parts. Chunks that come a second time are remembered, in two generations.
+    their parts. Chunks that come a second time are remembered, in two generations, under what is
+    behind their space; those without one under a NUL and themselves.
     """
 
-    def __init__(self, most: int, letters, other, plain: bool, chunks=space_chunks):
-        self.most, self.letters, self.other, self.plain, self.chunks = most, letters, other, plain, chunks
+    def __init__(self, most: int, letters, other, plain: bool, cut=spaced_words):
+        self.most, self.letters, self.other, self.plain, self.cut = most, letters, other, plain, cut
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.seen = bytearray(SEEN + 1)
@@ -51,25 +61,45 @@ class WordMemory:
             # Chunks that keep coming move over from the older generation.
             self.known, self.older, self.seen = {}, self.known, bytearray(SEEN + 1)
         get, rare = self.known.get, self.rare
-        return b"".join([get(c) or rare(c) for c in self.chunks(text)])
+        first, rest = self.cut(text)
+        ids = b"".join([get(c) or rare(c) for c in rest])
+        return self.bare(first) + ids if first else ids
 
     def rare(self, chunk: str) -> bytes:
-        """Ids of a chunk that is not in the present generation."""
+        """Ids of a space and a chunk that is not in the present generation."""
         ids = self.older.get(chunk)
         if ids is not None:
             self.known[chunk] = ids
             return ids
         if self.plain:
             word = chunk.rstrip(PUNCTUATION)
-            if word.removeprefix(" ").isalpha():
+            if word.isalpha():
                 if len(word) == len(chunk):
-                    return self.kept(chunk, self.letters(chunk))
-                ids = self.known.get(word) or self.older.get(word) or self.kept(word, self.letters(word))
+                    return self.kept(chunk, self.letters(" " + chunk))
+                ids = self.known.get(word) or self.older.get(word) or self.kept(word, self.letters(" " + word))
                 return ids + self.short(chunk[len(word) :])
             lines = chunk.split("\n")
             if len(lines) > 1 and lone_line_feeds(lines):
-                return self.short("\n").join([self.known.get(x) or self.rare(x) for x in lines])
-        return self.kept(chunk, self.other(chunk))
+                first = self.known.get(lines[0]) or self.rare(lines[0])
+                return self.short("\n").join([first, *map(self.bare, lines[1:])])
+        return self.kept(chunk, self.other(" " + chunk))
+
+    def bare(self, chunk: str) -> bytes:
+        """Ids of a chunk without a space before it."""
+        key = "\0" + chunk
+        ids = self.known.get(key) or self.older.get(key)
+        if ids is not None:
+            return ids
+        if self.plain:
+            word = chunk.rstrip(PUNCTUATION)
+            if word.isalpha():
+                if len(word) == len(chunk):
+                    return self.kept(key, self.letters(chunk))
+                return self.bare(word) + self.short(chunk[len(word) :])
+            lines = chunk.split("\n")
+            if len(lines) > 1 and lone_line_feeds(lines):
+                return self.short("\n").join(map(self.bare, lines))
+        return self.kept(key, self.other(chunk))
 
     def kept(self, chunk: str, ids: bytes) -> bytes:
         """Remember the ids if the chunk has come before, or shares the hash of one that has."""
