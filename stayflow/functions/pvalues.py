@@ -10,11 +10,10 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-EXACT_KS_SIZE = 10_000
-
 
 def beta_tail(a: float, b: float, x: float) -> float:
     """Regularised incomplete beta I_x(a, b) by its continued fraction."""
@@ -124,9 +123,8 @@ def ks_exact(d: float, n: int, m: int) -> float:
     return min(1.0, max(0.0, 1.0 - stay))
 
 
-def ks_two_sample(d: float, n: int, m: int) -> float:
-    """Exact while both samples are small, the limit law beyond."""
-    return ks_exact(d, n, m) if max(n, m) <= EXACT_KS_SIZE else ks_limit(d, n, m)
+#: The laws of the two-sample statistic. The exact one takes steps in the number of rows.
+KS_LAWS = {"limit": ks_limit, "exact": ks_exact}
 
 
 @pandas_udf(DoubleType())
@@ -144,12 +142,18 @@ def chi_square_p_value(statistic: pd.Series, dof: pd.Series) -> pd.Series:
     )
 
 
-@pandas_udf(DoubleType())
-def ks_p_value(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            ks_two_sample(a, int(b), int(c)) if pd.notna(a) and b and c else None
-            for a, b, c in zip(d, n, m)
-        ],
-        dtype="float64",
-    )
+def ks_p_value(d: Column | str, n: Column | str, m: Column | str, law: str = "limit") -> Column:
+    """The chance of a statistic of at least ``d``, by one law at every size; for result rows only."""
+    chance = KS_LAWS[law]
+
+    @pandas_udf(DoubleType())
+    def found(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                chance(a, int(b), int(c)) if pd.notna(a) and b and c else None
+                for a, b, c in zip(d, n, m)
+            ],
+            dtype="float64",
+        )
+
+    return found(d, n, m)

@@ -37,7 +37,10 @@ def batch_metrics(log: DataFrame, seq: str, drift: str | None = None) -> DataFra
 
 
 def batch_metrics_running(log: DataFrame, seq: str) -> DataFrame:
-    """The same metrics as they stood after each batch; ``seq`` is a distinct number."""
+    """The same metrics as they stood after each batch; ``seq`` is a distinct number.
+
+    Latencies are added up in millionths, so the mean does not depend on the order of the sums.
+    """
     placed = running_totals(
         log.withColumn("_seq", F.col(seq).cast("double")),
         "_seq",
@@ -45,7 +48,7 @@ def batch_metrics_running(log: DataFrame, seq: str) -> DataFrame:
             "prediction_batches": F.lit(1).cast("long"),
             "predictions_total": F.col("batch_size"),
             "prediction_failures": F.col("failed_rows"),
-            "latency_total": F.col("latency_ms"),
+            "latency_total": F.col("latency_ms").cast("decimal(28,6)"),
         },
     )
     return placed.select(
@@ -56,7 +59,7 @@ def batch_metrics_running(log: DataFrame, seq: str) -> DataFrame:
         C.safe_ratio(
             F.col("prediction_failures"), F.greatest("predictions_total", F.lit(1))
         ).alias("failure_rate"),
-        (F.col("latency_total") / F.col("prediction_batches")).alias("avg_latency_ms"),
+        (F.col("latency_total").cast("double") / F.col("prediction_batches")).alias("avg_latency_ms"),
     )
 
 

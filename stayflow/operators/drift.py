@@ -1,6 +1,6 @@
 """Two-sample Kolmogorov-Smirnov drift checks.
 
-``ks_between`` and ``drift_between`` compare whole tables. A stored reference is a bounded sample
+``ks_tables`` and ``drift_between`` compare whole tables. A stored reference is a bounded sample
 per column: each new value falls into a cell of
 that sample (equal to one of its values, or between two), so one counting pass
 over the new data gives the exact statistic without sorting it.
@@ -12,7 +12,6 @@ import math
 from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -23,9 +22,12 @@ from stayflow.functions.pvalues import ks_p_value
 from stayflow.operators.features import Medians, clean_total_charges, engineer_features
 from stayflow.operators.ordering import running_totals
 from stayflow.operators.quantiles import long_form
+from stayflow.operators.sizing import checkpointed
 from stayflow.operators.splits import seeded_sample
 from stayflow.params import CustomerColumns, DriftParams
 
+#: A stored reference holds a bounded sample; whole tables are compared by ``drift_between``.
+STORED = DriftParams(max_reference_samples=2000)
 PROBLEMS = ["DRIFT_DETECTED", "MISSING_IN_NEW_DATA", "NO_VALID_VALUES"]
 
 
@@ -36,7 +38,7 @@ class DriftReference:
 
 
 def reference_sample(
-    df: DataFrame, columns: Sequence[str], key: str, params: DriftParams = DriftParams()
+    df: DataFrame, columns: Sequence[str], key: str, params: DriftParams = STORED
 ) -> DataFrame:
     """(column, value, original): a seeded sample of exactly min(n, cap) values per column.
 
@@ -67,11 +69,11 @@ def reference_sample(
 
 
 def fit_reference(
-    df: DataFrame, columns: Sequence[str], key: str, params: DriftParams = DriftParams()
+    df: DataFrame, columns: Sequence[str], key: str, params: DriftParams = STORED
 ) -> DriftReference:
     """Keep the bounded sample (cap values per column) for later checks."""
     if params.max_reference_samples is None:
-        raise ValueError("an uncapped reference stays a table: use ks_between")
+        raise ValueError("an uncapped reference stays a table: use drift_between")
     samples: dict[str, list[float]] = {c: [] for c in columns}
     counts: dict[str, tuple[int, int]] = {c: (0, 0) for c in columns}
     for r in reference_sample(df, columns, key, params).collect():
@@ -143,37 +145,48 @@ def _cell_splits(values: list[float]) -> list[float]:
     return sorted({s for v in values for s in (v, math.nextafter(v, math.inf))})
 
 
-def ks_between(reference: DataFrame, new: DataFrame, column: str) -> DataFrame:
-    """The statistic of one column between two tables of any size.
+def ks_tables(reference: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, n_ref, n_new, ks_statistic) of columns of two tables of any size.
 
-    Equal values are merged, then both distributions run up together bucket by bucket.
+    Each table is read once for all columns. Equal values of a column are merged, then both
+    distributions of all columns run up together in one ordered pass, bucket by bucket.
     """
-    sides = [
-        df.select(C.number(df, column).alias("value"), F.lit(tag).alias("side"))
-        for df, tag in ((reference, 0), (new, 1))
-    ]
+    columns = list(columns)
+    sides = []
+    for df, tag in ((reference, 0), (new, 1)):
+        values = [
+            F.struct(F.lit(i).alias("place"), C.number(df, c).alias("value")) for i, c in enumerate(columns)
+        ]
+        sides.append(df.select(F.inline(F.array(*values))).withColumn("side", F.lit(tag)))
     merged = (
         sides[0]
         .unionByName(sides[1])
         .filter(F.col("value").isNotNull())
-        .groupBy("value")
+        .groupBy("place", "value")
         .agg(
             F.count_if(F.col("side") == 0).alias("a"),
             F.count_if(F.col("side") == 1).alias("b"),
         )
     )
-    seen = running_totals(merged, "value", {"ra": F.col("a"), "rb": F.col("b")})
-    sizes = merged.agg(F.struct(F.sum("a").alias("n_ref"), F.sum("b").alias("n_new"))).scalar()
+    merged = checkpointed(merged)
+    seen = running_totals(merged, "value", {"ra": F.col("a"), "rb": F.col("b")}, by="place", stored=True)
+    # One row per column.
+    sizes = merged.groupBy("place").agg(F.sum("a").alias("n_ref"), F.sum("b").alias("n_new"))
     gap = F.abs(F.try_divide("ra", "n_ref") - F.try_divide("rb", "n_new"))
+    names = F.array(*[F.lit(c) for c in columns])
     return (
-        seen.withColumn("sizes", sizes)
-        .select("ra", "rb", "sizes.*")
-        .groupBy("n_ref", "n_new")
+        seen.join(F.broadcast(sizes), "place")
+        .groupBy("place", "n_ref", "n_new")
         .agg(F.max(gap).alias("ks_statistic"))
-        .select(F.lit(column).alias("column"), "n_ref", "n_new", "ks_statistic")
+        .select(names[F.col("place")].alias("column"), "n_ref", "n_new", "ks_statistic")
     )
 
 
+def ks_between(reference: DataFrame, new: DataFrame, column: str) -> DataFrame:
+    """The statistic of one column between two tables of any size."""
+    return ks_tables(reference, new, [column])
+
+
 def drift_report(
     df: DataFrame, reference: DriftReference, params: DriftParams = DriftParams()
 ) -> DataFrame:
@@ -189,16 +202,16 @@ def drift_between(
     """``drift_report`` against the whole reference table: no sample, no cap."""
     if not columns:
         raise ValueError("Drift reference is empty.")
-    tested = [ks_between(reference, new, c) for c in columns if c in new.columns]
+    tested = [c for c in columns if c in new.columns]
     schema = "column string, n_ref long, n_new long, ks_statistic double"
-    found = reduce(DataFrame.unionByName, tested) if tested else new.sparkSession.createDataFrame([], schema)
+    found = ks_tables(reference, new, tested) if tested else new.sparkSession.createDataFrame([], schema)
     return _report(new, columns, found.filter("n_ref > 0"), params)
 
 
 def _report(df: DataFrame, columns: Sequence[str], found: DataFrame, params: DriftParams) -> DataFrame:
     """The status of every column from the statistics of the tested ones."""
     spark = df.sparkSession
-    found = found.withColumn("p_value", ks_p_value("ks_statistic", "n_ref", "n_new"))
+    found = found.withColumn("p_value", ks_p_value("ks_statistic", "n_ref", "n_new", params.law))
     wanted = spark.createDataFrame([(c, c in df.columns) for c in columns], "column string, present boolean")
     status = (
         F.when(~F.col("present"), "MISSING_IN_NEW_DATA")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from stayflow.functions import columns as C
 from stayflow.operators.ordering import running_totals
-from stayflow.params import QualityGates
+from stayflow.operators.sizing import checkpointed
+from stayflow.params import BusinessParams, QualityGates
 
 
 def precision(tp: Column, fp: Column) -> Column:
@@ -131,6 +132,16 @@ def campaign_kpis(counts: DataFrame) -> DataFrame:
     )
 
 
+def contact_value(counts: DataFrame, business: BusinessParams = BusinessParams()) -> DataFrame:
+    """Correct contacts, the value of one (lifetime value x success rate - cost) and of all."""
+    one = F.lit(business.correct_contact_value)
+    return counts.select(
+        F.col("tp").alias("correct_contacts"),
+        one.alias("value_per_correct_contact"),
+        (F.col("tp") * one).alias("total_value"),
+    )
+
+
 # ---- threshold sweep ------------------------------------------------------
 
 
@@ -301,48 +312,80 @@ def score_groups(scored: DataFrame, label: str = "y", score: str = "p") -> DataF
 
 def roc_auc(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
     """One row (pos, neg, roc_auc): the exact rank statistic, ties counted half."""
-    ranked = running_totals(
-        score_groups(scored, label, score), "score", {"neg_seen": F.col("neg")}
-    )
+    return _areas(score_groups(scored, label, score))
+
+
+def roc_auc_by(groups: DataFrame, by: str) -> DataFrame:
+    """(by, pos, neg, roc_auc) of score histograms (by, score, pos, neg); ``by`` numbers them from 0.
+
+    All groups go through one running total. Equal scores of a group are merged first.
+    """
+    merged = groups.groupBy(by, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return _areas(merged, by)
+
+
+def _areas(groups: DataFrame, by: str | None = None) -> DataFrame:
+    ranked = running_totals(groups, "score", {"neg_seen": F.col("neg")}, by=by)
     below = F.col("neg_seen") - F.col("neg")
-    return ranked.agg(
+    keys = [] if by is None else [by]
+    return ranked.groupBy(*keys).agg(
         F.sum("pos").alias("pos"),
         F.sum("neg").alias("neg"),
         F.sum(F.col("pos") * (below.cast("double") + F.col("neg") / 2)).alias("wins"),
     ).select(
+        *keys,
         "pos",
         "neg",
         F.try_divide("wins", F.col("pos").cast("double") * F.col("neg")).alias("roc_auc"),
     )
 
 
-def _curve(scored: DataFrame, label: str, score: str) -> DataFrame:
-    groups = score_groups(scored, label, score)
+def _curve(scored: DataFrame, label: str, score: str) -> tuple[DataFrame, DataFrame]:
+    """(score, tp, fp, all_pos, all_neg) at every distinct score, and the totals alone.
+
+    The input is read once, into a stored histogram of its scores.
+    """
+    groups = checkpointed(score_groups(scored, label, score))
     seen = running_totals(
-        groups, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True
+        groups, "score", {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True, stored=True
     )
-    totals = groups.agg(F.struct(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg")))
+    totals = groups.agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg")).filter("all_pos + all_neg > 0")
     seen = seen.filter(F.col("score") > F.lit(float("-inf")))
-    return seen.withColumn("totals", totals.scalar()).select(*seen.columns, "totals.*")
+    # One row.
+    return seen.crossJoin(F.broadcast(totals)), totals
 
 
-def roc_points(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score."""
-    return _curve(scored, label, score).select(
+def roc_points(scored: DataFrame, label: str = "y", score: str = "p", ends: bool = False) -> DataFrame:
+    """(threshold, fpr, tpr) at every distinct score; with ``ends`` also (0, 0), where nobody is
+    flagged, which has no threshold."""
+    curve, totals = _curve(scored, label, score)
+    points = curve.select(
         F.col("score").alias("threshold"),
         C.safe_ratio(F.col("fp"), F.col("all_neg")).alias("fpr"),
         C.safe_ratio(F.col("tp"), F.col("all_pos")).alias("tpr"),
     )
-
-
-def pr_points(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
-    """(threshold, precision, recall, baseline) at every distinct score."""
-    return _curve(scored, label, score).select(
+    if not ends:
+        return points
+    none = F.lit(None).cast("double").alias("threshold")
+    return points.unionByName(totals.select(none, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")))
+
+
+def pr_points(scored: DataFrame, label: str = "y", score: str = "p", ends: bool = False) -> DataFrame:
+    """(threshold, precision, recall, baseline) at every distinct score; with ``ends`` also the end of
+    the curve at recall 0 and precision 1, which has no threshold."""
+    curve, totals = _curve(scored, label, score)
+    baseline = C.safe_ratio(F.col("all_pos"), F.col("all_pos") + F.col("all_neg")).alias("baseline")
+    points = curve.select(
         F.col("score").alias("threshold"),
         precision(F.col("tp"), F.col("fp")).alias("precision"),
         C.safe_ratio(F.col("tp"), F.col("all_pos")).alias("recall"),
-        C.safe_ratio(F.col("all_pos"), F.col("all_pos") + F.col("all_neg")).alias("baseline"),
+        baseline,
     )
+    if not ends:
+        return points
+    none = F.lit(None).cast("double").alias("threshold")
+    end = totals.select(none, F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), baseline)
+    return points.unionByName(end)
 
 
 # ---- the result row -------------------------------------------------------

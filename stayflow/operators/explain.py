@@ -61,6 +61,12 @@ def coefficient_groups(coefs: DataFrame) -> DataFrame:
     return coefs.select(F.explode(lists).alias("list"), "feature", "coefficient")
 
 
+def top_features(coefs: DataFrame, k: int = 20) -> DataFrame:
+    """The k features of the largest absolute coefficient, with their direction."""
+    direction = F.when(F.col("coefficient") > 0, "driver").when(F.col("coefficient") < 0, "preventer")
+    return rank_coefficients(coefs).filter(F.col("rank") <= k).withColumn("direction", direction)
+
+
 def coefficient_summary(coefs: DataFrame) -> DataFrame:
     c = "coefficient"
     return coefs.agg(

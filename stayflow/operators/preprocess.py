@@ -33,6 +33,8 @@ class Preprocessor:
     categories: dict[str, list[str]]
     drop_first: bool = True
     indicators: list[str] = field(default_factory=list)
+    #: Share of each category among the training rows, missing values counted as the mode.
+    shares: dict[str, dict[str, float]] = field(default_factory=dict)
 
     def encoded(self, name: str) -> list[str]:
         """Categories that get a column."""
@@ -45,6 +47,14 @@ class Preprocessor:
             *[f"cat__{c}_{v}" for c in self.categorical for v in self.encoded(c)],
         ]
 
+    def feature_means(self) -> dict[str, float]:
+        """Mean of every encoded feature over the training rows: scaled ones have 0, a category its
+        share. No pass over the rows."""
+        out = {n: 0.0 for n in self.feature_names()}
+        for c in self.categorical:
+            out.update({f"cat__{c}_{v}": self.shares[c][v] for v in self.encoded(c)})
+        return out
+
     def filled(self, df: DataFrame, name: str) -> Column:
         return F.coalesce(C.number(df, name), F.lit(self.fill[name]))
 
@@ -120,34 +130,48 @@ def fit_preprocessor(
                 mean[f"{c}_missing"] = share
                 std[f"{c}_missing"] = (share * (1 - share)) ** 0.5 or 1.0
 
-    mode, categories = fit_categories(train, categorical)
+    counts = category_counts(train, categorical)
+    mode, categories = _modes_and_categories(counts)
+    shares = {}
+    for c, found in counts.items():
+        rows = max(sum(found.values()), 1)
+        filled = {v: n + (found.get(None, 0) if v == mode[c] else 0) for v, n in found.items() if v is not None}
+        shares[c] = {v: n / rows for v, n in filled.items()}
     return Preprocessor(
-        numeric, categorical, fill, mean, std, mode, categories, drop_first, marked
+        numeric, categorical, fill, mean, std, mode, categories, drop_first, marked, shares
     )
 
 
+def category_counts(train: DataFrame, columns: Sequence[str]) -> dict[str, dict[str | None, int]]:
+    """Rows per value of each column, from one grouping. Categories become literals of a plan; more
+    than MAX_CATEGORIES are a table of their own, for ``dictionary.fit_dictionary``."""
+    out: dict[str, dict[str | None, int]] = {c: {} for c in columns}
+    if not columns:
+        return out
+    values = column_values(train, columns).groupBy("column", "value").count()
+    counts = collect_small(values, MAX_CATEGORIES + len(columns))
+    if counts is None:
+        raise DataValidationError(
+            f"more than {MAX_CATEGORIES} categories in {list(columns)}: encode them by a dictionary"
+        )
+    for r in counts:
+        out[r["column"]][r["value"]] = r["count"]
+    return out
+
+
+def _modes_and_categories(
+    counts: dict[str, dict[str | None, int]],
+) -> tuple[dict[str, str | None], dict[str, list[str]]]:
+    categories = {c: sorted(v for v in found if v is not None) for c, found in counts.items()}
+    # The first of the sorted values with the most rows.
+    return {c: max(v, key=counts[c].__getitem__, default=None) for c, v in categories.items()}, categories
+
+
 def fit_categories(
     train: DataFrame, columns: Sequence[str]
 ) -> tuple[dict[str, str | None], dict[str, list[str]]]:
-    """(most frequent value, sorted categories) per column, from one grouping."""
-    mode: dict[str, str | None] = {c: None for c in columns}
-    categories: dict[str, list[str]] = {c: [] for c in columns}
-    if not columns:
-        return mode, categories
-    counts = collect_small(
-        column_values(train, columns)
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .count(),
-        MAX_CATEGORIES,
-    )
-    if counts is None:
-        raise DataValidationError(f"more than {MAX_CATEGORIES} categories in {list(columns)}")
-    for r in sorted(counts, key=lambda r: (r["column"], -r["count"], r["value"])):
-        if mode[r["column"]] is None:
-            mode[r["column"]] = r["value"]
-        categories[r["column"]].append(r["value"])
-    return mode, {c: sorted(v) for c, v in categories.items()}
+    """(most frequent value, sorted categories) per column."""
+    return _modes_and_categories(category_counts(train, columns))
 
 
 def ordinal_encode(

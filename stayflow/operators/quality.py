@@ -5,9 +5,10 @@ Every count except the duplicates comes from one aggregation over one scan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +46,14 @@ def missing_columns(df: DataFrame, required) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
+def column_differences(df: DataFrame, defined: Sequence[str]) -> DataFrame:
+    """(column, side): columns of the table that are not defined ('missing' from the definition), and
+    defined names that the table lacks ('extra'); a name that is repeated counts once."""
+    have, want = list(dict.fromkeys(df.columns)), list(dict.fromkeys(defined))
+    lines = [(c, "missing") for c in have if c not in want] + [(c, "extra") for c in want if c not in have]
+    return df.sparkSession.createDataFrame(lines, "column string, side string")
+
+
 def missing_by_column(df: DataFrame) -> DataFrame:
     """(column, missing_count, missing_ratio)."""
     counts = df.agg(
@@ -255,6 +264,43 @@ def quality_report(df: DataFrame, rules: ValidationRules) -> DataFrame:
     )
 
 
+def final_check(df: DataFrame, key: str, label: str) -> DataFrame:
+    """The last look at a prepared table: (item, name, count, share) with the rows, the copies of
+    earlier rows, the distinct keys (as many as rows, if they are unique), the columns with missing
+    values, and the label's values with their share of the labelled rows.
+    """
+    missing = df.columns
+    one = df.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct(key).alias("keys"),
+        *[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(missing)],
+    )
+    rows = F.col("rows")
+    line = lambda item, name, n: F.struct(
+        F.lit(item).alias("item"), F.lit(name).alias("name"), n.alias("count"),
+        C.safe_ratio(n, rows).alias("share"),
+    )
+    lines = F.array(
+        line("rows", "", rows), line("distinct_keys", key, F.col("keys")),
+        *[line("missing", c, F.col(f"m{i}")) for i, c in enumerate(missing)],
+    )
+    counted = one.select(F.inline(lines)).filter((F.col("item") != "missing") | (F.col("count") > 0))
+    copies = duplicate_stats(df).select(
+        F.lit("copies").alias("item"), F.lit("").alias("name"), F.col("duplicate_count").alias("count"),
+        F.col("duplicate_ratio").alias("share"),
+    )
+    shares = df.filter(F.col(label).isNotNull()).groupBy(F.col(label).cast("string").alias("name")).agg(
+        F.count("*").alias("count")
+    )
+    # One row per label value.
+    whole = Window.partitionBy()
+    labels = shares.select(
+        F.lit("label").alias("item"), "name", "count",
+        (F.col("count") / F.sum("count").over(whole)).alias("share"),
+    )
+    return counted.unionByName(copies).unionByName(labels)
+
+
 def require_quality(df: DataFrame, rules: ValidationRules) -> Row:
     """Strict form: the report row, or an error that names the critical issues."""
     report = quality_report(df, rules).first()

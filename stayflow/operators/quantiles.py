@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayflow.functions.columns import number
-from stayflow.operators.sizing import collect_small
+from stayflow.operators.sizing import checkpointed, collect_small
 
 ACCURACY = 10_000
 MARGIN = 4 / ACCURACY
@@ -28,6 +28,8 @@ SMALL_ROWS = 20_000
 NARROW_STEPS = 2_000
 BRACKET_ROWS = 2_000_000
 MAX_GROUPS = 20_000
+# A group with more than one part in HOT_SHARE of a partition's rows is not left to one task.
+HOT_SHARE = 4
 
 
 def long_form(
@@ -109,9 +111,13 @@ def exact_quantiles(
         return found
     pairs = _pairs(pending)
     source, limits = _bounded(wide, pending, by)
-    inside = _entries(source, limits, pairs, by, inside_only=True)
-    below = _below(source, limits, pairs, by)
-    picked = _pick(inside, [*by, "pair"], _prob_of(pairs), below)
+    if len(columns) == 1:
+        # One column: its values below a bracket are counted in the same scan.
+        picked = _pick(_entries(source, limits, pairs, by), [*by, "pair"], _prob_of(pairs))
+    else:
+        inside = _entries(source, limits, pairs, by, inside_only=True)
+        below = _below(source, limits, pairs, by)
+        picked = _pick(inside, [*by, "pair"], _prob_of(pairs), below)
     names = F.array(*[F.lit(c) for c, _ in pairs])
     exact = picked.select(*by, names[F.col("pair")].alias("column"), "prob", "value")
     return found.unionByName(exact) if known else exact
@@ -265,7 +271,12 @@ def _pick(
 def _many_groups(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]
 ) -> DataFrame:
-    """The same two passes with the brackets as a table, for more groups than a driver should hold."""
+    """The same passes with the brackets as a table, for more groups than a driver should hold.
+
+    A bracket that still holds many rows is narrowed by joins, its bounds never leave the table.
+    Values of the few groups with a large share of all rows meet their brackets by broadcast, so
+    such a group is not one task.
+    """
     values = long_form(df, columns, by)
     keys = [*by, "column"]
     edges = F.array(
@@ -278,16 +289,70 @@ def _many_groups(
         low = F.coalesce(low, F.lit(-math.inf))
         high = F.coalesce(high, F.lit(math.inf))
         entries.append(F.struct(F.lit(k).alias("pair"), low.alias("low"), high.alias("high")))
-    brackets = (
+    brackets = checkpointed(
         values.groupBy(*keys)
         .agg(F.count("*").alias("n"), F.percentile_approx("value", edges, ACCURACY).alias("edges"))
         .select(*keys, "n", F.inline(F.array(*entries)))
+        .withColumn("narrow", F.lit(False))
     )
-    inside = values.join(brackets, keys).filter(F.col("value") <= F.col("high"))
     prob = F.array(*[F.lit(float(p)) for p in probs])[F.col("pair")]
+    share = 2 * MARGIN
+    while True:
+        wide = (
+            (F.col("n") >= SMALL_ROWS) & (F.col("n") * share > BRACKET_ROWS)
+            & (F.col("high") > F.col("low")) & ~F.col("narrow")
+        )
+        if brackets.filter(wide).isEmpty():
+            break
+        narrowed = _narrow_table(values, brackets.filter(wide), keys, prob)
+        brackets = checkpointed(brackets.filter(~wide).unionByName(narrowed))
+        share *= 2 * MARGIN
+    total = brackets.filter(F.col("pair") == 0).agg(F.sum("n")).first()[0] or 0
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # At most HOT_SHARE groups for each partition can be this large: their brackets are broadcast.
+    hot = F.col("n") > max(SMALL_ROWS, total / (HOT_SHARE * parts))
+    brackets = brackets.drop("narrow")
+    inside = _at_brackets(values, F.broadcast(brackets.filter(hot)), keys).unionByName(
+        _at_brackets(values, brackets.filter(~hot), keys)
+    )
     return _pick(inside, [*keys, "pair"], prob).drop("pair")
 
 
+def _at_brackets(values: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+    return values.join(brackets, keys).filter(F.col("value") <= F.col("high"))
+
+
+def _narrow_table(values: DataFrame, brackets: DataFrame, keys: list[str], prob: Column) -> DataFrame:
+    """Brackets cut to the ranks around their quantile, on a fixed grid inside them.
+
+    Each holds BRACKET_ROWS rows or more, so there are few of them and they are broadcast.
+    """
+    inside = F.col("value") >= F.col("low")
+    grid = F.array(*[F.lit(i / NARROW_STEPS) for i in range(NARROW_STEPS + 1)])
+    stats = (
+        _at_brackets(values, F.broadcast(brackets), keys)
+        .groupBy(*keys, "pair", "n", "low", "high")
+        .agg(
+            F.count_if(~inside).alias("below"),
+            F.count_if(inside).alias("inside"),
+            F.percentile_approx(F.when(inside, F.col("value")), grid, ACCURACY).alias("marks"),
+        )
+    )
+    rank = (F.col("n") - 1) * prob - F.col("below")
+    place = rank / F.greatest(F.col("inside") - 1, F.lit(1))
+    margin = F.lit(MARGIN) + F.lit(2.0) / F.greatest(F.col("inside"), F.lit(1))
+    lower = F.floor((place - margin) * NARROW_STEPS).cast("int")
+    upper = F.ceil((place + margin) * NARROW_STEPS).cast("int")
+    low = F.when(lower <= 0, F.col("low")).otherwise(F.get("marks", lower))
+    high = F.when(upper >= NARROW_STEPS, F.col("high")).otherwise(F.get("marks", upper))
+    cut = stats.withColumns({"new_low": low, "new_high": high})
+    return cut.select(
+        *keys, "n", "pair", F.col("new_low").alias("low"), F.col("new_high").alias("high"),
+        # A bracket that cannot be cut further is as narrow as it gets.
+        ((F.col("new_low") == F.col("low")) & (F.col("new_high") == F.col("high"))).alias("narrow"),
+    )
+
+
 def quantiles_wide(
     df: DataFrame, columns: Sequence[str], named: dict[str, float], by: Sequence[str] = ()
 ) -> DataFrame:

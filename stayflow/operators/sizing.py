@@ -32,3 +32,15 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute once into the shared folder, so that later passes and lost executors reread it.
+
+    For small results: Spark's cleaner deletes the files when nothing refers to them any more
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_folder(df.sparkSession))
+    return df.checkpoint()

@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayflow.operators.sizing import collect_small
+from stayflow.operators.sizing import checkpointed, collect_small
 from stayflow.params import SplitParams
 
-BUCKET_DIGITS = 3
+BUCKET_DIGITS, MAX_DIGITS = 3, 6
+# More strata than this are cut by a join with a table instead of by literals of the plan.
 MAX_STRATA = 64
 # A hash bucket with more rows is divided further before its rows are ordered.
 RANKED_ROWS = 1_000_000
@@ -53,96 +54,125 @@ class SplitCuts:
         return hashed.withColumn("split", result).drop("_h")
 
 
-def _bucket_counts(
-    hashed: DataFrame, label: str, digits: int, inside: Sequence[str] = ()
-) -> list[Row]:
-    """Rows per (label, first hash digits), in hash order; ``inside`` keeps some prefixes only."""
-    rows = hashed
-    if inside:
-        rows = rows.filter(F.substring("h", 1, len(inside[0])).isin(list(inside)))
-    counts = collect_small(
-        rows.groupBy(label, F.substring("h", 1, digits).alias("bucket")).count(),
-        MAX_STRATA * 16 ** (BUCKET_DIGITS + 1),
+@dataclass(frozen=True)
+class TableCuts:
+    """The cuts of many strata as a table (stratum, name, h, k)."""
+
+    key: str
+    label: str
+    seed: int
+    table: DataFrame
+    names: tuple[str, ...]
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Add ``split``: one join on the label, unhinted, so a frequent label can be split."""
+        wide = self.table.groupBy("stratum").agg(
+            *[
+                F.max(F.when(F.col("name") == n, F.struct("h", "k"))).alias(f"_{n}")
+                for n in self.names
+            ]
+        )
+        place = F.struct(F.col("_h").alias("h"), F.col(self.key).alias("k"))
+        result = F.lit("test")
+        for n in reversed(self.names):
+            result = F.when(F.col(f"_{n}").isNotNull() & (place <= F.col(f"_{n}")), n).otherwise(result)
+        hashed = df.withColumn("_h", hash_order(self.key, self.seed))
+        joined = hashed.join(wide, _same(self.label))
+        return joined.withColumn("split", result).select(*df.columns, "split")
+
+
+def _buckets(hashed: DataFrame, label: str, digits: int, depth: int) -> DataFrame:
+    """(label, bucket, n, before): rows per first hash digits, and those before them in the stratum."""
+    counts = hashed.groupBy(label, F.substring("h", 1, digits).alias("bucket")).agg(F.count("*").alias("n"))
+    # Buckets of one stratum under one prefix: at most 16 ** BUCKET_DIGITS rows of a window.
+    line = Window.partitionBy(label, F.substring("bucket", 1, depth)).orderBy("bucket")
+    return counts.withColumn(
+        "before", F.coalesce(F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
-    if counts is None:
-        raise ValueError(f"{label} has too many values to stratify by")
-    return sorted(counts, key=lambda r: r["bucket"])
 
 
-@dataclass(frozen=True)
-class _Target:
-    """A cut still to be found: its rank among the rows of a stratum under a hash prefix."""
-
-    stratum: object
-    name: str
-    rank: int
-    prefix: str = ""
-    rows: int = 0
-
-
-def _step(targets: list[_Target], counts: list[Row], label: str) -> list[_Target]:
-    """Move every target into the longer prefix that holds its rank."""
-    out = []
-    for t in targets:
-        seen = 0
-        for r in counts:
-            if r[label] != t.stratum or not r["bucket"].startswith(t.prefix):
-                continue
-            if seen < t.rank <= seen + r["count"]:
-                out.append(_Target(t.stratum, t.name, t.rank - seen, r["bucket"], r["count"]))
-                break
-            seen += r["count"]
-    return out
+def _same(label: str) -> Column:
+    """Rows and strata meet on the label, a missing one included."""
+    return F.col(label).eqNullSafe(F.col("stratum"))
+
+
+def cut_table(df: DataFrame, key: str, label: str, shares: dict[str, float], seed: int) -> DataFrame:
+    """(stratum, name, h, k): the last (hash, key) of each share of each stratum, missing where a
+    share has no row. Exact: floor(share * rows) rows of a stratum lie up to its cut.
+
+    Counts per hash bucket and prefix sums lead to the bucket that holds a cut; a large bucket is
+    divided by further digits, and only rows of these buckets are ordered. All of it is tables, so
+    there may be any number of strata.
+    """
+    hashed = df.select(label, F.col(key).alias("k"), hash_order(key, seed).alias("h"))
+    digits = BUCKET_DIGITS
+    counts = _buckets(hashed, label, digits, 0)
+    sizes = counts.groupBy(F.col(label).alias("stratum")).agg(F.sum("n").alias("rows"))
+    names = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(s)).alias("share")) for n, s in shares.items()])
+    targets = sizes.select("stratum", "rows", F.inline(names)).select(
+        "stratum", "name", F.floor(F.col("rows") * F.col("share") + 1e-9).alias("rank"), F.lit("").alias("prefix")
+    )
+    targets = checkpointed(targets)
+    found = _held(targets, counts, label)
+    while digits < 15 and not found.filter(F.col("n") > RANKED_ROWS).isEmpty():
+        # Only buckets with a cut are divided.
+        prefixes = found.select("stratum", "prefix").distinct()
+        near = hashed.join(
+            prefixes, _same(label) & (F.substring("h", 1, digits) == F.col("prefix"))
+        ).drop("stratum", "prefix")
+        found = _held(found.drop("n"), _buckets(near, label, digits + BUCKET_DIGITS, digits), label)
+        digits += BUCKET_DIGITS
+    buckets = found.select("stratum", "prefix").distinct()
+    # Equal keys are merged before they are ordered.
+    near = (
+        hashed.join(buckets, _same(label) & (F.substring("h", 1, digits) == F.col("prefix")))
+        .groupBy("stratum", "prefix", "h", "k").agg(F.count("*").alias("times"))
+    )
+    line = Window.partitionBy("stratum", "prefix").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = near.withColumn("upto", F.sum("times").over(line))
+    wanted = found.select(F.col("stratum").alias("of"), F.col("prefix").alias("under"), "name", "rank")
+    cuts = ranked.join(
+        wanted,
+        F.col("stratum").eqNullSafe(F.col("of"))
+        & (F.col("prefix") == F.col("under"))
+        & (F.col("rank") <= F.col("upto"))
+        & (F.col("rank") > F.col("upto") - F.col("times")),
+    ).select(F.col("of").alias("held"), F.col("name").alias("share"), "h", "k")
+    every = targets.select("stratum", "name")
+    return every.join(
+        cuts, F.col("stratum").eqNullSafe(F.col("held")) & (F.col("name") == F.col("share")), "left"
+    ).select("stratum", "name", "h", "k")
+
+
+def _held(targets: DataFrame, counts: DataFrame, label: str) -> DataFrame:
+    """Targets of a rank above 0 with the longer prefix that holds it, and its rank there."""
+    bucket = F.col("bucket").startswith(F.col("prefix"))
+    inside = (F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n"))
+    return checkpointed(
+        targets.filter(F.col("rank") > 0).join(counts, _same(label) & bucket & inside).select(
+            "stratum", "name", (F.col("rank") - F.col("before")).alias("rank"),
+            F.col("bucket").alias("prefix"), "n",
+        )
+    )
 
 
 def stratified_cuts(
     df: DataFrame, key: str, label: str, params: SplitParams = SplitParams()
-) -> SplitCuts:
+) -> SplitCuts | TableCuts:
     """Find the exact cut points: floor(train share), floor(train + val share) rows per label.
 
-    Narrow passes over (key, label): counts per hash bucket, counts inside the buckets with a
-    cut while these are large, then an order of the few rows left.
+    Up to MAX_STRATA labels the cuts are literals of the plan, beyond that a table that is joined.
     """
     train_share = 1 - params.test_share - params.val_share
     shares = {"train": train_share, "val": train_share + params.val_share}
-    hashed = df.select(key, label, hash_order(key, params.seed).alias("h"))
-    counts = _bucket_counts(hashed, label, BUCKET_DIGITS)
-    sizes: dict[object, int] = {}
-    for r in counts:
-        sizes[r[label]] = sizes.get(r[label], 0) + r["count"]
-    targets = [
-        _Target(stratum, name, int(size * share + 1e-9))
-        for stratum, size in sizes.items()
-        for name, share in shares.items()
-    ]
-    targets = _step([t for t in targets if t.rank], counts, label)
-    digits = BUCKET_DIGITS
-    while digits < 15 and any(t.rows > RANKED_ROWS for t in targets):
-        prefixes = sorted({t.prefix for t in targets})
-        digits += BUCKET_DIGITS
-        targets = _step(targets, _bucket_counts(hashed, label, digits, prefixes), label)
-
-    found: dict[tuple[object, str], tuple[str, object]] = {}
-    if targets:
-        bucket = F.substring("h", 1, digits)
-        order = Window.partitionBy(label, "bucket").orderBy("h", key)
-        # Equal keys are merged before they are ordered.
-        ranked = (
-            hashed.filter(bucket.isin(sorted({t.prefix for t in targets})))
-            .groupBy(label, bucket.alias("bucket"), "h", key)
-            .count()
-            .withColumn("upto", F.sum("count").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        )
-        holds = F.lit(False)
-        for rank in sorted({t.rank for t in targets}):
-            holds = holds | ((F.col("upto") >= rank) & (F.col("upto") - F.col("count") < rank))
-        for r in ranked.filter(holds).collect():
-            for t in targets:
-                at_rank = r["upto"] - r["count"] < t.rank <= r["upto"]
-                if at_rank and (r[label], r["bucket"]) == (t.stratum, t.prefix):
-                    found[(t.stratum, t.name)] = (r["h"], r[key])
-    cuts = {s: [(name, found.get((s, name))) for name in shares] for s in sizes}
-    return SplitCuts(key, label, params.seed, cuts)
+    table = checkpointed(cut_table(df, key, label, shares, params.seed))
+    rows = collect_small(table, MAX_STRATA * len(shares))
+    if rows is None:
+        return TableCuts(key, label, params.seed, table, tuple(shares))
+    cuts: dict[object, dict[str, tuple[str, object] | None]] = {}
+    for r in rows:
+        cuts.setdefault(r["stratum"], {})[r["name"]] = None if r["h"] is None else (r["h"], r["k"])
+    return SplitCuts(key, label, params.seed, {s: [(n, found[n]) for n in shares] for s, found in cuts.items()})
 
 
 def stratified_split(
@@ -171,29 +201,34 @@ def stratified_folds(
     """
     digits = BUCKET_DIGITS
     hashed = df.withColumn("h", hash_order(key, seed))
-    counts = _bucket_counts(hashed, label, digits)
-    while digits < BUCKET_DIGITS + 2 and any(r["count"] > RANKED_ROWS for r in counts):
+    narrow = hashed.select(label, "h")
+    while True:
+        bucket = F.substring("h", 1, digits).alias("bucket")
+        counts = checkpointed(narrow.groupBy(label, bucket).agg(F.count("*").alias("n")))
+        largest = counts.agg(F.max("n")).first()[0]
+        if largest is None:
+            return df.withColumn("fold", F.lit(None).cast("int"))
+        if largest <= RANKED_ROWS or digits >= MAX_DIGITS:
+            break
         digits += 1
-        counts = _bucket_counts(hashed, label, digits)
-    hashed = hashed.withColumn("bucket", F.substring("h", 1, digits))
-    seen: dict[object, int] = {}
-    offsets = []
-    for r in counts:
-        offsets.append((r[label], r["bucket"], seen.get(r[label], 0)))
-        seen[r[label]] = seen.get(r[label], 0) + r["count"]
-    if not offsets:
-        return df.withColumn("fold", F.lit(None).cast("int"))
-    kind = df.schema[label].dataType.simpleString()
-    known = df.sparkSession.createDataFrame(offsets, f"of {kind}, prefix string, before long")
-    inside = Window.partitionBy(label, "bucket").orderBy("h", key)
+    # Prefix sums in two steps: buckets under the same first digits, and the totals of these.
+    upper = F.substring("bucket", 1, BUCKET_DIGITS)
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    group = counts.groupBy(F.col(label).alias("of"), upper.alias("upper")).agg(F.sum("n").alias("n"))
+    group = group.select(
+        "of", "upper", F.coalesce(F.sum("n").over(before("of").orderBy("upper")), F.lit(0)).alias("ahead")
+    )
+    own = F.sum("n").over(before(label, upper).orderBy("bucket"))
+    offsets = (
+        counts.withColumn("own", F.coalesce(own, F.lit(0)))
+        .join(group, F.col(label).eqNullSafe(F.col("of")) & (upper == F.col("upper")))
+        .select("of", F.col("bucket").alias("prefix"), (F.col("ahead") + F.col("own")).alias("before"))
+    )
+    inside = Window.partitionBy("of", "prefix").orderBy("h", key)
     return (
-        hashed.join(
-            F.broadcast(known), F.col(label).eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("prefix"))
-        )
-        .withColumn(
-            "fold",
-            ((F.col("before") + F.row_number().over(inside) - 1) % folds).cast("int"),
-        )
+        hashed.withColumn("bucket", F.substring("h", 1, digits))
+        .join(offsets, F.col(label).eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("prefix")))
+        .withColumn("fold", ((F.col("before") + F.row_number().over(inside) - 1) % folds).cast("int"))
         .select(*df.columns, "fold")
     )
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,11 @@ from stayflow.functions.pvalues import chi_square_p_value, t_p_value
 from stayflow.operators.quantiles import exact_quantiles, long_form, quantiles_wide
 from stayflow.operators.sizing import collect_small
 
+# Density: width of a cell in bandwidths, moments of a cell, bandwidths beyond which a kernel is nothing.
+KDE_CELL, KDE_TERMS, KDE_REACH = 0.5, 14, 9.0
+# A variance under this share of the mean square around the shift is a constant column.
+CONSTANT = 1e-14
+
 
 def column_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., column, value as text), missing values included."""
@@ -27,33 +33,45 @@ def column_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (
 def column_profile(df: DataFrame) -> DataFrame:
     """(column, dtype, missing_count, missing_pct, blank_count, unique_values).
 
-    Values are grouped by (column, value) first, so distinct counts are exact and
-    no task holds all values of a column.
+    Missing and blank values are counted in one wide aggregation. Distinct values are counted by
+    type, not as text: equal ones are merged before the shuffle and after it, so the counts are
+    exact and no task holds all values of a column. Types that cannot be grouped go as JSON.
     """
-    types = F.create_map(*[F.lit(x) for c, t in df.dtypes for x in (c, t)])
-    values = column_values(df, df.columns).groupBy("column", "value").agg(F.count("*").alias("n"))
-    return (
-        values.groupBy("column")
-        .agg(
-            F.sum("n").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias(
-                "missing_count"
-            ),
-            F.coalesce(F.sum(F.when(C.is_blank(F.col("value")), F.col("n"))), F.lit(0)).alias(
-                "blank_count"
-            ),
-            F.count("value").alias("unique_values"),
-        )
-        .select(
-            "column",
-            types[F.col("column")].alias("dtype"),
-            "missing_count",
-            C.round_even(C.safe_ratio(F.col("missing_count"), F.col("rows")) * 100, 2).alias(
-                "missing_pct"
-            ),
-            "blank_count",
-            "unique_values",
-        )
+    held = [f"c{i}" for i in range(len(df.columns))]
+    kinds = [f.dataType for f in df.schema]
+    rows = df.toDF(*held) if held else df
+    plain = [
+        F.to_json(c) if "map<" in kind.simpleString() else F.col(c) for c, kind in zip(held, kinds)
+    ]
+    is_text = [kind.typeName() in {"string", "char", "varchar"} for kind in kinds]
+    counts = rows.agg(
+        F.count("*").alias("rows"),
+        *[F.count(c).alias(f"{c}_held") for c in held],
+        *[
+            (F.count_if(C.is_blank(F.col(c))) if text else F.lit(0).cast("long")).alias(f"{c}_blank")
+            for c, text in zip(held, is_text)
+        ],
+        *[F.count_distinct(v).alias(f"{c}_kinds") for c, v in zip(held, plain)],
+    )
+    lines = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("column"),
+                F.lit(kind).alias("dtype"),
+                (F.col("rows") - F.col(f"{c}_held")).alias("missing_count"),
+                F.col(f"{c}_blank").alias("blank_count"),
+                F.col(f"{c}_kinds").alias("unique_values"),
+            )
+            for c, (name, kind) in zip(held, df.dtypes)
+        ]
+    )
+    return counts.select("rows", F.inline(lines)).filter("rows > 0").select(
+        "column",
+        "dtype",
+        "missing_count",
+        C.round_even(C.safe_ratio(F.col("missing_count"), F.col("rows")) * 100, 2).alias("missing_pct"),
+        "blank_count",
+        "unique_values",
     )
 
 
@@ -270,57 +288,91 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     )
 
 
-def kde_curve(df: DataFrame, column: str, by: str, points: int = 101) -> DataFrame:
-    """Gaussian kernel density per group on an even grid, Scott's bandwidth.
+def kde_curve(df: DataFrame, column: str, by: str, points: int = 1000) -> DataFrame:
+    """(by, point, x, density): Gaussian kernel density per group on an even grid, Scott's bandwidth.
 
-    Equal values are merged first; then every grid point is one sum of a single aggregation.
+    Values are grouped once, to cells of half a bandwidth, each with the first moments of its values
+    around its middle; a cell's share of a grid point is the Hermite series of the kernel in these.
+    With KDE_TERMS moments a density differs from the direct sum by less than ``kde_error`` of the
+    kernel's peak. Any number of groups; one with fewer than two values, or equal ones, has none.
     """
-    values = long_form(df, [column], [by])
-    shape = collect_small(
-        values.groupBy(by).agg(
-            F.count("*").alias("n"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-        ),
-        1000,
+    values = long_form(df, [column], [by]).select(by, "value")
+    shape = values.groupBy(F.col(by).alias("_by")).agg(
+        F.count("*").alias("n"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
     )
-    if shape is None:
-        raise ValueError(f"{by} has too many groups for density curves")
+    width = F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    shape = shape.filter((F.col("n") > 1) & (F.col("std") > 0)).withColumn("width", width)
+    # Equal values are merged, so a group is no more rows than its distinct values.
     weights = values.groupBy(by, "value").agg(F.count("*").cast("double").alias("w"))
-    curves = []
-    for r in shape:
-        if not r["std"] or r["n"] < 2:
-            continue
-        width = r["std"] * r["n"] ** -0.2
-        start, span = r["low"] - 0.5 * (r["high"] - r["low"]), 2 * (r["high"] - r["low"])
-        grid = [start + span * i / (points - 1) for i in range(points)]
-        scale = r["n"] * width * math.sqrt(2 * math.pi)
-        sums = [
-            F.struct(
-                F.lit(i).alias("point"),
-                F.lit(g).alias("x"),
-                (
-                    F.sum(
-                        F.col("w")
-                        * F.exp(F.lit(-0.5) * F.pow((F.col("value") - g) / width, F.lit(2.0)))
-                    )
-                    / scale
-                ).alias("density"),
-            )
-            for i, g in enumerate(grid)
-        ]
-        curves.append(
-            weights.filter(F.col(by) == r[by])
-            .agg(F.array(*sums).alias("curve"))
-            .select(F.lit(r[by]).alias(by), F.inline("curve"))
+    cell = F.floor((F.col("value") - F.col("low")) / (F.col("width") * KDE_CELL))
+    offset = (F.col("value") - F.col("low")) / F.col("width") - (F.col("cell") + 0.5) * KDE_CELL
+    placed = (
+        weights.join(shape, F.col(by) == F.col("_by"))
+        .withColumn("cell", cell)
+        .withColumn("t", offset)
+    )
+    cells = placed.groupBy(by, "cell", "n", "width", "low", "high").agg(
+        F.array(
+            *[
+                F.sum(F.col("w") * F.pow("t", F.lit(float(k))) / math.factorial(k))
+                for k in range(KDE_TERMS)
+            ]
+        ).alias("moments")
+    )
+    span = 2 * (F.col("high") - F.col("low"))
+    start = F.col("low") - 0.5 * (F.col("high") - F.col("low"))
+    middle = F.col("low") + (F.col("cell") + 0.5) * KDE_CELL * F.col("width")
+    reach = KDE_REACH * F.col("width")
+    place = lambda x: (x - start) * (points - 1) / span
+    near = F.sequence(
+        F.greatest(F.floor(place(middle - reach)), F.lit(0)).cast("int"),
+        F.least(F.ceil(place(middle + reach)), F.lit(points - 1)).cast("int"),
+    )
+    x = start + span * F.col("point") / (points - 1)
+    u = (F.col("x") - F.col("middle")) / F.col("width")
+    zero = F.lit(0.0)
+    # Hermite polynomials from the two before: next = u * now - order * last.
+    series = F.aggregate(
+        "moments",
+        F.struct(
+            zero.alias("last"), F.lit(1.0).alias("now"), zero.alias("order"), zero.alias("total")
+        ),
+        lambda s, m: F.struct(
+            s["now"].alias("last"),
+            (F.col("u") * s["now"] - s["order"] * s["last"]).alias("now"),
+            (s["order"] + 1.0).alias("order"),
+            (s["total"] + s["now"] * m).alias("total"),
+        ),
+        lambda s: s["total"],
+    )
+    shares = (
+        cells.withColumn("middle", middle)
+        .withColumn("point", F.explode(near))
+        .withColumn("x", x)
+        .withColumn("u", u)
+        .select(
+            by, "point", "x",
+            (F.exp(-F.col("u") * F.col("u") / 2) * series / (F.col("n") * F.col("width") * math.sqrt(2 * math.pi))).alias("d"),
         )
-    if not curves:
-        return df.sparkSession.createDataFrame([], f"{by} string, point int, x double, density double")
-    result = curves[0]
-    for curve in curves[1:]:
-        result = result.unionByName(curve)
-    return result
+    )
+    sums = shares.groupBy(by, "point").agg(F.sum("d").alias("d"))
+    grid = shape.select(
+        F.col("_by").alias(by), "low", "high", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    ).withColumn("x", x)
+    # Points beyond the reach of every value have no share.
+    return grid.join(sums, [by, "point"], "left").select(
+        by, "point", "x", F.greatest(F.coalesce("d", F.lit(0.0)), F.lit(0.0)).alias("density")
+    )
+
+
+def kde_error(terms: int) -> float:
+    """Bound of the series' rest, as a share of the kernel's peak: |He_k(u)| exp(-u^2 / 2) is at most
+    1.09 sqrt(k!), and a value lies at most half a cell from the middle."""
+    t = KDE_CELL / 2
+    return sum(1.09 * t**k / math.sqrt(math.factorial(k)) for k in range(terms, terms + 40))
 
 
 # ---- association ----------------------------------------------------------
@@ -335,29 +387,68 @@ def pearson(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, corr) for all ordered pairs: pairwise complete, NULL for a constant column."""
-    rows = df.select(*[C.number(df, c).alias(c) for c in columns])
-    pairs = list(combinations_with_replacement(columns, 2))
-    found = rows.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(a).alias("a"),
-                    F.lit(b).alias("b"),
-                    pearson(a, b).alias("corr"),
-                )
-                for a, b in pairs
-            ]
-        ).alias("pairs")
-    ).select(F.inline("pairs"))
-    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", "corr"))).otherwise(
-        F.array(
-            F.struct("a", "b", "corr"),
-            F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "corr"),
+def gram_sums(rows: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, ...]:
+    """Sums over the rows that hold both columns, for every pair: rows, x, x^2 and x y, each a matrix,
+    of the columns' numbers less a value of their own (which keeps the digits).
+
+    A task returns these matrices whatever its rows; they are added up by line.
+    """
+    spark = rows.sparkSession
+    some = rows.limit(1000).toPandas()
+    shift = np.array([float(v.iloc[len(v) // 2]) if len(v := some[c].dropna()) else 0.0 for c in columns])
+    n = len(columns)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, n, n))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float) - shift
+            held = ~np.isnan(x)
+            x, m = np.where(held, x, 0.0), held.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        lines = np.ascontiguousarray(total.transpose(1, 0, 2))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(n), pa.int32()), pa.array([a.tobytes() for a in lines], pa.binary())], ["line", "sums"]
         )
-    )
-    return found.select(F.inline(both))
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for line, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                new = np.frombuffer(part.as_py())
+                total[line] = total[line] + new if line in total else new
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()), pa.array([a.tobytes() for a in total.values()], pa.binary())],
+            ["line", "sums"],
+        )
+
+    schema = "line int, sums binary"
+    parts = min(n, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = rows.select(*columns).mapInArrow(summed, schema).repartition(parts, "line").mapInArrow(added, schema)
+    whole = np.zeros((n, 4, n))
+    for r in found.collect():
+        whole[r["line"]] = np.frombuffer(bytes(r["sums"])).reshape(4, n)
+    return tuple(whole.transpose(1, 0, 2))
+
+
+def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(a, b, corr) for all ordered pairs: pairwise complete, NULL for a constant column.
+
+    One pass over the rows for any number of columns.
+    """
+    columns = list(columns)
+    rows = df.select(*[C.number(df, c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    n, sx, sxx, sxy = gram_sums(rows, rows.columns)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = sxx / n - (sx / n) ** 2
+        spread = np.where(spread > CONSTANT * sxx / n, spread, np.nan)
+        corr = (sxy / n - (sx / n) * (sx / n).T) / np.sqrt(spread * spread.T)
+    np.fill_diagonal(corr, np.where(np.isnan(np.diag(spread)), np.nan, 1.0))
+    lines = [
+        (a, b, None if np.isnan(corr[i, j]) else float(corr[i, j]))
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(lines, "a string, b string, corr double")
 
 
 def target_corr(df: DataFrame, columns: Sequence[str], target: Column, bound: float = 0.7) -> DataFrame:

@@ -22,13 +22,12 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stayflow.operators.evaluation import classification_metrics, confusion, roc_auc
+from stayflow.operators.evaluation import classification_metrics, confusion, roc_auc, roc_auc_by
+from stayflow.operators.logistic import Problem, fit_many, held_out_scores
 from stayflow.operators.scoring import score_with_ml
 from stayflow.operators.splits import stratified_folds
 
@@ -119,7 +118,7 @@ def regularisation(c: float, rows: int) -> float:
 
 #: Settings of each kind that have a counterpart; any other is refused.
 SETTINGS = {
-    "logistic_regression": {"C", "penalty", "l1_ratio", "max_iter", "solver"},
+    "logistic_regression": {"C", "penalty", "l1_ratio", "max_iter"},
     "decision_tree": {"max_depth", "min_samples_leaf", "random_state"},
     "random_forest": {
         "n_estimators", "max_depth", "min_samples_leaf", "max_features", "max_samples", "random_state",
@@ -184,7 +183,7 @@ def estimator(candidate: Candidate, rows: int):
             featureSubsetStrategy=feature_subset(p.get("max_features")),
             seed=seed,
         )
-    raise ValueError(f"Unsupported model type: {candidate.type}")
+    raise ValueError(f"no such kind of model: {candidate.type}")
 
 
 def fit(candidate: Candidate, train: DataFrame):
@@ -239,7 +238,7 @@ def train_candidates(
             model = fit(c, train_rows)
             results.append(Trained(c, model, metrics(score_with_ml(model, val_rows))))
     if not results:
-        raise ValueError("No enabled model candidates found.")
+        raise ValueError("No enabled candidate could be trained")
     return results
 
 
@@ -294,13 +293,18 @@ def random_draws(space: Mapping[str, Sequence], n: int, seed: int = 42) -> list[
     return random.Random(seed).sample(every, min(n, len(every)))
 
 
+# Strengths to try around the best one, as multiples of it, and those around an end
+# of the range, beyond which the middle of the grid does not go.
+AROUND = (0.1, 0.5, 1.0, 2.0, 10.0)
+AROUND_END = (0.1, 0.5, 1.0, 5.0, 10.0)
+LEAST_MIDDLE, MOST_MIDDLE = 0.01, 100.0
+
+
 def refined_strengths(best: float) -> list[float]:
     """Inverse strengths to try around the best one found."""
-    if best <= 0.01:
-        return [0.001, 0.005, 0.01, 0.05, 0.1]
-    if best >= 100:
-        return [10.0, 50.0, 100.0, 500.0, 1000.0]
-    return [best / 10, best / 2, best, best * 2, best * 10]
+    middle = min(max(best, LEAST_MIDDLE), MOST_MIDDLE)
+    factors = AROUND_END if middle in (LEAST_MIDDLE, MOST_MIDDLE) else AROUND
+    return [round(middle * f, 12) for f in factors]
 
 
 def grid_search_lr(
@@ -310,41 +314,34 @@ def grid_search_lr(
     folds: int = 5,
     seed: int = 42,
     max_iter: int = 1000,
-    parallelism: int = 4,
 ) -> DataFrame:
-    """(setting, c, penalty, class_weight, cv_auc), best first."""
+    """(setting, c, penalty, class_weight, cv_auc), best first.
+
+    All settings are fitted on all folds at once (``logistic.fit_many``): one pass over the rows
+    per iteration. A setting's score is the mean of the exact areas on its folds.
+    """
     spark = matrix.sparkSession
     folded = stratified_folds(matrix, key, "label", folds, seed).select(
         F.col("label").cast("double").alias("label"),
-        array_to_vector("features").alias("vector"),
-        F.lit(1.0).alias("weight_none"),
-        balanced_weight(matrix).alias("weight_balanced"),
+        "features",
+        F.array(F.lit(1.0), balanced_weight(matrix)).alias("weights"),
         "fold",
     )
     with kept(folded) as (rows,):
         inside = rows.count() * (folds - 1) // folds
-        lr = LogisticRegression(
-            featuresCol="vector", labelCol="label", maxIter=max_iter, standardization=False
-        )
-        grid = [
-            {
-                lr.regParam: regularisation(s["C"], inside),
-                lr.elasticNetParam: 1.0 if s["penalty"] == "l1" else 0.0,
-                lr.weightCol: f"weight_{s['class_weight'] or 'none'}",
-            }
-            for s in settings
-        ]
-        search = CrossValidator(
-            estimator=lr,
-            estimatorParamMaps=grid,
-            evaluator=BinaryClassificationEvaluator(labelCol="label", numBins=0),
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        ).fit(rows)
+        problems = []
+        for s in settings:
+            strength = regularisation(s["C"], inside)
+            lasso, weighting = s["penalty"] == "l1", int(s["class_weight"] == "balanced")
+            penalties = (strength, 0.0) if lasso else (0.0, strength)
+            problems += [Problem(*penalties, weighting, k) for k in range(folds)]
+        fitted = fit_many(rows, problems, max_iter)
+        areas = roc_auc_by(held_out_scores(rows, problems, fitted), "problem")
+        setting = F.floor(F.col("problem") / folds).cast("int").alias("setting")
+        found = {r["setting"]: r["cv_auc"] for r in areas.groupBy(setting).agg(F.avg("roc_auc").alias("cv_auc")).collect()}
     lines = [
-        (i, float(s["C"]), s["penalty"], s["class_weight"] or "none", float(a))
-        for i, (s, a) in enumerate(zip(settings, search.avgMetrics))
+        (i, float(s["C"]), s["penalty"], s["class_weight"] or "none", found.get(i))
+        for i, s in enumerate(settings)
     ]
     return spark.createDataFrame(
         lines, "setting int, c double, penalty string, class_weight string, cv_auc double"
@@ -380,7 +377,8 @@ def compare_models(
     baseline_auc: float = 0.828,
     folds: int = 5,
 ) -> DataFrame:
-    """(model, cv_auc, cv_auc_std, val_auc, train_auc, overfit_gap, gain_points), best CV first."""
+    """(model, cv_auc, cv_auc_std, cv_recall, cv_precision, cv_f1, val_auc, train_auc, overfit_gap,
+    gain_points), best CV first."""
     spark = train.sparkSession
     lines = []
     with kept(train, val) as (train_rows, val_rows):
@@ -389,10 +387,12 @@ def compare_models(
             model = fit(c, train_rows)
             on_val = roc_auc(score_with_ml(model, val_rows), "label").first()["roc_auc"]
             on_train = roc_auc(score_with_ml(model, train_rows), "label").first()["roc_auc"]
-            lines.append((c.name, cv["roc_auc"]["mean"], cv["roc_auc"]["std"], on_val, on_train))
+            scores = [cv[m]["mean"] for m in ("recall", "precision", "f1")]
+            lines.append((c.name, cv["roc_auc"]["mean"], cv["roc_auc"]["std"], *scores, on_val, on_train))
     table = spark.createDataFrame(
         lines,
-        "model string, cv_auc double, cv_auc_std double, val_auc double, train_auc double",
+        "model string, cv_auc double, cv_auc_std double, cv_recall double, cv_precision double, "
+        "cv_f1 double, val_auc double, train_auc double",
     )
     return rank_models(table, baseline_auc)
 
@@ -412,6 +412,13 @@ def best_safe_model(ranked: DataFrame) -> DataFrame:
     return ranked.orderBy(safe.desc(), F.desc("cv_auc"), "model").limit(1)
 
 
+def top_settings(searched: DataFrame, k: int = 5) -> DataFrame:
+    """The k best settings of a search, ranked from 1; equal scores by their number."""
+    line = Window.orderBy(F.desc("cv_auc"), "setting")
+    # A search has as many rows as settings.
+    return searched.withColumn("rank", F.row_number().over(line)).filter(F.col("rank") <= k)
+
+
 def soft_voting_pays(ranked: DataFrame, least: int = 2) -> bool:
     """Whether enough models beat the baseline for an ensemble."""
     return ranked.filter(F.col("gain_points") > 0).count() >= least

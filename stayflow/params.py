@@ -146,6 +146,11 @@ class BusinessParams:
     def retained_value(self) -> float:
         return self.retained_value_override or self.clv * self.success_rate
 
+    @property
+    def correct_contact_value(self) -> float:
+        """What contacting a customer who would leave is worth: the value kept on average, less the cost."""
+        return self.clv * self.success_rate - self.contact_cost
+
 
 @dataclass(frozen=True)
 class QualityGates:
@@ -209,5 +214,7 @@ ACCOUNT_RULES = ValidationRules(
 @dataclass(frozen=True)
 class DriftParams:
     p_value_bound: float = 0.05
-    max_reference_samples: int | None = 2000
+    max_reference_samples: int | None = None
     seed: int = 42
+    # The law of the statistic at every size: limit, or exact (work grows with the rows).
+    law: str = "limit"

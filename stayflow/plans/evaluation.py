@@ -159,6 +159,15 @@ def classification_report(spark, sf_dir):
     return rounded(E.classification_report(counts_at(spark, sf_dir)))
 
 
+@query(
+    "contact_value",
+    f"""{_COUNTS} SELECT tp AS correct_contacts, CAST(550 AS DOUBLE) AS value_per_correct_contact,
+  CAST(550 * tp AS DOUBLE) AS total_value FROM counts""",
+)
+def contact_value(spark, sf_dir):
+    return E.contact_value(counts_at(spark, sf_dir), MONEY)
+
+
 @query(
     "campaign_kpis",
     f"""{_COUNTS}
@@ -199,19 +208,20 @@ curve AS (SELECT p, CAST(sum(pos) OVER w AS DOUBLE) AS tp, CAST(sum(neg) OVER w
 @query(
     "roc_points",
     f"{_CURVE} SELECT round(p, 6) AS threshold, round(fp / all_neg, 6) AS fpr, "
-    "round(tp / all_pos, 6) AS tpr FROM curve",
+    "round(tp / all_pos, 6) AS tpr FROM curve UNION ALL SELECT NULL, 0.0, 0.0",
 )
 def roc_points(spark, sf_dir):
-    return rounded(E.roc_points(scored_accounts(spark, sf_dir)))
+    return rounded(E.roc_points(scored_accounts(spark, sf_dir), ends=True))
 
 
 @query(
     "pr_points",
     f"{_CURVE} SELECT round(p, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, "
-    "round(tp / all_pos, 6) AS recall, round(all_pos / (all_pos + all_neg), 6) AS baseline FROM curve",
+    "round(tp / all_pos, 6) AS recall, round(all_pos / (all_pos + all_neg), 6) AS baseline FROM curve "
+    "UNION ALL SELECT NULL, 1.0, 0.0, round(avg(CAST(y AS DOUBLE)), 6) FROM scored",
 )
 def pr_points(spark, sf_dir):
-    return rounded(E.pr_points(scored_accounts(spark, sf_dir)))
+    return rounded(E.pr_points(scored_accounts(spark, sf_dir), ends=True))
 
 
 # ---- result row on the test split -----------------------------------------

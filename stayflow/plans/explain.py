@@ -59,6 +59,16 @@ def coef_rank(spark, sf_dir):
     return rounded(X.rank_coefficients(coefficients(spark, sf_dir)))
 
 
+@query(
+    "top_features",
+    f"""{_COEFS} SELECT * FROM (SELECT feature, round(coefficient, 6) + 0 AS coefficient, round(abs(coefficient), 6) AS abs_coefficient,
+  CAST(row_number() OVER (ORDER BY abs(coefficient) DESC, feature) AS INTEGER) AS rank,
+  CASE WHEN coefficient > 0 THEN 'driver' WHEN coefficient < 0 THEN 'preventer' END AS direction FROM coefs) WHERE rank <= 20""",
+)
+def top_features(spark, sf_dir):
+    return rounded(X.top_features(coefficients(spark, sf_dir)))
+
+
 @query(
     "coef_groups",
     f"""{_COEFS} SELECT 'driver' AS list, feature, round(coefficient, 6) + 0 AS coefficient FROM coefs WHERE coefficient > 0
@@ -121,7 +131,7 @@ _N = range(len(_FEATURES))
 def background(spark, sf_dir):
     fit = fitted(spark, sf_dir)
     rows, pre = fit.rows, fit.preprocessor
-    return rows, pre, X.feature_means(rows.filter("split = 'train'"), pre)
+    return rows, pre, pre.feature_means()
 
 
 @query(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.functions import columns as C
+from stayflow.operators import dictionary as Dc
 from stayflow.operators import features as Fe
 from stayflow.operators import preprocess as P
 from stayflow.operators import stats as St
@@ -60,6 +62,11 @@ def fitted(spark, sf_dir) -> Fitted:
     return Fitted(rows, preprocessor, medians)
 
 
+def set_columns(rows: DataFrame, feature_set: str) -> tuple[list[str], list[str]]:
+    """Numeric and text columns of a feature set (A, B or C), as far as the accounts have them."""
+    return P.numeric_and_text(rows, P.feature_sets(COLS)[feature_set])
+
+
 _ENGINEERED = f"WITH {S.ENGINEERED}"
 _FITTED = f"WITH {S.FITTED}"
 
@@ -214,6 +221,38 @@ def cv_folds(spark, sf_dir):
     return stratified_folds(rows, "account_id", "churn").select("account_id", "fold")
 
 
+_STRATA = f"""WITH {S.ACCOUNTS}, placed AS (SELECT account_id, customer_id, row_number() OVER (PARTITION BY customer_id
+    ORDER BY md5(concat(CAST(account_id AS VARCHAR), '|42')), account_id) AS place,
+  count(*) OVER (PARTITION BY customer_id) AS n FROM accounts)"""
+
+
+@query(
+    "split_by_customer",
+    f"""{_STRATA} SELECT account_id, CASE WHEN place <= (n * 6) // 10 THEN 'train' WHEN place <= (n * 8) // 10 THEN 'val' ELSE 'test' END AS split,
+  CAST((place - 1) % 5 AS INTEGER) AS fold FROM placed""",
+)
+def split_by_customer(spark, sf_dir):
+    """A stratum for each customer: the cuts are a table, the folds join their offsets."""
+    rows = accounts(spark, sf_dir, ["account_id", "customer_id"])
+    folded = stratified_folds(rows, "account_id", "customer_id")
+    cuts = stratified_cuts(rows, "account_id", "customer_id")
+    return cuts.apply(folded).select("account_id", "split", "fold")
+
+
+@query(
+    "ordinal_dictionary",
+    f"""WITH {S.SPLIT}, places AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS place
+  FROM (SELECT DISTINCT CAST(customer_id AS VARCHAR) AS v FROM split_accounts WHERE split = 'train'))
+SELECT account_id, coalesce(p.place, -1) AS place FROM split_accounts LEFT JOIN places p ON v = CAST(customer_id AS VARCHAR)""",
+)
+def ordinal_dictionary(spark, sf_dir):
+    """Every customer of the training rows is a category; others are -1."""
+    rows = split_accounts(spark, sf_dir, ["account_id", "customer_id", "churn"])
+    found = Dc.fit_dictionary(rows.filter("split = 'train'"), ["customer_id"])
+    placed = Dc.ordinal_encode(rows, found, ["customer_id"])
+    return placed.select("account_id", F.col("customer_id_place").alias("place"))
+
+
 @query(
     "union_splits",
     f"""WITH {S.SPLIT} SELECT account_id, y, split FROM split_accounts WHERE split IN ('train', 'val')""",
@@ -267,6 +306,33 @@ def onehot(spark, sf_dir):
     return pre.transform_wide(rows, ["account_id"])
 
 
+def _sparse(names: str) -> str:
+    return f"""{_FITTED}, wide AS (SELECT account_id, {_features(_CAT)} FROM engineered, fitted)
+SELECT account_id, {names} FROM wide"""
+
+
+_CAT_NAMES = [f'"{n}"' for n in _CAT]
+
+
+@query(
+    "onehot_dictionary",
+    _sparse(
+        "concat_ws(',', "
+        + ", ".join(f"CASE WHEN {n} = 1 THEN '{i}' END" for i, n in enumerate(_CAT_NAMES))
+        + ") AS places, "
+        + f"{len(_CAT_NAMES)} AS width"
+    ),
+)
+def onehot_dictionary(spark, sf_dir):
+    """The one-hot features by joins with a dictionary table, as sparse vectors: the places of the ones."""
+    rows = split_accounts(spark, sf_dir, ["account_id", *COLS.categorical_features, "churn"])
+    found = Dc.fit_dictionary(rows.filter("split = 'train'"), COLS.categorical_features)
+    encoded = Dc.one_hot_encode(rows, found, COLS.categorical_features)
+    values = vector_to_array("features")
+    places = F.transform(values, lambda x, i: F.when(x == 1, i.cast("string")))
+    return encoded.select("account_id", F.array_join(places, ",").alias("places"), F.size(values).alias("width"))
+
+
 @query(
     "onehot_all",
     f"{_FITTED} SELECT account_id, "

@@ -136,6 +136,33 @@ def duplicate_stats(spark, sf_dir):
     return rounded(Q.duplicate_stats(faulty_accounts(spark, sf_dir)))
 
 
+@query(
+    "final_check",
+    f"""{_FAULTY}, {_COPIES}, sizes AS (SELECT count(*) AS n FROM faulty), found AS (
+  SELECT 'rows' AS item, '' AS name, count(*) AS count FROM faulty UNION ALL
+  SELECT 'distinct_keys', 'account_id', count(DISTINCT account_id) FROM faulty UNION ALL
+  SELECT 'copies', '', CAST(sum(n - 1) AS BIGINT) FROM copies UNION ALL
+  SELECT * FROM ({' UNION ALL '.join(f"SELECT 'missing', '{c}', count(*) FILTER (WHERE {_missing(c)}) FROM faulty" for c in FAULTY_FIELDS)}))
+SELECT item, name, count, round(CAST(count AS DOUBLE) / n, 6) AS share FROM found, sizes WHERE item <> 'missing' OR count > 0
+UNION ALL SELECT 'label', churn, count(*), round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6)
+FROM faulty WHERE churn IS NOT NULL GROUP BY churn""",
+)
+def final_check(spark, sf_dir):
+    return rounded(Q.final_check(faulty_accounts(spark, sf_dir), "account_id", "churn"))
+
+
+@query(
+    "column_differences",
+    f"""{_FAULTY}, named AS (SELECT unnest(['tenure', 'contract', 'contract', 'gender', 'partner', 'churn']) AS c)
+SELECT column_name AS "column", 'missing' AS side FROM (DESCRIBE SELECT * FROM faulty) WHERE column_name NOT IN (SELECT c FROM named)
+UNION ALL SELECT DISTINCT c, 'extra' FROM named WHERE c IN ('gender', 'partner') AND (SELECT count(*) FROM faulty) > 0""",
+)
+def column_differences(spark, sf_dir):
+    """Columns that a feature list leaves out, and names it has too many."""
+    defined = ["tenure", "contract", "contract", "gender", "partner", "churn"]
+    return Q.column_differences(faulty_accounts(spark, sf_dir), defined)
+
+
 @query(
     "dq_type_violations",
     f"""{_FAULTY} SELECT 'total_charges' AS "column",

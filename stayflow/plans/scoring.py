@@ -12,7 +12,7 @@ from stayflow.operators import rows as R
 from stayflow.operators import scoring as Sc
 from stayflow.operators import training as Tr
 from stayflow.operators.sizing import materialize, scratch_folder
-from stayflow.params import ACCOUNT_COLUMNS
+from stayflow.params import ACCOUNT_COLUMNS, DriftParams
 from stayflow.plans import check_sql as S
 from stayflow.plans.features import MODEL_FIELDS, engineered, fitted, split_accounts
 from stayflow.plans.registry import query, rounded
@@ -213,6 +213,10 @@ reference AS (SELECT "column", value, original FROM ranked WHERE place <= 2000)"
 )
 
 
+#: These queries compare with a stored sample, as their check SQL does; the ones named tables do not.
+SAMPLE = DriftParams(max_reference_samples=2000)
+
+
 def drift_input(spark, sf_dir) -> DataFrame:
     """Written once: the reference and every checked batch read it."""
     return materialize(split_accounts(spark, sf_dir, ["account_id", *DRIFT_COLUMNS, "churn"]))
@@ -221,7 +225,7 @@ def drift_input(spark, sf_dir) -> DataFrame:
 @query("drift_reference", f"{_REFERENCE} SELECT * FROM reference")
 def drift_reference(spark, sf_dir):
     train = drift_input(spark, sf_dir).filter("split = 'train'")
-    return D.reference_sample(train, DRIFT_COLUMNS, "account_id")
+    return D.reference_sample(train, DRIFT_COLUMNS, "account_id", SAMPLE)
 
 
 def drifted(rows: DataFrame) -> DataFrame:
@@ -229,14 +233,18 @@ def drifted(rows: DataFrame) -> DataFrame:
 
 
 _INPUTS = {"same": "monthly_charges", "drifted": "monthly_charges * 1.5"}
-_KS = (
-    f"{_REFERENCE}, new_values AS ("
-    + " UNION ALL ".join(
-        f"SELECT '{name}' AS input, '{c}' AS \"column\", {expr if c == 'monthly_charges' else _VALUE[c]} AS value FROM split_accounts WHERE split = 'test'"
-        for name, expr in _INPUTS.items()
-        for c in DRIFT_COLUMNS
-    )
-    + """), sides AS (SELECT input, "column", value, 1 AS r, 0 AS n FROM reference, (SELECT DISTINCT input FROM new_values)
+
+
+def ks_sql(reference: str) -> str:
+    """The statistics of both inputs against a table ``reference`` defined by the given SQL."""
+    return (
+        f"{reference}, new_values AS ("
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS input, '{c}' AS \"column\", {expr if c == 'monthly_charges' else _VALUE[c]} AS value FROM split_accounts WHERE split = 'test'"
+            for name, expr in _INPUTS.items()
+            for c in DRIFT_COLUMNS
+        )
+        + """), sides AS (SELECT input, "column", value, 1 AS r, 0 AS n FROM reference, (SELECT DISTINCT input FROM new_values)
   UNION ALL SELECT input, "column", value, 0, 1 FROM new_values WHERE value IS NOT NULL),
 merged AS (SELECT input, "column", value, sum(r) AS r, sum(n) AS n FROM sides GROUP BY 1, 2, 3),
 cumulated AS (SELECT input, "column", CAST(sum(r) OVER w AS DOUBLE) AS cr, CAST(sum(n) OVER w AS DOUBLE) AS cn,
@@ -244,13 +252,24 @@ cumulated AS (SELECT input, "column", CAST(sum(r) OVER w AS DOUBLE) AS cr, CAST(
   WINDOW w AS (PARTITION BY input, "column" ORDER BY value), g AS (PARTITION BY input, "column")),
 ks AS (SELECT input, "column", CAST(any_value(tr) AS BIGINT) AS n_ref, CAST(any_value(tn) AS BIGINT) AS n_new,
   max(abs(cr / tr - cn / tn)) AS ks_statistic FROM cumulated GROUP BY 1, 2)"""
+    )
+
+
+_KS = ks_sql(_REFERENCE)
+_WHOLE = ks_sql(
+    f"WITH {S.SPLIT}, reference AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {_VALUE[c]} AS value FROM split_accounts WHERE split = 'train' AND {_VALUE[c]} IS NOT NULL"
+        for c in DRIFT_COLUMNS
+    )
+    + ")"
 )
 
 
 @query("ks_drift", f'{_KS} SELECT input, "column", n_ref, n_new, round(ks_statistic, 6) AS ks_statistic FROM ks')
 def ks_drift(spark, sf_dir):
     rows = drift_input(spark, sf_dir)
-    reference = D.fit_reference(rows.filter("split = 'train'"), DRIFT_COLUMNS, "account_id")
+    reference = D.fit_reference(rows.filter("split = 'train'"), DRIFT_COLUMNS, "account_id", SAMPLE)
     test = rows.filter("split = 'test'")
     same = D.ks_against_reference(test, reference).select(F.lit("same").alias("input"), "*")
     moved = D.ks_against_reference(drifted(test), reference).select(F.lit("drifted").alias("input"), "*")
@@ -274,36 +293,72 @@ def ks_tables(spark, sf_dir):
     )
 
 
-def problem_report(spark, sf_dir) -> DataFrame:
-    """Drifted charges, a dropped column and a column without one number."""
+@query("ks_drift_tables", f'{_WHOLE} SELECT input, "column", n_ref, n_new, round(ks_statistic, 6) AS ks_statistic FROM ks')
+def ks_drift_tables(spark, sf_dir):
+    """All columns of the whole train and test rows, each table read once for an input."""
+    rows = drift_input(spark, sf_dir)
+    train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+    same = D.ks_tables(train, test, DRIFT_COLUMNS).select(F.lit("same").alias("input"), "*")
+    moved = D.ks_tables(train, drifted(test), DRIFT_COLUMNS).select(F.lit("drifted").alias("input"), "*")
+    return rounded(same.unionByName(moved))
+
+
+def problem_rows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Train rows, and test rows with drifted charges, a dropped column and one without a number."""
     rows = drift_input(spark, sf_dir)
-    reference = D.fit_reference(rows.filter("split = 'train'"), DRIFT_COLUMNS, "account_id")
     test = drifted(rows.filter("split = 'test'")).drop("tenure").withColumn("total_charges", F.lit("abc"))
-    return D.drift_report(test, reference)
+    return rows.filter("split = 'train'"), test
 
 
-_PROBLEMS = f"""{_KS}, problems AS (
+def problem_report(spark, sf_dir) -> DataFrame:
+    train, test = problem_rows(spark, sf_dir)
+    return D.drift_report(test, D.fit_reference(train, DRIFT_COLUMNS, "account_id", SAMPLE))
+
+
+def whole_problem_report(spark, sf_dir) -> DataFrame:
+    train, test = problem_rows(spark, sf_dir)
+    return D.drift_between(train, test, DRIFT_COLUMNS)
+
+
+def problems_sql(ks: str) -> str:
+    return f"""{ks}, problems AS (
   SELECT 'tenure' AS "column", 'MISSING_IN_NEW_DATA' AS status, CAST(NULL AS DOUBLE) AS ks_statistic UNION ALL
   SELECT 'total_charges', 'NO_VALID_VALUES', NULL UNION ALL
   SELECT "column", CASE WHEN ks_statistic * sqrt(CAST(n_ref AS DOUBLE) * n_new / (n_ref + n_new)) > 1.358 THEN 'DRIFT_DETECTED' ELSE 'OK' END,
     ks_statistic FROM ks WHERE input = 'drifted' AND "column" = 'monthly_charges')"""
 
 
+_PROBLEMS, _WHOLE_PROBLEMS = problems_sql(_KS), problems_sql(_WHOLE)
+
+
 @query("drift_report", f'{_PROBLEMS} SELECT "column", status, round(ks_statistic, 6) AS ks_statistic FROM problems')
 def drift_report(spark, sf_dir):
     return rounded(problem_report(spark, sf_dir).select("column", "status", "ks_statistic"))
 
 
-@query(
-    "drift_score",
-    f"""{_PROBLEMS} SELECT count(*) AS columns, count(*) FILTER (WHERE status <> 'OK') AS problem_columns,
+@query("drift_report_tables", f'{_WHOLE_PROBLEMS} SELECT "column", status, round(ks_statistic, 6) AS ks_statistic FROM problems')
+def drift_report_tables(spark, sf_dir):
+    return rounded(whole_problem_report(spark, sf_dir).select("column", "status", "ks_statistic"))
+
+
+_SCORE = """ SELECT count(*) AS columns, count(*) FILTER (WHERE status <> 'OK') AS problem_columns,
   round(CAST(count(*) FILTER (WHERE status <> 'OK') AS DOUBLE) / count(*), 6) AS drift_score,
   string_agg("column", ',' ORDER BY "column") FILTER (WHERE status <> 'OK') AS drift_columns,
-  bool_or(status <> 'OK') AS drift_detected FROM problems""",
-)
+  bool_or(status <> 'OK') AS drift_detected FROM problems"""
+
+
+def score_of(report: DataFrame) -> DataFrame:
+    return rounded(D.drift_score(report).withColumn("drift_columns", F.array_join("drift_columns", ",")))
+
+
+@query("drift_score", _PROBLEMS + _SCORE)
 def drift_score(spark, sf_dir):
-    score = D.drift_score(problem_report(spark, sf_dir))
-    return rounded(score.withColumn("drift_columns", F.array_join("drift_columns", ",")))
+    return score_of(problem_report(spark, sf_dir))
+
+
+@query("drift_score_tables", _WHOLE_PROBLEMS + _SCORE)
+def drift_score_tables(spark, sf_dir):
+    return score_of(whole_problem_report(spark, sf_dir))
 
 
 @query("drift_engineered")

@@ -160,7 +160,7 @@ SELECT churn, point, round(any_value(x), 6) AS x,
 FROM weights JOIN grid ON g = churn GROUP BY 1, 2""",
 )
 def kde_curve(spark, sf_dir):
-    return rounded(St.kde_curve(accounts(spark, sf_dir, ["tenure", "churn"]), "tenure", "churn"))
+    return rounded(St.kde_curve(accounts(spark, sf_dir, ["tenure", "churn"]), "tenure", "churn", points=101))
 
 
 _Y = "CASE WHEN churn = 'Yes' THEN 1 WHEN churn = 'No' THEN 0 END"

@@ -5,25 +5,45 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayflow.operators.scoring import score_batch
+from stayflow.operators.sizing import scratch_folder
 from stayflow.params import ACCOUNT_COLUMNS
 from stayflow.plans import check_sql as S
 from stayflow.plans.features import MODEL_FIELDS, fitted
 from stayflow.plans.registry import query, rounded
 from stayflow.plans.scoring import MODEL, SCORED_COLUMNS, scored_sql
-from stayflow.sources.accounts import accounts
+from stayflow.sources.accounts import accounts, line_prices
 from stayflow.streaming import jobs as J
+from stayflow.streaming.store import KeyedSums
 
 
 @query("stream_score", f"{scored_sql('accounts')} SELECT {SCORED_COLUMNS} FROM batch")
 def stream_score(spark, sf_dir):
-    """Orders arrive as a stream and leave as contact decisions: the batch plan, unchanged."""
+    """Orders arrive as a stream and leave as contact decisions, with order totals that a stream of
+    line items maintains."""
     fit = fitted(spark, sf_dir)
+    lines = J.stream_table(spark, sf_dir, "lineitem.parquet")
     orders = J.stream_table(spark, sf_dir, "orders.parquet")
-    arriving = accounts(spark, sf_dir, MODEL_FIELDS, orders)
-    scored = score_batch(
-        arriving, fit.preprocessor, MODEL, fit.medians, 0.5, ACCOUNT_COLUMNS
-    )
-    return rounded(J.drained(scored), 6, expected_value=3)
+    scored = score_orders(spark, sf_dir, lines, orders, fit, scratch_folder(spark))
+    return rounded(scored, 6, expected_value=3)
+
+
+def score_orders(spark, sf_dir, lines, orders, fit, folder):
+    """Run both streams over what is available and return all decisions so far.
+
+    ``folder`` keeps the totals, the decisions and the progress of both streams: run again, only new
+    line items and new orders are read. A micro-batch of orders opens the buckets of its keys alone.
+    """
+    totals = KeyedSums(spark, f"{folder}/totals", ("o_orderkey", "long"), {"line_total": "decimal(22,2)"})
+    J.each_batch(line_prices(lines), totals.merge, f"{folder}/checkpoint/lines")
+
+    def score(batch, number):
+        known = totals.join(batch.select("o_orderkey")).dropDuplicates(["o_orderkey"])
+        arriving = accounts(spark, sf_dir, MODEL_FIELDS, batch, known)
+        scored = score_batch(arriving, fit.preprocessor, MODEL, fit.medians, 0.5, ACCOUNT_COLUMNS)
+        scored.write.mode("overwrite").parquet(f"{folder}/decisions/batch={number}")
+
+    J.each_batch(orders, score, f"{folder}/checkpoint/orders")
+    return spark.read.parquet(f"{folder}/decisions").drop("batch")
 
 
 @query(

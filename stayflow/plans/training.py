@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayflow.operators import explain as X
+from stayflow.operators import preprocess as P
 from stayflow.operators import training as T
-from stayflow.operators.sizing import materialize
-from stayflow.plans.features import fitted
+from stayflow.operators import trials as Tr
+from stayflow.operators.sizing import materialize, scratch_folder
+from stayflow.plans.features import engineered, fitted, set_columns
 from stayflow.plans.registry import query
 
 #: The compared models with their whole settings: logistic regression, tree, forest, boosting.
@@ -24,6 +29,18 @@ def matrix(spark, sf_dir) -> tuple[DataFrame, list[str]]:
     return materialize(built), pre.feature_names()
 
 
+def set_matrices(spark, sf_dir) -> dict[str, DataFrame]:
+    """(account_id, split, label, features) for each of the feature sets A, B and C."""
+    rows, _ = engineered(spark, sf_dir)
+    keep = [KEY, "split", F.col("y").alias("label")]
+    out = {}
+    for name in "ABC":
+        numeric, text = set_columns(rows, name)
+        pre = P.fit_preprocessor(rows.filter("split = 'train'"), numeric, text)
+        out[name] = materialize(pre.transform(rows, keep))
+    return out
+
+
 def part(rows: DataFrame, split: str) -> DataFrame:
     return rows.filter(F.col("split") == split).drop("split")
 
@@ -73,6 +90,42 @@ def model_comparison(spark, sf_dir):
     return ranked.withColumn("selected", F.col("model") == best)
 
 
+@query("feature_set_comparison")
+def feature_set_comparison(spark, sf_dir):
+    """Logistic regression on each of the feature sets A, B and C, trees on B."""
+    tables = []
+    for name, rows in set_matrices(spark, sf_dir).items():
+        models = [LOGISTIC, *TREES] if name == "B" else [LOGISTIC]
+        models = [replace(m, name=f"{m.name} ({name})") for m in models]
+        tables.append(T.compare_models(part(rows, "train"), part(rows, "val"), models, KEY))
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query("top_settings")
+def top_settings(spark, sf_dir):
+    """The five best settings of the random search for logistic regression."""
+    rows, _ = matrix(spark, sf_dir)
+    train = part(rows, "train")
+    settings = T.random_draws(T.LR_SPACE, 30)
+    return T.top_settings(T.grid_search_lr(train, settings, KEY))
+
+
+#: Trials of each kind in the registered search; the operator draws as many as it is asked for.
+TREE_DRAWS = 1
+
+
+@query("tune_trees")
+def tune_trees(spark, sf_dir):
+    """Forests and boosting on feature set B: binned once, trials kept in a table."""
+    rows, _ = engineered(spark, sf_dir)
+    numeric, text = set_columns(rows, "B")
+    train = rows.filter("split = 'train'")
+    keep = [KEY, F.col("y").alias("label")]
+    binned = materialize(Tr.tree_matrix(train, numeric, text, keep, F.lit(True)))
+    trials = Tr.draw_trials(list(Tr.SPACES), TREE_DRAWS, scale_pos_weight=Tr.positive_weight(binned))
+    return Tr.run_trials(binned, trials, scratch_folder(spark), KEY)
+
+
 @query("stacking")
 def stacking(spark, sf_dir):
     rows, _ = matrix(spark, sf_dir)

@@ -56,10 +56,12 @@ def accounts(
     sf_dir: str,
     columns: Sequence[str] | None = None,
     orders: DataFrame | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """One account per order, with the wanted columns (default: all).
 
-    ``orders`` may be a stream of the order table.
+    ``orders`` may be other rows than the whole order table, ``totals`` maintained sums
+    (o_orderkey, line_total) in place of an aggregation of all line items.
     """
     wanted = list(columns or ACCOUNT_FIELDS)
     rows = table(spark, sf_dir, "orders") if orders is None else orders
@@ -69,15 +71,24 @@ def accounts(
         )
         rows = rows.join(customers, "o_custkey", "left")
     if "total_charges" in wanted:
-        totals = (
-            table(spark, sf_dir, "lineitem")
-            .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-            .agg(F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("line_total"))
-        )
+        if totals is None:
+            totals = line_totals(table(spark, sf_dir, "lineitem"))
         rows = rows.join(totals, "o_orderkey", "left")
     return rows.select(*[account_rule(c).alias(c) for c in wanted])
 
 
+def line_prices(lines: DataFrame) -> DataFrame:
+    """(o_orderkey, line_total) of each line item."""
+    return lines.select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("line_total"),
+    )
+
+
+def line_totals(lines: DataFrame) -> DataFrame:
+    return line_prices(lines).groupBy("o_orderkey").agg(F.sum("line_total").alias("line_total"))
+
+
 def _tenure() -> Column:
     return ((F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate") - 1).cast("int")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,14 @@ from stayflow.functions import columns as C
 from stayflow.operators.sizing import scratch_folder
 
 
-def stream_table(spark: SparkSession, folder: str, file: str) -> DataFrame:
-    """Parquet files of a folder as a stream; the schema is that of the batch table."""
-    schema = spark.read.parquet(f"{folder}/{file}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(folder)
+def stream_table(spark: SparkSession, folder: str, file: str, files_each: int | None = None) -> DataFrame:
+    """Parquet files of a folder as a stream, the schema being that of the batch table; at most
+    ``files_each`` files in a micro-batch."""
+    schema = spark.read.option("pathGlobFilter", file).parquet(folder).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file)
+    if files_each is not None:
+        reader = reader.option("maxFilesPerTrigger", files_each)
+    return reader.parquet(folder)
 
 
 def as_instant(ts: Column) -> Column:
@@ -41,6 +47,18 @@ def stream_metrics(events: DataFrame, window: str = "1 day", delay: str = "1 hou
     )
 
 
+def each_batch(stream: DataFrame, job: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Run ``job(rows, number)`` on each micro-batch of what is available. A batch that failed comes
+    again with its number: ``job`` must replace what it wrote for that number."""
+    query = (
+        stream.writeStream.foreachBatch(job)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def run_to_table(stream: DataFrame, sink: str, checkpoint: str) -> None:
     """Process all that is available into a Parquet folder, exactly once per checkpoint."""
     query = (
