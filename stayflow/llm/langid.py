@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 #: Texts are counted together up to so many characters or texts, which bounds memory.
 CHUNK_CHARS, CHUNK_TEXTS, CHUNK_GRAMS = 250_000, 128, 4096
+#: Possible n-grams up to which they are numbered by a table.
+TABLE = 1 << 18
 
 _letters: dict[tuple[int, int, int], np.ndarray] = {}
 
@@ -70,7 +72,7 @@ def bundle(texts: list[str], groups: np.ndarray, n_groups: int, dimension: int,
     middle = np.flatnonzero(letters[1:-1]) + 1
     base = len(alphabet) + 1
     grams = (letters[middle - 1] * base + letters[middle]) * base + letters[middle + 1]
-    if base**3 <= 1 << 22:
+    if base**3 <= TABLE:
         distinct = np.flatnonzero(np.bincount(grams))
         index = np.zeros(base**3, np.int64)
         index[distinct] = np.arange(len(distinct))
@@ -183,7 +185,7 @@ def octave(text: Column) -> Column:
 
 def least_scores(
     docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang",
-    share: float = 0.001, slack: float = 0.5,
+    share: float = 0.001, slack: float = 0.25,
 ) -> dict[int, float]:
     """For each octave of text length the score under which a text is like no language.
 
