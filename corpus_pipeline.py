@@ -13,7 +13,7 @@ from stayflow.llm.store import new_folder
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter (NULL and empty ones too) and texts like no language.
 
-    A text is like no language if its cosine to the nearest one is under half of what nearly all
+    A text is like no language if its cosine to the nearest one is under a quarter of what nearly all
     documents with a language reach at its length (``langid.least_scores``). If no row has both a
     text and a language there is nothing to compare with, and only the first rule holds. Repeated
     rows are judged each; an empty table stays empty; columns of any name pass through.
