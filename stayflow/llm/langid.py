@@ -185,15 +185,23 @@ def octave(text: Column) -> Column:
 
 def least_scores(
     docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang",
-    share: float = 0.001, slack: float = 0.25,
+    share: float = 0.001, slack: float = 0.25, most_rows: int = 20_000,
 ) -> dict[int, float]:
     """For each octave of text length the score under which a text is like no language.
 
     It is ``slack`` times the score that all but ``share`` of the documents with a language reach at
     that length, so short texts, whose cosines scatter, have a lower bound. The driver gets one row
     per octave. Lengths that no such document has have no bound.
+
+    The bounds are fitted on about ``most_rows`` of the documents with a language, those with the
+    least hash of all their columns; on all of them where there are no more.
     """
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    count = known.count()
+    if count > most_rows:
+        places = 1 << 20
+        place = F.pmod(F.xxhash64(*[known[c] for c in known.columns]), F.lit(places))
+        known = known.where(place < most_rows * places // count)
     seen = known.select(octave(F.col(text_col)).alias("octave"), detected(profiles, F.col(text_col)).alias("found"))
     rows = (
         seen.where(F.col("found.lang_pred") != UNKNOWN)
