@@ -129,34 +129,6 @@ def test_near_copies_without_ids_are_no_all_pairs_join(spark):
     assert took["none"] < 2 * max(took["ids"], took["ids again"]) + 5
 
 
-# ---- languages -------------------------------------------------------------------------
-
-
-def test_short_texts_of_no_learned_language_go(spark):
-    import corpus_pipeline
-
-    rows = [(i, cases.text(n, i), "en", "a", 1) for i, n in enumerate([12, 25, 50, 100, 200] * 40)]
-    strange = random.Random(9)
-    other = ["".join(strange.choice("абвгдежзик ") for _ in range(n)) for n in (80, 160, 400, 1200)]
-    new = [(1000 + i, t, None, "b", 1) for i, t in enumerate(other)]
-    fresh = [(2000 + i, cases.text(n, 5000 + i), None, "b", 1) for i, n in enumerate([12, 25, 50, 100, 200] * 4)]
-    kept = corpus_pipeline.language(spark, cases.frame(spark, rows + new + fresh), "")
-    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows + fresh}
-
-
-def test_bundles_of_many_letters_are_the_same(monkeypatch):
-    r = random.Random(2)
-    texts = ["".join(chr(0x4E00 + r.randrange(3000)) for _ in range(300)) for _ in range(6)] + ["plain words here"]
-    groups = np.array([0, 1, 2, 0, 1, 2, 1])
-    from stayflow.llm import langid
-
-    whole = langid.bundle(texts, groups, 3, 64, 7)
-    monkeypatch.setattr(langid, "CHUNK_GRAMS", 50)
-    assert np.array_equal(langid.bundle(texts, groups, 3, 64, 7), whole)
-    one_by_one = sum(langid.bundle([t], np.array([0]), 1, 64, 7) for t, g in zip(texts, groups) if g == 1)
-    assert np.array_equal(one_by_one[0], whole[1])
-
-
 # ---- verdicts ------------------------------------------------------------------------------
 
 
