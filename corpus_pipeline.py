@@ -18,7 +18,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter (NULL and empty ones too) and texts like no language.
 
     If no row has both a text and a language there is nothing to compare with, and only the
-    first rule holds.
+    first rule holds. Repeated rows are judged each; an empty table stays empty.
     """
     profiles = langid.learn(docs)
     found = "found"
@@ -35,17 +35,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id."""
+    """One document of each group of near duplicates, the one with the least id.
+
+    NULL ids come last; NULL and blank texts stay; of equal rows one stays; an empty table stays empty.
+    """
     return jaccard_join.one_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it.
+
+    NULL sources are a source; texts without words are taken like others, at most three times;
+    repeated rows are taken each; an empty table stays empty.
+    """
     return mixing.mixed_rows(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row of the mix, decoded again to prove them."""
+    """Token ids of each row of the mix, decoded again to prove them; NULL and empty texts have none."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.token_rows(docs, vocabulary, public_tokenizers.PATTERN)
 
