@@ -66,7 +66,7 @@ class TableCuts:
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Add ``split``: one join on the label, unhinted, so a frequent label can be split."""
-        wide = self.table.groupBy("stratum").agg(
+        wide = self.table.groupBy(F.col("stratum").alias("_stratum")).agg(
             *[
                 F.max(F.when(F.col("name") == n, F.struct("h", "k"))).alias(f"_{n}")
                 for n in self.names
@@ -77,7 +77,7 @@ class TableCuts:
         for n in reversed(self.names):
             result = F.when(F.col(f"_{n}").isNotNull() & (place <= F.col(f"_{n}")), n).otherwise(result)
         hashed = df.withColumn("_h", hash_order(self.key, self.seed))
-        joined = hashed.join(wide, _same(self.label))
+        joined = hashed.join(wide, F.col(self.label).eqNullSafe(F.col("_stratum")))
         return joined.withColumn("split", result).select(*df.columns, "split")
 
 
@@ -104,8 +104,8 @@ def cut_table(df: DataFrame, key: str, label: str, shares: dict[str, float], see
     divided by further digits, and only rows of these buckets are ordered. All of it is tables, so
     there may be any number of strata.
     """
-    hashed = df.select(label, F.col(key).alias("k"), hash_order(key, seed).alias("h"))
-    digits = BUCKET_DIGITS
+    hashed = df.select(F.col(label).alias("_label"), F.col(key).alias("k"), hash_order(key, seed).alias("h"))
+    label, digits = "_label", BUCKET_DIGITS
     counts = _buckets(hashed, label, digits, 0)
     sizes = counts.groupBy(F.col(label).alias("stratum")).agg(F.sum("n").alias("rows"))
     names = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(s)).alias("share")) for n, s in shares.items()])

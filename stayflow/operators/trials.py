@@ -76,11 +76,14 @@ def tree_matrix(
     return rows.select(*keep, F.array(*features).alias("features"))
 
 
-def draw_trials(types: Sequence[str], draws: int, seed: int = 42, **settings: Any) -> list[Candidate]:
-    """``draws`` distinct settings of each kind; ``settings`` hold for every kind that takes them."""
+def draw_trials(
+    spaces: Mapping[str, Mapping[str, Sequence]], draws: int, seed: int = 42, **settings: Any
+) -> list[Candidate]:
+    """``draws`` distinct settings of each kind from its space (``SPACES`` has the whole ones);
+    ``settings`` hold for boosting."""
     out = []
-    for kind in types:
-        for drawn in random_draws(SPACES[kind], draws, seed):
+    for kind, space in spaces.items():
+        for drawn in random_draws(space, draws, seed):
             own = settings if kind == "gradient_boosting" else {}
             out.append(Candidate(kind, kind, {**drawn, **own}))
     return out

@@ -110,8 +110,13 @@ def top_settings(spark, sf_dir):
     return T.top_settings(T.grid_search_lr(train, settings, KEY))
 
 
-#: Trials of each kind in the registered search; the operator draws as many as it is asked for.
-TREE_DRAWS = 1
+#: The registered search has few trees, draws and folds: one trial of the whole spaces (``Tr.SPACES``),
+#: hundreds of trees on five folds, takes minutes. The operator takes any space, draws and folds.
+FEW_TREES = {
+    "random_forest": Tr.FOREST_SPACE | {"n_estimators": [10, 20], "max_depth": [4, 6]},
+    "gradient_boosting": Tr.BOOSTING_SPACE | {"n_estimators": [5, 10], "max_depth": [3, 4]},
+}
+TREE_DRAWS, TREE_FOLDS = 2, 3
 
 
 @query("tune_trees")
@@ -122,8 +127,8 @@ def tune_trees(spark, sf_dir):
     train = rows.filter("split = 'train'")
     keep = [KEY, F.col("y").alias("label")]
     binned = materialize(Tr.tree_matrix(train, numeric, text, keep, F.lit(True)))
-    trials = Tr.draw_trials(list(Tr.SPACES), TREE_DRAWS, scale_pos_weight=Tr.positive_weight(binned))
-    return Tr.run_trials(binned, trials, scratch_folder(spark), KEY)
+    trials = Tr.draw_trials(FEW_TREES, TREE_DRAWS, scale_pos_weight=Tr.positive_weight(binned))
+    return Tr.run_trials(binned, trials, scratch_folder(spark), KEY, TREE_FOLDS)
 
 
 @query("stacking")

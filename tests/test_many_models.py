@@ -160,7 +160,7 @@ def test_tree_matrix_bins_and_places(spark):
 
 
 def test_drawn_trials_are_distinct():
-    drawn = Tr.draw_trials(["random_forest", "gradient_boosting"], 10, scale_pos_weight=2.0)
+    drawn = Tr.draw_trials(Tr.SPACES, 10, scale_pos_weight=2.0)
     texts = {(t.type, Tr.settings_text(t.params)) for t in drawn}
     assert len(texts) == 20 and all("scale_pos_weight" in t.params for t in drawn[10:])
     assert math.prod(len(v) for v in Tr.FOREST_SPACE.values()) > 40

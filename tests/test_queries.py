@@ -8,7 +8,7 @@ from tests.compare import compare, connect
 
 # The corpus queries have tests of their own in tests/llm.
 QUERIES, CHECKS = catalog.QUERIES, catalog.CHECKS
-SLOW = {"model_comparison", "stacking", "train_trees", "cv_metrics", "tune_trees"}
+SLOW = {"model_comparison", "stacking", "train_trees", "cv_metrics"}
 
 
 @pytest.fixture(scope="module")
