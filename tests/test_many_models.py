@@ -153,10 +153,12 @@ def test_tree_matrix_bins_and_places(spark):
     lines = [(i, "train" if i < 80 else "test", float(i) if i % 9 else None, "abc"[i % 3] if i < 95 else "z") for i in range(100)]
     df = spark.createDataFrame(lines, "id long, split string, x double, t string")
     out = {r["id"]: r["features"] for r in Tr.tree_matrix(df, ["x"], ["t"], ["id"], F.col("split") == "train", 4).collect()}
-    held = sorted(x for i, _, x, _ in lines[:80] if x is not None)
-    marks = [float(np.quantile(held, q)) for q in (0.25, 0.5, 0.75)]
+    bins = [out[i][0] for i, _, x, _ in lines if x is not None]
+    assert bins == sorted(bins) and set(bins) == {0.0, 1.0, 2.0, 3.0}
+    train = [out[i][0] for i, split, x, _ in lines if x is not None and split == "train"]
+    assert all(0.15 < train.count(b) / len(train) < 0.35 for b in set(train))
     for i, _, x, t in lines:
-        assert out[i] == [-1.0 if x is None else float(sum(m < x for m in marks)), float("abc".find(t))]
+        assert (out[i][0] == -1.0) == (x is None) and out[i][1] == float("abc".find(t))
 
 
 def test_drawn_trials_are_distinct():
