@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import classification
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +21,14 @@ from stayflow.operators.drift import DriftReference
 from stayflow.operators.features import Medians
 from stayflow.operators.preprocess import Preprocessor
 from stayflow.operators.quantiles import MAX_GROUPS
-from stayflow.operators.scoring import LinearModel
+from stayflow.operators.scoring import LinearModel, LogisticModel
 from stayflow.operators.sizing import collect_small
+from stayflow.operators.trees import TreeModel
 
 
 @dataclass(frozen=True)
 class FittedState:
-    """What scoring needs; ``models`` are LinearModel or fitted MLlib models, by name."""
+    """What scoring needs; ``models`` are LinearModel, LogisticModel, TreeModel or fitted MLlib models, by name."""
 
     preprocessor: Preprocessor
     medians: Medians
@@ -59,6 +61,10 @@ def save_state(spark: SparkSession, folder: str, state: FittedState, group: str)
         kinds[name] = type(model).__name__
         if isinstance(model, LinearModel):
             _write_text(spark, f"{folder}/models/{name}", {**dataclasses.asdict(model), "coefficients": dict(model.coefficients)})
+        elif isinstance(model, LogisticModel):
+            _write_text(spark, f"{folder}/models/{name}", [model.intercept, [float(v) for v in model.coefficients]])
+        elif isinstance(model, TreeModel):
+            _write_text(spark, f"{folder}/models/{name}", dataclasses.asdict(model))
         else:
             model.write().overwrite().save(f"{folder}/models/{name}")
     _write_text(spark, f"{folder}/contents", {"models": kinds, "reference": state.reference is not None})
@@ -82,6 +88,11 @@ def load_state(spark: SparkSession, folder: str, group: str) -> FittedState:
         path = f"{folder}/models/{name}"
         if kind == LinearModel.__name__:
             models[name] = LinearModel(**_read_text(spark, path))
+        elif kind == LogisticModel.__name__:
+            intercept, coefficients = _read_text(spark, path)
+            models[name] = LogisticModel(intercept, Vectors.dense(coefficients))
+        elif kind == TreeModel.__name__:
+            models[name] = TreeModel(**_read_text(spark, path))
         else:
             models[name] = getattr(classification, kind).load(path)
     return FittedState(
