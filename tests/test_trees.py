@@ -66,3 +66,10 @@ def test_nodes_beyond_one_pass_wait(rows, monkeypatch):
 
 def gap_of(rows, a, b):
     return score_with_ml(b, score_with_ml(a, rows, "a"), "b").agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0]
+
+
+def test_bins_of_a_fold_are_its_own(rows):
+    c = T.Candidate("t", "decision_tree", {"max_depth": 4, "class_weight": "balanced"})
+    alone = T.fit(c, rows.filter("fold != 1"))
+    among = T.fit_all(rows, [(c, 0), (c, 1), (c, None)])[1]
+    assert gap_of(rows, alone, among) < 1e-12
