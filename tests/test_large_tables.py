@@ -1,6 +1,7 @@
 """What has no bound by size any more: strata, groups, categories, density groups, columns, streams."""
 
 import math
+import re
 import shutil
 
 import numpy as np
@@ -16,6 +17,7 @@ from stayflow.operators import quantiles as Qu
 from stayflow.operators import stats as St
 from stayflow.operators.sizing import scratch_folder
 from stayflow.params import BusinessParams, DriftParams, SplitParams
+from stayflow.sources.accounts import line_totals
 from stayflow.streaming import jobs as J
 from stayflow.streaming.store import KeyedSums
 
@@ -185,6 +187,28 @@ def test_profile_counts_by_type(spark):
     assert St.column_profile(df.filter("i > 5")).collect() == []
 
 
+def test_profile_keys_are_as_wide_as_the_types(spark):
+    names = [f"t.{i}" for i in range(20)]
+    lines = [(i % 3, i % 3, float("nan") if i % 2 else None, *[f"{i % (k + 1)}" for k in range(19)], " ") for i in range(40)]
+    df = spark.createDataFrame(lines, "i int, l long, d double, " + ", ".join(f"`{n}` string" for n in names)).repartition(3)
+    found = St.column_profile(df)
+    keys = [len(k.split(",")) - 1 for k in re.findall(r"hashpartitioning\(([^)]*)\)", plan(found))]
+    assert max(keys) <= 1 + len({"int", "bigint", "double", "string"})
+    want = [("i", "int", 0, 0.0, 0, 3), ("l", "bigint", 0, 0.0, 0, 3), ("d", "double", 20, 50.0, 0, 1)]
+    want += [(n, "string", 0, 0.0, 0, k + 1) for k, n in enumerate(names[:19])] + [("t.19", "string", 0, 0.0, 40, 1)]
+    assert [tuple(r) for r in found.collect()] == want
+
+
+def test_line_totals_are_exact(spark):
+    prices = [(1, 0.1), (1, 0.2), (1, -0.05), (2, 9_999_999_999.99), (2, 9_999_999_999.99), (3, None), (None, 1.0), (None, 2.0)]
+    lines = spark.createDataFrame(prices, "l_orderkey long, l_extendedprice double")
+    found = line_totals(lines)
+    # Wide decimals are no part of the grouping's state.
+    assert "sum(line_total" not in plan(found) and dict(found.dtypes)["line_total"] == "decimal(22,2)"
+    got = {r[0]: None if r[1] is None else str(r[1]) for r in found.collect()}
+    assert got == {1: "0.25", 2: "19999999999.98", 3: None, None: "3.00"}
+
+
 def test_correlations_of_two_hundred_columns(spark):
     r = np.random.default_rng(6)
     x = r.normal(size=(400, 200)) @ r.normal(size=(200, 200)) + 1e6
