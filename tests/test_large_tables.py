@@ -209,6 +209,33 @@ def test_line_totals_are_exact(spark):
     assert got == {1: "0.25", 2: "19999999999.98", 3: None, None: "3.00"}
 
 
+def test_correlation_with_the_label_is_one_grouping(spark):
+    r = np.random.default_rng(8)
+    x = r.normal(size=(300, 40)) + 1e3
+    x[:, 5] = 0.1
+    y = (x[:, 0] + r.normal(size=300) > 1e3).astype(float)
+    held = r.random(x.shape) > 0.1
+    labelled = r.random(300) > 0.1
+    held[:, 6] = False
+    names = [f"k{i}" for i in range(40)]
+    lines = [
+        (float(t) if ok else None, *[float(v) if h else None for v, h in zip(a, b)])
+        for t, ok, a, b in zip(y, labelled, x, held)
+    ]
+    df = spark.createDataFrame(lines, "y double, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    found = St.target_corr(df, names, F.col("y"))
+    few = St.target_corr(df, names[:2], F.col("y"))
+    # The aggregation does not grow with the columns.
+    assert plan(found).count("covar") == plan(few).count("covar") > 0
+    got = {q["column"]: q["corr"] for q in found.collect()}
+    assert len(got) == 40 and got["k5"] is None and got["k6"] is None
+    for i in set(range(40)) - {5, 6}:
+        both = held[:, i] & labelled
+        assert got[names[i]] == pytest.approx(np.corrcoef(x[both, i], y[both])[0, 1], abs=1e-9)
+    none = St.target_corr(df.filter("y > 5"), names, F.col("y")).collect()
+    assert [tuple(q) for q in none] == [(n, None, None) for n in sorted(names)]
+
+
 def test_correlations_of_two_hundred_columns(spark):
     r = np.random.default_rng(6)
     x = r.normal(size=(400, 200)) @ r.normal(size=(200, 200)) + 1e6
