@@ -73,3 +73,30 @@ def test_bins_of_a_fold_are_its_own(rows):
     alone = T.fit(c, rows.filter("fold != 1"))
     among = T.fit_all(rows, [(c, 0), (c, 1), (c, None)])[1]
     assert gap_of(rows, alone, among) < 1e-12
+
+
+def test_passes_leave_no_plans_behind(spark, rows):
+    """The driver keeps the plan of each SQL execution: a pass must not be one."""
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty(30_000)
+    before = store.executionsCount()
+    T.fit(T.Candidate("b", "gradient_boosting", {"n_estimators": 15, "max_depth": 3}), rows)
+    bus.waitUntilEmpty(30_000)
+    assert store.executionsCount() - before < 15
+
+
+def test_columns_in_one_code_keep_their_counts():
+    r = np.random.default_rng(5)
+    x = np.column_stack([r.normal(size=400), *r.integers(0, 2, (9, 400)), r.integers(0, 7, 400)]).astype(float)
+    sets = [[G.marks_of(c, np.ones(len(c))) for c in part.T] for part in (x, x[:250])]
+    layout = G.Layout.of(sets, G.CODES)
+    assert len(layout.codes) < layout.place.size and max(layout.sizes) <= G.CODES
+    codes, place, label = layout.coded(x), r.integers(0, 4, 400), r.integers(0, 2, 400).astype(np.uint8)
+    for s, marks in enumerate(sets):
+        work = G.Sums(G.TreeProblem("decision_tree"), s, np.tile(np.arange(x.shape[1]), (3, 1)), layout)
+        work.add(codes.ravel(), 400, place, label, None, None, None)
+        want = np.zeros((x.shape[1], 3, G.MAX_BINS, 2))
+        for i in np.flatnonzero(place < 3):
+            for f, m in enumerate(marks):
+                want[f, place[i], np.searchsorted(m, x[i, f]), label[i]] += 1
+        assert (work.found()[0] == want).all()
