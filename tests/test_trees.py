@@ -100,3 +100,34 @@ def test_columns_in_one_code_keep_their_counts():
             for f, m in enumerate(marks):
                 want[f, place[i], np.searchsorted(m, x[i, f]), label[i]] += 1
         assert (work.found()[0] == want).all()
+
+
+def test_models_are_measured_in_one_pass(rows):
+    """All models and folds go through one histogram, with the figures of each alone."""
+    tree = T.Candidate("t", "decision_tree", {"max_depth": 4})
+    wanted = [(tree, 1), (T.DEFAULT_CANDIDATE, 2), (T.Candidate("b", "gradient_boosting", {"n_estimators": 3}), None)]
+    models = T.fit_all(rows, wanted)
+    groups = T.score_histograms(rows, {i: (m, k) for i, (m, (_, k)) in enumerate(zip(models, wanted))})
+    seen = [rows if k is None else rows.filter(F.col("fold") == k) for _, k in wanted]
+    # A number that no row has gets no area and no hits.
+    *found, none = T.metrics_by(groups, 4)
+    for got, model, part in zip(found, models, seen):
+        assert got == pytest.approx(T.metrics(score_with_ml(model, part)), abs=1e-9)
+    assert np.isnan(none["roc_auc"]) and none["recall"] == none["f1"] == 0
+
+
+def test_blocks_are_dealt_evenly(spark, rows, monkeypatch):
+    """The longest part decides the time of a pass: parts differ by a block at most."""
+    monkeypatch.setattr(G, "BLOCK_ROWS", 50)
+    most = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(most)
+    spark.conf.set(most, "50")
+    try:
+        many = spark.createDataFrame(rows.rdd.repartition(6), rows.schema)
+        layout = G.Layout.of([[np.array([0.0])] * 5], 1)
+        blocks = G.binned_blocks(many, layout).rdd.map(G.dealt).collect()
+    finally:
+        spark.conf.set(most, before)
+    assert sum(row[1] for _, row in blocks) == 1500
+    parts = np.bincount([at % 4 for at, _ in blocks], minlength=4)
+    assert len(blocks) > 20 and parts.max() - parts.min() <= 2
